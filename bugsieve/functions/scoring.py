@@ -47,21 +47,35 @@ def occurrence_boost(base: Column, matches: Column) -> Column:
     return F.least(base + extra, F.lit(1.0))
 
 
+def round_exact(c: Column, digits: int = 3) -> Column:
+    """Round a double in [0, 1] by its exact value, ties to even, as Python's ``round`` does.
+
+    ``round`` in SQL looks at the shortest decimal form: 0.9335 is stored a little lower and
+    belongs to 0.933, but gives 0.934. Here the error of the scaled product is computed as well
+    (both factors are short enough for their halves to multiply without loss).
+    """
+    scale = 10.0**digits
+    split = c * 134217729.0  # 2**27 + 1 cuts a double into two halves
+    high = split - (split - c)
+    product = c * scale
+    error = (high * scale - product) + (c - high) * scale
+    whole = F.floor(product)
+    rest = product - whole
+    up = (rest > 0.5) | ((rest == 0.5) & ((error > 0) | ((error == 0) & (whole % 2 == 1))))
+    return (whole + up.cast("int")) / scale
+
+
 def score_field(
     base: Column, source: Column, has_evidence: Column, value_length: Column
 ) -> Column:
-    """Final confidence for any base.
-
-    Halves are rounded on the decimal form of the number, so a product such as 0.9335 gives
-    0.934. Extraction uses ``scored`` at plan time and is not affected.
-    """
+    """Final confidence for any base, equal to ``scored``."""
     weight = F.lit(UNKNOWN_WEIGHT)
     for name, w in SOURCE_WEIGHTS.items():
         weight = F.when(source == name, F.lit(w)).otherwise(weight)
     points = base * weight
     points = F.when(has_evidence, F.least(points + EVIDENCE_BONUS, F.lit(1.0))).otherwise(points)
     short = (value_length > 0) & (value_length < SHORT_LENGTH)
-    return F.round(F.when(short, points * SHORT_FACTOR).otherwise(points), 3)
+    return round_exact(F.when(short, points * SHORT_FACTOR).otherwise(points))
 
 
 def confidence_level(

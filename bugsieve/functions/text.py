@@ -133,16 +133,22 @@ def flag_unsafe_paths(path: Column, base_dir: str) -> Column:
     return inside & ~file_suffix(path).isin(*DANGEROUS_SUFFIXES)
 
 
-def evidence_window(text: Column, value: Column) -> Column:
-    """The first place of ``value`` in ``text`` with some context, at most 500 characters."""
-    at = F.instr(text, value)
+def window_at(text: Column, value: Column, at: Column, length: Column) -> Column:
+    """The text around a value found at position ``at``; the value's start when not found."""
     start = F.greatest(F.lit(1), at - EVIDENCE_MARGIN)
-    window = F.substring(text, start, at + F.length(value) + EVIDENCE_MARGIN - start)
-    evidence = F.when(at > 0, window).otherwise(F.left(value, F.lit(EVIDENCE_FALLBACK)))
+    window = F.substring(text, start, at + length + EVIDENCE_MARGIN - start)
+    return F.when(at > 0, window).otherwise(F.left(value, F.lit(EVIDENCE_FALLBACK)))
+
+
+def shorten_evidence(c: Column) -> Column:
     return F.when(
-        F.length(evidence) > EVIDENCE_MAX,
-        F.concat(F.left(evidence, F.lit(EVIDENCE_MAX)), F.lit(ELLIPSIS)),
-    ).otherwise(evidence)
+        F.length(c) > EVIDENCE_MAX, F.concat(F.left(c, F.lit(EVIDENCE_MAX)), F.lit(ELLIPSIS))
+    ).otherwise(c)
+
+
+def evidence_window(text: Column, value: Column) -> Column:
+    """The first place of ``value`` in ``text`` with some context, at most 500 characters."""
+    return shorten_evidence(window_at(text, value, F.instr(text, value), F.length(value)))
 
 
 def truncate_value(c: Column, max_length: int = VALUE_MAX) -> Column:

@@ -1,8 +1,8 @@
 """Rule extraction: best rule per field and text, as one narrow (shuffle-free) projection.
 
 Every (rule, number of matches) pair has a confidence that is known while the plan is built.
-Sorting these pairs gives each a rank, so picking the best rule of a text is one ``greatest``
-over integers, and confidence, score, source and rule id are lookups by rank.
+Sorting these pairs gives each a rank, so the best rule of a text is the hit with the greatest
+rank, and confidence, score, source and rule id are lookups by rank.
 """
 
 from __future__ import annotations
@@ -17,29 +17,45 @@ from pyspark.sql import functions as F
 
 from bugsieve.functions.rules import TIERS, Rule, check_rules, default_rules
 from bugsieve.functions.scoring import SHORT_LENGTH, boosted, occurrence_boost, scored
-from bugsieve.functions.text import evidence_window, fold_case, strip, truncate_value
+from bugsieve.functions.text import fold_case, shorten_evidence, strip, truncate_value, window_at
 from bugsieve.schema import FIELDS
 
 _FOLDED = "__folded"
 _SOURCE = {"strict": "regex_strict", "loose": "regex_loose"}
 # The repeat bonus is at its maximum from the third match on.
 _COUNTED_MATCHES = (1, 2, 3)
-_NO_RESULT = (
+_RESULT = (
     "struct<value:string,confidence:double,source:string,raw_evidence:string,"
     "raw_confidence:double,rule_id:string>"
 )
 
 
-def _all_of(conditions: Sequence[Column]) -> Column:
-    return functools.reduce(operator.and_, conditions)
+# English letters from rare to common; a prefilter word is searched by its rarest start.
+_RARE_FIRST = "zqxjkvbpygfwmucldrhsnioate"
+_MIN_WORD = 4
 
 
-def _worth_trying(rule: Rule) -> list[Column]:
-    """Prefilter of a rule on the case-folded text; empty when the rule has none."""
+def _search_form(word: str) -> str:
+    """An ending of ``word`` that starts with a rare letter.
+
+    A byte search compares on from every place where the first byte fits, so a rare first byte
+    makes it several times faster. A text that holds the word holds its ending.
+    """
+    starts = range(max(1, len(word) - _MIN_WORD + 1))
+    if not word.isalpha():
+        return word
+    return word[min(starts, key=lambda i: _RARE_FIRST.find(word[i])) :]
+
+
+def _worth_trying(rule: Rule) -> Column:
+    """Prefilter of a rule on the case-folded text; always true for a rule without one."""
     options = [
-        _all_of([F.contains(F.col(_FOLDED), F.lit(w)) for w in words]) for words in rule.needs
+        functools.reduce(
+            operator.and_, [F.contains(F.col(_FOLDED), F.lit(_search_form(w))) for w in words]
+        )
+        for words in rule.needs
     ]
-    return [functools.reduce(operator.or_, options)] if options else []
+    return functools.reduce(operator.or_, options) if options else F.lit(True)
 
 
 def _all_values(rule: Rule, text: Column) -> Column:
@@ -62,26 +78,22 @@ def _first_value(hit: Column) -> Column:
     return strip(F.get(hit["values"], F.lit(0)))
 
 
-def _hits(rules: Sequence[Rule], text: Column) -> Column:
+def _hits(rules: Sequence[Rule], text: Column, worth: Sequence[Column]) -> Column:
     """The rules that match a text, as an array of (position in ``rules``, values).
 
-    A rule whose first value is empty is left out even when a later value is not.
+    ``worth`` holds the prefilter of each rule. A rule whose first value is empty is left out
+    even when a later value is not.
 
     ``filter`` is evaluated outside whole-stage code generation, and that is wanted here: the
     generated method for a few dozen patterns exceeds the JVM's size limits, so it would not
     be compiled to machine code, while nearly all the time goes to the pattern matcher.
     """
-    tried = []
-    for i, r in enumerate(rules):
-        values, gate = _all_values(r, text), _worth_trying(r)
-        tried.append(
-            F.struct(
-                F.lit(i).alias("position"),
-                (F.when(gate[0], values) if gate else values).alias("values"),
-            )
-        )
-    if not tried:
+    if not rules:
         return F.lit(None).cast("array<struct<position:int,values:array<string>>>")
+    tried = [
+        F.when(w, F.struct(F.lit(i).alias("position"), _all_values(r, text).alias("values")))
+        for i, (r, w) in enumerate(zip(rules, worth, strict=True))
+    ]
     return F.filter(F.array(*tried), lambda h: F.coalesce(_first_value(h) != "", F.lit(False)))
 
 
@@ -113,13 +125,16 @@ class _FieldPlan:
             self.cells += [_Cell(r, n, conf) for conf, _, n, r in ranked if conf > 0.0]
         self.rank = {(c.rule.rule_id, c.matches): k for k, c in enumerate(self.cells, 1)}
 
+        self.rules = self.tiers["strict"] + self.tiers["loose"]
+        # A hit of the last lead rule has the top confidence: no rule that follows can win.
+        strict = self.tiers["strict"]
+        top = [k for k, r in enumerate(strict, 1) if boosted(r.base, 1) >= 1.0]
+        self.lead = strict[: top[0]] if top else []
+        self.follow = strict[len(self.lead) :]
+
     @property
-    def lead(self) -> int:
-        """How many strict rules decide the tier if they hit, because no later one can win."""
-        for k, r in enumerate(self.tiers["strict"], 1):
-            if boosted(r.base, 1) >= 1.0:
-                return k
-        return 0
+    def decisive_rank(self) -> int:
+        return self.rank[(self.lead[-1].rule_id, 1)]
 
     def best(self, rules: Sequence[Rule], hits: Column) -> Column:
         """The winner among ``hits``: (rank, value), NULL when there is none."""
@@ -144,10 +159,10 @@ class _FieldPlan:
     def lookup(self, rank: Column, per_cell) -> Column:
         return F.get(F.array(*[F.lit(per_cell(c)) for c in self.cells]), rank - 1)
 
-    def result(self, text: Column, best: Column) -> Column:
+    def result(self, best: Column, length: Column, evidence: Column) -> Column:
         """The winning outcome as a struct, NULL when no rule hits."""
         if not self.cells:
-            return F.lit(None).cast(_NO_RESULT)
+            return F.lit(None).cast(_RESULT)
 
         def final(length: int):
             return lambda c: scored(c.confidence, _SOURCE[c.rule.tier], True, length)
@@ -155,16 +170,16 @@ class _FieldPlan:
         rank, value = best["rank"], best["value"]
         loose = sum(c.rule.tier == "loose" for c in self.cells)
         return F.when(
-            rank.isNotNull(),
+            best.isNotNull(),
             F.struct(
                 truncate_value(value).alias("value"),
-                F.when(F.length(value) < SHORT_LENGTH, self.lookup(rank, final(1)))
+                F.when(length < SHORT_LENGTH, self.lookup(rank, final(1)))
                 .otherwise(self.lookup(rank, final(SHORT_LENGTH)))
                 .alias("confidence"),
                 F.when(rank > loose, F.lit("regex_strict"))
                 .otherwise(F.lit("regex_loose"))
                 .alias("source"),
-                evidence_window(text, value).alias("raw_evidence"),
+                shorten_evidence(evidence).alias("raw_evidence"),
                 self.lookup(rank, lambda c: c.confidence).alias("raw_confidence"),
                 self.lookup(rank, lambda c: c.rule.rule_id).alias("rule_id"),
             ),
@@ -191,51 +206,61 @@ def extract_fields(
     text = F.col(text_col)
     carried = df.columns
 
+    def col(stage: str, p: _FieldPlan) -> Column:
+        return F.col(f"__{stage}_{p.field}")
+
+    def stage(df: DataFrame, name: str, column) -> DataFrame:
+        return df.withColumns({f"__{name}_{p.field}": column(p) for p in plans})
+
+    def worth(p: _FieldPlan, rules: Sequence[Rule]) -> list[Column]:
+        return [F.get(col("worth", p), F.lit(p.rules.index(r))) for r in rules]
+
     out = df.withColumn(_FOLDED, fold_case(text))
     # A decisive strict hit (confidence 1.0) spares the rest of its tier.
-    out = out.withColumns(
-        {f"__lead_{p.field}": _hits(p.tiers["strict"][: p.lead], text) for p in plans if p.lead}
-    )
     out = out.withColumns(
         {
-            f"__lead_{p.field}": p.best(p.tiers["strict"][: p.lead], F.col(f"__lead_{p.field}"))
-            for p in plans
-            if p.lead
+            **{f"__worth_{p.field}": F.array(*[_worth_trying(r) for r in p.rules]) for p in plans},
+            **{
+                f"__lead_{p.field}": p.best(
+                    p.lead, _hits(p.lead, text, [_worth_trying(r) for r in p.lead])
+                )
+                for p in plans
+            },
         }
     )
-    strict = {}
-    for p in plans:
-        hits = _hits(p.tiers["strict"][p.lead :], text)
-        if p.lead:
-            decisive = F.lit(p.rank[(p.tiers["strict"][p.lead - 1].rule_id, 1)])
-            hits = F.when(F.coalesce(F.col(f"__lead_{p.field}.rank") < decisive, F.lit(True)), hits)
-        strict[f"__strict_{p.field}"] = hits
-    out = out.withColumns(strict)
-    strict = {}
-    for p in plans:
-        best = p.best(p.tiers["strict"][p.lead :], F.col(f"__strict_{p.field}"))
-        if p.lead:
-            best = F.array_max(F.array(F.col(f"__lead_{p.field}"), best))
-        strict[f"__strict_{p.field}"] = best
-    out = out.withColumns(strict)
-    out = out.withColumns(
-        {
-            f"__loose_{p.field}": F.when(
-                F.col(f"__strict_{p.field}").isNull(), _hits(p.tiers["loose"], text)
-            )
-            for p in plans
-        }
+
+    def strict(p: _FieldPlan) -> Column:
+        best = p.best(p.follow, _hits(p.follow, text, worth(p, p.follow)))
+        if not p.lead:
+            return best
+        # NULL when undecided and nothing follows; the greater rank otherwise.
+        undecided = F.coalesce(col("lead", p)["rank"] < p.decisive_rank, F.lit(True))
+        return F.array_max(F.array(col("lead", p), F.when(undecided, best)))
+
+    out = stage(out, "strict", strict)
+    out = stage(
+        out,
+        "best",
+        lambda p: F.when(
+            col("strict", p).isNull(),
+            p.best(p.tiers["loose"], _hits(p.tiers["loose"], text, worth(p, p.tiers["loose"]))),
+        ).otherwise(col("strict", p)),
     )
+    # One projection per step, so that no step is computed again by the one that uses it twice.
     out = out.withColumns(
         {
-            f"__best_{p.field}": F.coalesce(
-                F.col(f"__strict_{p.field}"),
-                p.best(p.tiers["loose"], F.col(f"__loose_{p.field}")),
-            )
-            for p in plans
+            **{f"__at_{p.field}": F.instr(text, col("best", p)["value"]) for p in plans},
+            **{f"__length_{p.field}": F.length(col("best", p)["value"]) for p in plans},
         }
     )
-    results = [p.result(text, F.col(f"__best_{p.field}")).alias(p.field) for p in plans]
+    out = stage(
+        out,
+        "evidence",
+        lambda p: window_at(text, col("best", p)["value"], col("at", p), col("length", p)),
+    )
+    results = [
+        p.result(col("best", p), col("length", p), col("evidence", p)).alias(p.field) for p in plans
+    ]
     return out.select(*[F.col(f"`{c}`") for c in carried if c not in fields], *results)
 
 
@@ -278,7 +303,7 @@ def rule_hits(
     matches = F.size("hit.values")
     return (
         df.withColumn(_FOLDED, fold_case(text))
-        .select(*[F.col(f"`{c}`") for c in carried], F.explode(_hits(rules, text)).alias("hit"))
+        .select(*[F.col(f"`{c}`") for c in carried], F.explode(_hits(rules, text, [_worth_trying(r) for r in rules])).alias("hit"))
         .select(
             *[F.col(f"`{c}`") for c in carried],
             of_rule([r.rule_id for r in rules]).alias("rule_id"),

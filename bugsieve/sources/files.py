@@ -39,12 +39,12 @@ def read_error_logs(
     two branches differ by a filter on the file size, which prunes files before the read.
     Subfolders named ``key=value`` become columns.
     """
-    reader = spark.read.option("pathGlobFilter", pattern).option("wholetext", True)
+    reader = spark.read.option("pathGlobFilter", pattern)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     size = F.col("_metadata.file_size")
     limit = max_mb * _MB
-    files = reader.text(path)
+    files = reader.text(path, wholetext=True)
     good = files.where(size <= limit).select(
         log_text(F.col("value")).alias("text"),
         _plain_path(F.col("_metadata.file_path")).alias("path"),
