@@ -4,6 +4,7 @@ from __future__ import annotations
 
 # Python counts the four ASCII separators as white space, the JVM does not.
 _SPACE = r"\s\x1c-\x1f"
+_QUOTES = {"'": r"\x27", '"': r"\x22"}
 _NOT_SPACE = r"[^\s\x1c-\x1f]"
 
 
@@ -12,6 +13,7 @@ def java_pattern(pattern: str, flags: str = "") -> str:
 
     ``U`` makes character classes and case folding Unicode-aware, ``d`` leaves newline as the
     only line end. Inside a class the JVM gives ``[`` and ``&&`` a meaning Python does not.
+    Quotes are written as escapes, so that the result fits a raw SQL string.
     """
     out, i, in_class = [], 0, False
     while i < len(pattern):
@@ -24,11 +26,15 @@ def java_pattern(pattern: str, flags: str = "") -> str:
                 out.append(_NOT_SPACE)
             elif two == r"\Z":
                 out.append(r"\z")
+            elif two[1] in _QUOTES:
+                out.append(_QUOTES[two[1]])
             else:
                 out.append(two)
             i += 2
             continue
-        if in_class:
+        if ch in _QUOTES:
+            out.append(_QUOTES[ch])
+        elif in_class:
             if ch == "]":
                 in_class = False
                 out.append(ch)

@@ -279,6 +279,8 @@ def check_rules(rules: Sequence[Rule]) -> list[Rule]:
             raise ValueError(f"rule {r.rule_id}: base confidence {r.base} is outside [0, 1]")
         if set(r.flags) - set("ims"):
             raise ValueError(f"rule {r.rule_id}: unknown flags {r.flags!r}")
+        if any(not w or set(w) & set("'\"\\") for words in r.needs for w in words):
+            raise ValueError(f"rule {r.rule_id}: prefilter words may not hold quotes or backslashes")
         try:
             re.compile(r.pattern)
         except re.error as e:

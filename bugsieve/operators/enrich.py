@@ -47,6 +47,9 @@ def vectorized_enricher(
             out[rows] = infer(field[rows], text[rows], observed[rows])
         return out
 
+    # A filter on its result must not be pushed below it, where it would be called again.
+    propose = propose.asNondeterministic()
+
     def enricher(field: str, text: Column, observed: Column, wanted: Column) -> Column | None:
         if field not in fields:
             return None

@@ -3,13 +3,14 @@
 Every (rule, number of matches) pair has a confidence that is known while the plan is built.
 Sorting these pairs gives each a rank, so the best rule of a text is the hit with the greatest
 rank, and confidence, score, source and rule id are lookups by rank.
+
+Expressions over many rules are written as SQL text: one parsed expression per stage instead
+of ten thousand calls between Python and the JVM while the plan is built.
 """
 
 from __future__ import annotations
 
-import functools
-import operator
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,19 +18,26 @@ from pyspark.sql import functions as F
 
 from bugsieve.functions.rules import TIERS, Rule, check_rules, default_rules
 from bugsieve.functions.scoring import SHORT_LENGTH, boosted, occurrence_boost, scored
-from bugsieve.functions.text import fold_case, shorten_evidence, strip, truncate_value, window_at
+from bugsieve.functions.text import (
+    WHITESPACE,
+    fold_case,
+    shorten_evidence,
+    strip,
+    truncate_value,
+    window_at,
+)
 from bugsieve.schema import FIELDS
 
 _FOLDED = "__folded"
 _SOURCE = {"strict": "regex_strict", "loose": "regex_loose"}
 # The repeat bonus is at its maximum from the third match on.
 _COUNTED_MATCHES = (1, 2, 3)
+_HITS = "array<struct<position:int,values:array<string>>>"
+_BEST = "struct<rank:int,value:string>"
 _RESULT = (
     "struct<value:string,confidence:double,source:string,raw_evidence:string,"
     "raw_confidence:double,rule_id:string>"
 )
-
-
 # English letters from rare to common; a prefilter word is searched by its rarest start.
 _RARE_FIRST = "zqxjkvbpygfwmucldrhsnioate"
 _MIN_WORD = 4
@@ -41,60 +49,56 @@ def _search_form(word: str) -> str:
     A byte search compares on from every place where the first byte fits, so a rare first byte
     makes it several times faster. A text that holds the word holds its ending.
     """
-    starts = range(max(1, len(word) - _MIN_WORD + 1))
-    if not word.isalpha():
+    if not (word.isascii() and word.isalpha() and word.islower()):
         return word
+    starts = range(max(1, len(word) - _MIN_WORD + 1))
     return word[min(starts, key=lambda i: _RARE_FIRST.find(word[i])) :]
 
 
-def _worth_trying(rule: Rule) -> Column:
-    """Prefilter of a rule on the case-folded text; always true for a rule without one."""
+def _worth_trying(rule: Rule) -> str:
+    """SQL for the prefilter of a rule; true for a rule without one."""
     options = [
-        functools.reduce(
-            operator.and_, [F.contains(F.col(_FOLDED), F.lit(_search_form(w))) for w in words]
-        )
+        " AND ".join(f"contains({_FOLDED}, '{_search_form(w)}')" for w in words)
         for words in rule.needs
     ]
-    return functools.reduce(operator.or_, options) if options else F.lit(True)
+    return " OR ".join(f"({o})" for o in options) or "true"
+
 
+def _all_values(rule: Rule, text: str) -> str:
+    """SQL for the value of every match: the group, or the non-empty groups joined by a space."""
 
-def _all_values(rule: Rule, text: Column) -> Column:
-    """Value of every match: the group, or the non-empty groups joined by a space."""
-    def group(g: int) -> Column:
-        return F.regexp_extract_all(text, F.lit(rule.java), F.lit(g))
+    def group(g: int) -> str:
+        return f"regexp_extract_all({text}, r'{rule.java}', {g})"
 
     if rule.groups < 2:
         return group(rule.groups)
-    columns = [group(g).alias(f"g{g}") for g in range(1, rule.groups + 1)]
-    return F.transform(
-        F.arrays_zip(*columns),
-        lambda m: F.concat_ws(
-            " ", *[F.nullif(m[f"g{g}"], F.lit("")) for g in range(1, rule.groups + 1)]
-        ),
-    )
+    numbers = range(1, rule.groups + 1)
+    arrays = ", ".join(f"{group(g)}" for g in numbers)
+    parts = ", ".join(f"nullif(m.`{g - 1}`, '')" for g in numbers)
+    return f"transform(arrays_zip({arrays}), m -> concat_ws(' ', {parts}))"
 
 
-def _first_value(hit: Column) -> Column:
-    return strip(F.get(hit["values"], F.lit(0)))
+def _first_value(hit: str) -> str:
+    return f"btrim(get({hit}.values, 0), r'{WHITESPACE}')"
 
 
-def _hits(rules: Sequence[Rule], text: Column, worth: Sequence[Column]) -> Column:
-    """The rules that match a text, as an array of (position in ``rules``, values).
+def _hits(rules: Sequence[Rule], text: str, worth: Callable[[Rule], str]) -> str:
+    """SQL for the rules that match a text: an array of (position in ``rules``, values).
 
-    ``worth`` holds the prefilter of each rule. A rule whose first value is empty is left out
-    even when a later value is not.
+    ``worth`` gives the prefilter of a rule. A rule whose first value is empty is left out even
+    when a later value is not.
 
     ``filter`` is evaluated outside whole-stage code generation, and that is wanted here: the
     generated method for a few dozen patterns exceeds the JVM's size limits, so it would not
     be compiled to machine code, while nearly all the time goes to the pattern matcher.
     """
     if not rules:
-        return F.lit(None).cast("array<struct<position:int,values:array<string>>>")
-    tried = [
-        F.when(w, F.struct(F.lit(i).alias("position"), _all_values(r, text).alias("values")))
-        for i, (r, w) in enumerate(zip(rules, worth, strict=True))
-    ]
-    return F.filter(F.array(*tried), lambda h: F.coalesce(_first_value(h) != "", F.lit(False)))
+        return f"CAST(NULL AS {_HITS})"
+    tried = ", ".join(
+        f"CASE WHEN {worth(r)} THEN named_struct('position', {i}, 'values', {_all_values(r, text)}) END"
+        for i, r in enumerate(rules)
+    )
+    return f"filter(array({tried}), h -> coalesce({_first_value('h')} != '', false))"
 
 
 @dataclass(frozen=True)
@@ -112,6 +116,7 @@ class _FieldPlan:
     def __init__(self, field: str, rules: Sequence[Rule]):
         self.field = field
         self.tiers = {t: [r for r in rules if r.field == field and r.tier == t] for t in TIERS}
+        self.rules = self.tiers["strict"] + self.tiers["loose"]
         self.cells: list[_Cell] = []
         # Any strict outcome outranks any loose one; within a tier the higher confidence
         # wins and the earlier rule wins ties.
@@ -124,8 +129,6 @@ class _FieldPlan:
             ranked.sort(key=lambda c: c[:3])
             self.cells += [_Cell(r, n, conf) for conf, _, n, r in ranked if conf > 0.0]
         self.rank = {(c.rule.rule_id, c.matches): k for k, c in enumerate(self.cells, 1)}
-
-        self.rules = self.tiers["strict"] + self.tiers["loose"]
         # A hit of the last lead rule has the top confidence: no rule that follows can win.
         strict = self.tiers["strict"]
         top = [k for k, r in enumerate(strict, 1) if boosted(r.base, 1) >= 1.0]
@@ -136,52 +139,65 @@ class _FieldPlan:
     def decisive_rank(self) -> int:
         return self.rank[(self.lead[-1].rule_id, 1)]
 
-    def best(self, rules: Sequence[Rule], hits: Column) -> Column:
-        """The winner among ``hits``: (rank, value), NULL when there is none."""
+    def worth(self, rule: Rule) -> str:
+        return f"get(__worth_{self.field}, {self.rules.index(rule)})"
+
+    def best(self, rules: Sequence[Rule], text: str, worth: Callable[[Rule], str]) -> str:
+        """SQL for the winner among ``rules``: (rank, value), NULL when none hits."""
         if not rules:
-            return F.lit(None).cast("struct<rank:int,value:string>")
-        ranks = F.array(
-            *[
-                F.array(*[F.lit(self.rank.get((r.rule_id, n))).cast("int") for n in _COUNTED_MATCHES])
-                for r in rules
-            ]
+            return f"CAST(NULL AS {_BEST})"
+        ranks = ", ".join(
+            "array({})".format(
+                ", ".join(
+                    str(self.rank.get((r.rule_id, n), "CAST(NULL AS INT)")) for n in _COUNTED_MATCHES
+                )
+            )
+            for r in rules
         )
+        rank = f"get(get(array({ranks}), h.position), least(size(h.values), {_COUNTED_MATCHES[-1]}) - 1)"
+        outcome = (
+            f"CASE WHEN {rank} IS NOT NULL THEN "
+            f"named_struct('rank', {rank}, 'value', {_first_value('h')}) END"
+        )
+        return f"array_max(transform({_hits(rules, text, worth)}, h -> {outcome}))"
 
-        def outcome(h: Column) -> Column:
-            matches = F.least(F.size(h["values"]), F.lit(_COUNTED_MATCHES[-1]))
-            rank = F.get(F.get(ranks, h["position"]), matches - 1)
-            return F.when(
-                rank.isNotNull(), F.struct(rank.alias("rank"), _first_value(h).alias("value"))
-            )
+    def strict(self, text: str) -> str:
+        best = self.best(self.follow, text, self.worth)
+        if not self.lead:
+            return best
+        lead = f"__lead_{self.field}"
+        undecided = f"coalesce({lead}.rank < {self.decisive_rank}, true)"
+        return f"array_max(array({lead}, CASE WHEN {undecided} THEN {best} END))"
 
-        return F.array_max(F.transform(hits, outcome))
+    def strict_or_loose(self, text: str) -> str:
+        strict = f"__strict_{self.field}"
+        loose = self.best(self.tiers["loose"], text, self.worth)
+        return f"CASE WHEN {strict} IS NULL THEN {loose} ELSE {strict} END"
 
-    def lookup(self, rank: Column, per_cell) -> Column:
-        return F.get(F.array(*[F.lit(per_cell(c)) for c in self.cells]), rank - 1)
+    def lookup(self, per_cell: Callable[[_Cell], str]) -> Column:
+        values = ", ".join(per_cell(c) for c in self.cells)
+        return F.expr(f"get(array({values}), __best_{self.field}.rank - 1)")
 
-    def result(self, best: Column, length: Column, evidence: Column) -> Column:
+    def result(self) -> Column:
         """The winning outcome as a struct, NULL when no rule hits."""
         if not self.cells:
             return F.lit(None).cast(_RESULT)
 
-        def final(length: int):
-            return lambda c: scored(c.confidence, _SOURCE[c.rule.tier], True, length)
+        def final(length: int) -> Callable[[_Cell], str]:
+            return lambda c: f"{scored(c.confidence, _SOURCE[c.rule.tier], True, length)!r}D"
 
-        rank, value = best["rank"], best["value"]
-        loose = sum(c.rule.tier == "loose" for c in self.cells)
+        best = F.col(f"__best_{self.field}")
         return F.when(
             best.isNotNull(),
             F.struct(
-                truncate_value(value).alias("value"),
-                F.when(length < SHORT_LENGTH, self.lookup(rank, final(1)))
-                .otherwise(self.lookup(rank, final(SHORT_LENGTH)))
+                truncate_value(best["value"]).alias("value"),
+                F.when(F.col(f"__length_{self.field}") < SHORT_LENGTH, self.lookup(final(1)))
+                .otherwise(self.lookup(final(SHORT_LENGTH)))
                 .alias("confidence"),
-                F.when(rank > loose, F.lit("regex_strict"))
-                .otherwise(F.lit("regex_loose"))
-                .alias("source"),
-                shorten_evidence(evidence).alias("raw_evidence"),
-                self.lookup(rank, lambda c: c.confidence).alias("raw_confidence"),
-                self.lookup(rank, lambda c: c.rule.rule_id).alias("rule_id"),
+                self.lookup(lambda c: f"'{_SOURCE[c.rule.tier]}'").alias("source"),
+                shorten_evidence(F.col(f"__evidence_{self.field}")).alias("raw_evidence"),
+                self.lookup(lambda c: f"{c.confidence!r}D").alias("raw_confidence"),
+                self.lookup(lambda c: f"'{c.rule.rule_id}'").alias("rule_id"),
             ),
         )
 
@@ -194,74 +210,59 @@ def extract_fields(
 ) -> DataFrame:
     """Add one struct column per field: value, confidence, source, raw_evidence, raw_confidence, rule_id.
 
-    The columns are independent: reading one field prunes the rules of the others. Stages are
-    separate projections because each refers to the one before several times. Loose rules run
+    Only the rules of the named fields are tried, so name the fields you need. Loose rules run
     only where the strict tier found nothing.
+
+    The result passes a generator (``inline`` of one row). Without it a filter on a result
+    would be pushed below the extraction, where it repeats the patterns of every column it
+    refers to. Filters on the other columns still reach the scan.
     """
+    if not fields:
+        raise ValueError("name at least one field")
     unknown = set(fields) - set(FIELDS)
     if unknown:
         raise ValueError(f"unknown fields {sorted(unknown)}; known are {list(FIELDS)}")
     rules = default_rules() if rules is None else check_rules(rules)
     plans = [_FieldPlan(f, rules) for f in fields]
     text = F.col(text_col)
+    quoted = f"`{text_col}`"
     carried = df.columns
 
-    def col(stage: str, p: _FieldPlan) -> Column:
-        return F.col(f"__{stage}_{p.field}")
-
-    def stage(df: DataFrame, name: str, column) -> DataFrame:
+    # One projection per step, so that no step is computed again by the one that uses it twice.
+    def stage(df: DataFrame, name: str, column: Callable[[_FieldPlan], Column]) -> DataFrame:
         return df.withColumns({f"__{name}_{p.field}": column(p) for p in plans})
 
-    def worth(p: _FieldPlan, rules: Sequence[Rule]) -> list[Column]:
-        return [F.get(col("worth", p), F.lit(p.rules.index(r))) for r in rules]
-
     out = df.withColumn(_FOLDED, fold_case(text))
     # A decisive strict hit (confidence 1.0) spares the rest of its tier.
-    out = out.withColumns(
-        {
-            **{f"__worth_{p.field}": F.array(*[_worth_trying(r) for r in p.rules]) for p in plans},
-            **{
-                f"__lead_{p.field}": p.best(
-                    p.lead, _hits(p.lead, text, [_worth_trying(r) for r in p.lead])
-                )
-                for p in plans
-            },
-        }
-    )
-
-    def strict(p: _FieldPlan) -> Column:
-        best = p.best(p.follow, _hits(p.follow, text, worth(p, p.follow)))
-        if not p.lead:
-            return best
-        # NULL when undecided and nothing follows; the greater rank otherwise.
-        undecided = F.coalesce(col("lead", p)["rank"] < p.decisive_rank, F.lit(True))
-        return F.array_max(F.array(col("lead", p), F.when(undecided, best)))
-
-    out = stage(out, "strict", strict)
-    out = stage(
-        out,
-        "best",
-        lambda p: F.when(
-            col("strict", p).isNull(),
-            p.best(p.tiers["loose"], _hits(p.tiers["loose"], text, worth(p, p.tiers["loose"]))),
-        ).otherwise(col("strict", p)),
-    )
-    # One projection per step, so that no step is computed again by the one that uses it twice.
-    out = out.withColumns(
-        {
-            **{f"__at_{p.field}": F.instr(text, col("best", p)["value"]) for p in plans},
-            **{f"__length_{p.field}": F.length(col("best", p)["value"]) for p in plans},
-        }
-    )
+    first = {}
+    for p in plans:
+        first[f"__worth_{p.field}"] = F.expr(
+            f"array({', '.join(_worth_trying(r) for r in p.rules)})"
+        )
+        first[f"__lead_{p.field}"] = F.expr(p.best(p.lead, quoted, _worth_trying))
+    out = out.withColumns(first)
+    out = stage(out, "strict", lambda p: F.expr(p.strict(quoted)))
+    out = stage(out, "best", lambda p: F.expr(p.strict_or_loose(quoted)))
+    places = {}
+    for p in plans:
+        value = F.col(f"__best_{p.field}")["value"]
+        places[f"__at_{p.field}"] = F.instr(text, value)
+        places[f"__length_{p.field}"] = F.length(value)
+    out = out.withColumns(places)
     out = stage(
         out,
         "evidence",
-        lambda p: window_at(text, col("best", p)["value"], col("at", p), col("length", p)),
+        lambda p: window_at(
+            text,
+            F.col(f"__best_{p.field}")["value"],
+            F.col(f"__at_{p.field}"),
+            F.col(f"__length_{p.field}"),
+        ),
+    )
+    results = F.struct(*[p.result().alias(p.field) for p in plans])
+    return out.select(
+        *[F.col(f"`{c}`") for c in carried if c not in fields], F.inline(F.array(results))
     )
-    results = [
-        p.result(col("best", p), col("length", p), col("evidence", p)).alias(p.field) for p in plans
-    ]
-    return out.select(*[F.col(f"`{c}`") for c in carried if c not in fields], *results)
 
 
 def extract_field(
@@ -290,29 +291,31 @@ def rule_hits(
     """
     rules = default_rules() if rules is None else check_rules(rules)
     rules = [r for r in rules if field is None or r.field == field]
-    text = F.col(text_col)
-    carried = [c for c in df.columns if c != text_col]
+    carried = [F.col(f"`{c}`") for c in df.columns if c != text_col]
     ordinals, seen = [], {}
     for r in rules:
         ordinals.append(seen.get((r.field, r.tier), 0))
         seen[(r.field, r.tier)] = ordinals[-1] + 1
 
-    def of_rule(per_rule) -> Column:
-        return F.get(F.array(*[F.lit(x) for x in per_rule]), F.col("hit.position"))
+    def of_rule(values: list[str]) -> Column:
+        return F.expr(f"get(array({', '.join(values)}), __hit.position)")
 
-    matches = F.size("hit.values")
+    matches = F.size("__hit.values")
+    hits = F.expr(_hits(rules, f"`{text_col}`", _worth_trying))
     return (
-        df.withColumn(_FOLDED, fold_case(text))
-        .select(*[F.col(f"`{c}`") for c in carried], F.explode(_hits(rules, text, [_worth_trying(r) for r in rules])).alias("hit"))
+        df.withColumn(_FOLDED, fold_case(F.col(text_col)))
+        .select(*carried, F.explode(hits).alias("__hit"))
         .select(
-            *[F.col(f"`{c}`") for c in carried],
-            of_rule([r.rule_id for r in rules]).alias("rule_id"),
-            of_rule([r.field for r in rules]).alias("field"),
-            of_rule([r.tier for r in rules]).alias("tier"),
-            of_rule(ordinals).alias("ordinal"),
-            _first_value(F.col("hit")).alias("value"),
+            *carried,
+            of_rule([f"'{r.rule_id}'" for r in rules]).alias("rule_id"),
+            of_rule([f"'{r.field}'" for r in rules]).alias("field"),
+            of_rule([f"'{r.tier}'" for r in rules]).alias("tier"),
+            of_rule([str(n) for n in ordinals]).alias("ordinal"),
+            strip(F.get(F.col("__hit.values"), F.lit(0))).alias("value"),
             matches.alias("matches"),
-            occurrence_boost(of_rule([float(r.base) for r in rules]), matches).alias("confidence"),
+            occurrence_boost(of_rule([f"{float(r.base)!r}D" for r in rules]), matches).alias(
+                "confidence"
+            ),
         )
     )
 

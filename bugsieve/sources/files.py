@@ -37,7 +37,8 @@ def read_error_logs(
 
     Files over the size limit keep their row, with a reject reason, and are not opened: the
     two branches differ by a filter on the file size, which prunes files before the read.
-    Subfolders named ``key=value`` become columns.
+    Subfolders named ``key=value`` become columns. Spark's file sources skip files of zero
+    bytes; ``empty_files`` makes their rows from a manifest.
     """
     reader = spark.read.option("pathGlobFilter", pattern)
     if recursive:
@@ -117,6 +118,21 @@ def check_manifest(
     return manifest.withColumn("reject_reason", file_reject_reason(F.col(path), F.col(size), max_mb))
 
 
+def empty_files(manifest: DataFrame, path: str = "path", size: str = "length") -> DataFrame:
+    """Staging rows with an empty text for the zero-byte log files of a manifest."""
+    p = F.col(path)
+    kept = [c for c in manifest.columns if c not in (path, size)]
+    return _file_staging(
+        manifest.where((F.col(size) == 0) & tx.file_suffix(p).isin(".log", ".txt")).select(
+            F.lit("").alias("text"),
+            p.alias("path"),
+            F.col(size).alias("size"),
+            F.lit(None).cast("string").alias("reject_reason"),
+            *kept,
+        )
+    )
+
+
 def missing_files(requested: DataFrame, staging: DataFrame, path: str = "path") -> DataFrame:
     """Rejects for the requested paths that a file scan did not find."""
     found = staging.select(F.col("source_metadata.source_id").alias(path))
