@@ -134,6 +134,8 @@ _STACK_SAFE = {
     "CM-L01": r"\b([a-z]+-[a-z](?:[a-z-](?<!--))*service)\b",
     "CM-L02": r"\b([a-z]++-[a-z]++(?:-[a-z]++)*+)\b(?=\s+(?:status|unavailable|degraded|error))",
     "RS-S04": r"((?:^|\n)\s*1[\.\)]\s+.++(?:\n\s*\d[\.\)]\s+.++)++)",
+    # Of all keywords before the same bracket only the first is tried: the others fail alike.
+    "OB-L01": r"(?:\G|(?<=\]))(?>[^\]]*?(?:ERROR|CRITICAL))[^\]]*+\]\s+([^:\n]+(?:failed|error|timeout|unavailable)[^.\n]*)",
     # A run of whole lines, or one line that holds a second stamped entry.
     "RS-L04": rf"((?:{_LOG_LINE}++\n?+){{2,}}+|{_LOG_LINE}+(?:{_LOG_LINE}++\n?+)++)",
 }

@@ -33,11 +33,12 @@ def read_ado(df: DataFrame, json_col: str = "json", keep: tuple[str, ...] = ())
             is_item,
             F.coalesce(F.col("__item.id"), F.when(null_id, F.lit("None")).otherwise(F.lit("unknown"))),
         ).alias("__id"),
-        F.when(is_item, tx.strip_html(tx.compose_work_item(F.col("__item.fields")))).alias("text"),
+        F.when(is_item, tx.compose_work_item(F.col("__item.fields"))).alias("composed"),
         F.when(~is_item, F.lit("ADO source must be a dictionary")).alias("reject_reason"),
         *[f"__keep_{c}" for c in keep],
     )
-    return composed.select(
+    stripped = composed.withColumn("text", tx.strip_html(F.col("composed")))
+    return stripped.select(
         "text",
         metadata(
             "ado_bug",

@@ -14,11 +14,12 @@ from bugsieve.sources.files import LOG_GLOB, MAX_FILE_MB, _file_staging, _plain_
 
 def read_log_stream(
     spark: SparkSession, path: str, pattern: str = LOG_GLOB, max_mb: int = MAX_FILE_MB,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = None, partitions: int | None = None,
 ) -> DataFrame:
     """Staging frame of a folder that log files are added to.
 
     Files over the size limit are skipped; a batch ``read_error_logs`` lists them as rejects.
+    ``partitions`` redistributes each micro-batch, for streams of few files at a time.
     """
     reader = (
         spark.readStream.format("text")
@@ -28,7 +29,7 @@ def read_log_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     size = F.col("_metadata.file_size")
-    return _file_staging(
+    files = (
         reader.load(path)
         .where(size <= max_mb * 1024 * 1024)
         .select(
@@ -38,6 +39,7 @@ def read_log_stream(
             F.lit(None).cast("string").alias("reject_reason"),
         )
     )
+    return _file_staging(files.repartition(partitions) if partitions else files)
 
 
 def write_stream(
@@ -65,13 +67,14 @@ def normalize_stream(
     *,
     pattern: str = LOG_GLOB,
     max_mb: int = MAX_FILE_MB,
+    partitions: int | None = None,
     format: str = "parquet",
     available_now: bool = True,
     **options,
 ) -> StreamingQuery:
     """Normalize every log file that arrives in a folder. Ids follow the content by default."""
     options.setdefault("id_mode", "content")
-    staging = read_log_stream(spark, path, pattern, max_mb)
+    staging = read_log_stream(spark, path, pattern, max_mb, partitions=partitions)
     return write_stream(normalize(staging, **options), out, checkpoint, format, available_now)
 
 

@@ -19,37 +19,37 @@ SERVICES = [
 ]
 
 MESSAGES = [
-    "Connection pool exhausted. Active connections: 100/100",
-    "Multiple endpoint timeouts detected. Circuit breaker triggered.",
-    "Request processing failed: 504 Gateway Timeout",
-    "Error rate exceeded threshold: 30% (threshold: 5%)",
-    "Customer impact detected: 1200 users affected in last 5 minutes",
-    "Backend service unresponsive: order-processing-service",
-    "Multiple services reporting degraded performance",
-    "Service dependency unavailable: database-service",
-    "Service health degraded: database-service status RED",
-    "Failed to authenticate user: database connection error",
-    "Connection timeout after 30000ms",
-    "Memory usage critical: 92% utilized",
-    "Out of memory error in authentication middleware",
-    "Memory growth rate: 15MB/minute",
-    "Service health status changed to DEGRADED",
-    "Unable to complete order: payment-service unavailable",
-    "Multiple critical services degraded: payment-service, order-service",
+    "Connection pool exhausted. In use: 64/64",
+    "Several endpoint timeouts detected. Circuit breaker triggered.",
+    "Request processing failed: 504 Gateway Timeout on retry",
+    "Error rate exceeded threshold: 31% (threshold: 4%)",
+    "Customer impact: 75 users affected since noon",
+    "Backend service: parcel-tracker slow, cart unresponsive: stock-keeping-service",
+    "Some nodes report degraded performance",
+    "Service dependency unavailable: ledger-service",
+    "Node health degraded: ledger-service status amber",
+    "Failed to open session: database connection error",
+    "Connection timeout after 9 s",
+    "Memory usage critical: 97 percent",
+    "Out of memory error in image resizer",
+    "Memory growth: 3 MB per minute",
+    "Gateway health status changed to DEGRADED",
+    "Unable to close basket: billing-service unavailable",
+    "Two services degraded: billing-service, basket-service",
     "cascade failure in region two",
     "Memory leak detected in heap space",
     "queue overflow on topic orders",
     "java.lang.NullPointerException at com.acme.pay.Checkout.submit(Checkout.java:42)",
     "IndexOutOfBoundsException when accessing array of items",
     "SQLException in module billing.core while saving",
-    "TimeoutException in DatabaseService when querying users table",
+    "TimeoutException in SearchService when reading the index",
     "ConnectionRefusedException raised by upstream service: ledger-core",
     "FileNotFoundException for config.xml, StackOverflowError follows",
     "HTTP 404 Not Found for /v1/items",
     "403 Forbidden returned, 503 Error next",
     "user login took 12 ms",
     "cache warm, nothing to report",
-    "Application crashed unexpectedly on start. Restarting",
+    "Application crashed early on start. Restarting",
     "service is down but retry works",
     "component: checkout-form rendered twice",
     "foo-bar-baz-service ready and search-index error seen",
@@ -72,20 +72,20 @@ MESSAGES = [
 ]
 
 BLOCKS = [
-    "Get list of customers affected.",
-    "Steps to reproduce: Click login button~Observed: App crashes~Expected: Should login successfully",
-    "Steps to reproduce:~1. Add items to cart~2. Go to checkout~3. Enter payment info~4. Click Submit~~Actual behavior: Application crashes with NullPointerException~Expected behavior: Order should be submitted successfully",
-    "[Screen Readers-Service Now-Incident]: JAWS is reading unavailable after expanding the timing button.~~Repro Steps:~Step 1: Open JAWS and Navigate to above URL~~Actual Result:~JAWS is reading it wrong.~~Expected Result:~JAWS should read it once.",
-    "[RS3-16295]- Outlook fails to Launch through the Action Center~~Repro Steps:~1. Copy build locally~2. Start the upgrade~~Actual Behavior- nothing shown.",
-    "1. Deploy image through server~2. Check the status~3) Restart the host~~Expected Result :-~Service should be OFF~~Actual Result:-~Service was ON",
-    "When I click the Submit button on the checkout page, nothing happens. This occurs in the PaymentService module.",
+    "Ask the desk for a list of accounts.",
+    "Steps to reproduce: Press save twice~Observed: Form is lost~Expected: Should keep the form",
+    "Steps to reproduce:~1. Open the basket~2. Go to the till~3. Pick a card~4. Press pay~~Actual behavior: Application crashes with NullPointerException~Expected behavior: Basket should be paid successfully, once",
+    "[Portal-Service Now-Ticket list]: JAWS is reading the total twice after sorting the list.~~Repro Steps:~Step 1: Start JAWS~Step 2: Sort the list~~Actual Result:~The total is read twice.~~Expected Result:~The total should be read once.",
+    "[QA7-1234]- Calendar fails to show from the side bar~~Repro Steps:~1. Install the build~2. Restart~~Actual Behavior- nothing shown.",
+    "1. Roll out the image~2. Look at the lamp~3) Restart the host~~Expected Result :-~Lamp should be green~~Actual Result:-~Lamp was red",
+    "When I press the pay button nothing happens. This is seen in the BillingService module.",
     "How to reproduce: open the report and press export~~What happened: the file is empty~~Acceptance criteria: file has all rows",
     "Application: Billing Portal Version 3 shows a blank page. However, the list returns fine.",
     "Result: totals differ~~Outcome: refund issued~~Outcome: second refund",
     "if you: press twice the dialog opens. Normally, it stays closed.",
     "The page must display totals correctly, users expect: a sum. We need a fix.",
     "Accessibility violation in the header. VoiceOver not announcing the menu item",
-    "Screen Readers: NVDA 2021.1 - Portal: http://intranet.example.org works",
+    "Screen Readers: NVDA 2022.3 - Portal: http://desk.example.org works",
     "Application fails to launch from the menu. Program fails to start again",
     "current behavior: spinner forever~~expected outcome: list loads within 2 seconds",
     "repro: run nightly job~~to reproduce, rerun it twice",
@@ -95,8 +95,8 @@ BLOCKS = [
     "in module 'ledger' and component \"cart_view\" fail. order-service status unknown",
     "Observed behavior:~~Expected outcome:~~nothing else",
     "Expected: ~~Expected: a result on retry",
-    "System encountered a SQLException in DatabaseService.~Steps to reproduce: Click the export button.~Actual behavior: Database query fails with timeout.~Expected behavior: Report should be generated successfully.",
-    "[WDS] - client is not installed and unavailable in the options~~Repro Steps:~~1) Reimage the device~2) Login to the device",
+    "A SQLException was seen in StockService.~Steps to reproduce: Run the export.~Actual behavior: Query ends in a timeout.~Expected behavior: A file should be written successfully.",
+    "[Label Printer] - driver is missing and unavailable in the menu~~Repro Steps:~~1) Reset the device~2) Log in",
     "Product Invoice Maker, build 7. Tool: Label Printer~Steps to reproduce: visiting the page, accessing reports. Shows: a blank list",
     "navigate to settings and open billing. The form gives: no total. It should work: always",
     "no vocabulary here at all",
@@ -105,33 +105,33 @@ BLOCKS = [
 ]
 
 TITLES = [
-    "Database connection timeout in UserService",
-    "SQLException in ReportGenerator",
-    "NullPointerException in PaymentService",
+    "Database connection timeout in ProfileService",
+    "SQLException in StatementWriter",
+    "NullPointerException in BasketHandler",
     "<b>Application crashes</b> on start",
     "Totals wrong when a &lt; b &nbsp;in table",
     "",
 ]
 
 DESCRIPTIONS = [
-    "<div>Users experiencing timeouts&nbsp;when logging in during peak hours</div>",
-    "<p>Database connection fails during report generation</p>",
+    "<div>People wait&nbsp;when opening the page at noon</div>",
+    "<p>Saving ends early on large files</p>",
     "",
     "<ul><li>Payment fails</li><li>Cart is lost</li></ul> &lt;none&gt;",
     "Service is down. <br/>Customer impact: 40 users affected",
 ]
 
 REPRO = [
-    "1. Wait until 9am peak load~2. Attempt login~3. Observe TimeoutException",
-    "1. Navigate to Reports~2. Click Generate~3. Observe SQLException",
+    "1. Wait until noon~2. Open the page~3. Note the TimeoutException",
+    "1. Navigate to Files~2. Click Save~3. Note the SQLException",
     "",
     "Open the cart and press pay",
 ]
 
 CRITERIA = [
-    "Login should complete within 2 seconds",
+    "Page should open within 2 seconds",
     "",
-    "Report must be generated <i>successfully</i>",
+    "File must be written <i>successfully</i>",
 ]
 
 

@@ -1024,10 +1024,10 @@ def a8(spark, sf_dir):
 
 
 def _stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table as a stream of its file; one file is one split, so its rows are spread."""
     schema = corpus.table(spark, sf_dir, table).schema
-    return (
-        spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
-    )
+    rows = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
+    return rows.repartition(spark.sparkContext.defaultParallelism)
 
 
 @register("t1_normalize_stream", o.with_records(o.LOGS, _record_select("'log_' || k AS source_id")))

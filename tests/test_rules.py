@@ -135,6 +135,7 @@ PIECES = {
     "CM-S11": ["services degraded", "service  degraded", ": ", "a", "-b", "-", "9", " ", "-9"],
     "CM-L01": ["a", "-", "b", "service", "-service", " ", "9", "_", "--", "c-d"],
     "CM-L02": ["a", "-b", "-", " ", "status", "error", " unavailable", "9", "degraded"],
+    "OB-L01": ["ERROR", "critical", "]", " ", "[", "x", "failed", "timeout", ":", ".", "\n", " error", "] y failed"],
     "RS-S04": ["1.", "2)", "3. ", " ", "  ", "\n", "x", "1) ", "\n1. a", "\n2. b", "\t"],
     "RS-L04": ["[2024-1]", " ", "ERROR", "WARN x", "INFO", "\n", "x", "[2024-", "]", "[2024-1] ERROR y", "CRITICAL"],
 }
