@@ -22,7 +22,6 @@ from bugsieve.functions.text import (
     WHITESPACE,
     fold_case,
     shorten_evidence,
-    strip,
     truncate_value,
     window_at,
 )
@@ -32,7 +31,7 @@ _FOLDED = "__folded"
 _SOURCE = {"strict": "regex_strict", "loose": "regex_loose"}
 # The repeat bonus is at its maximum from the third match on.
 _COUNTED_MATCHES = (1, 2, 3)
-_HITS = "array<struct<position:int,values:array<string>>>"
+_HITS = "array<struct<position:int,value:string,matches:int>>"
 _BEST = "struct<rank:int,value:string>"
 _RESULT = (
     "struct<value:string,confidence:double,source:string,raw_evidence:string,"
@@ -78,27 +77,26 @@ def _all_values(rule: Rule, text: str) -> str:
     return f"transform(arrays_zip({arrays}), m -> concat_ws(' ', {parts}))"
 
 
-def _first_value(hit: str) -> str:
-    return f"btrim(get({hit}.values, 0), r'{WHITESPACE}')"
-
-
 def _hits(rules: Sequence[Rule], text: str, worth: Callable[[Rule], str]) -> str:
-    """SQL for the rules that match a text: an array of (position in ``rules``, values).
+    """SQL for the rules that match a text: an array of (position in ``rules``, value, matches).
 
     ``worth`` gives the prefilter of a rule. A rule whose first value is empty is left out even
-    when a later value is not.
+    when a later value is not. The matches of a rule are dropped as soon as they are counted,
+    so a large text holds those of one rule at a time.
 
-    ``filter`` is evaluated outside whole-stage code generation, and that is wanted here: the
-    generated method for a few dozen patterns exceeds the JVM's size limits, so it would not
-    be compiled to machine code, while nearly all the time goes to the pattern matcher.
+    ``transform`` and ``filter`` are evaluated outside whole-stage code generation, and that is
+    wanted here: the generated method for a few dozen patterns exceeds the JVM's size limits,
+    so it would not be compiled to machine code, while nearly all the time goes to the matcher.
     """
     if not rules:
         return f"CAST(NULL AS {_HITS})"
     tried = ", ".join(
-        f"CASE WHEN {worth(r)} THEN named_struct('position', {i}, 'values', {_all_values(r, text)}) END"
+        f"CASE WHEN {worth(r)} THEN get(transform(array({_all_values(r, text)}), v -> "
+        f"named_struct('position', {i}, 'value', btrim(get(v, 0), r'{WHITESPACE}'), "
+        "'matches', size(v))), 0) END"
         for i, r in enumerate(rules)
     )
-    return f"filter(array({tried}), h -> coalesce({_first_value('h')} != '', false))"
+    return f"filter(array({tried}), h -> coalesce(h.value != '', false))"
 
 
 @dataclass(frozen=True)
@@ -154,10 +152,10 @@ class _FieldPlan:
             )
             for r in rules
         )
-        rank = f"get(get(array({ranks}), h.position), least(size(h.values), {_COUNTED_MATCHES[-1]}) - 1)"
+        rank = f"get(get(array({ranks}), h.position), least(h.matches, {_COUNTED_MATCHES[-1]}) - 1)"
         outcome = (
             f"CASE WHEN {rank} IS NOT NULL THEN "
-            f"named_struct('rank', {rank}, 'value', {_first_value('h')}) END"
+            f"named_struct('rank', {rank}, 'value', h.value) END"
         )
         return f"array_max(transform({_hits(rules, text, worth)}, h -> {outcome}))"
 
@@ -300,7 +298,7 @@ def rule_hits(
     def of_rule(values: list[str]) -> Column:
         return F.expr(f"get(array({', '.join(values)}), __hit.position)")
 
-    matches = F.size("__hit.values")
+    matches = F.col("__hit.matches")
     hits = F.expr(_hits(rules, f"`{text_col}`", _worth_trying))
     return (
         df.withColumn(_FOLDED, fold_case(F.col(text_col)))
@@ -311,7 +309,7 @@ def rule_hits(
             of_rule([f"'{r.field}'" for r in rules]).alias("field"),
             of_rule([f"'{r.tier}'" for r in rules]).alias("tier"),
             of_rule([str(n) for n in ordinals]).alias("ordinal"),
-            strip(F.get(F.col("__hit.values"), F.lit(0))).alias("value"),
+            F.col("__hit.value").alias("value"),
             matches.alias("matches"),
             occurrence_boost(of_rule([f"{float(r.base)!r}D" for r in rules]), matches).alias(
                 "confidence"
