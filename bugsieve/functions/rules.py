@@ -182,7 +182,7 @@ _NEEDS = {
     "CM-S02": [("[", "-")],
     "CM-S03": [("application",), ("product",), ("system",), ("tool",)],
     "CM-S04": [("screen", "reader")],
-    "CM-S05": [("http",)],
+    "CM-S05": [("http", "url"), ("http", "website"), ("http", "portal")],
     "CM-S06": [("error", "[")],
     "CM-S07": [("critical", "[")],
     "CM-S08": [("warn", "[")],

@@ -1024,9 +1024,9 @@ def a8(spark, sf_dir):
 
 
 def _stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A table as a stream of its file; one file is one split, so its rows are spread."""
+    """A table as a stream of its files; a file may be one split only, so its rows are spread."""
     schema = corpus.table(spark, sf_dir, table).schema
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
+    rows = spark.readStream.schema(schema).parquet(f"{sf_dir}/{table}.parquet*")
     return rows.repartition(spark.sparkContext.defaultParallelism)
 
 
