@@ -40,6 +40,8 @@ _RESULT = (
 # English letters from rare to common; a prefilter word is searched by its rarest start.
 _RARE_FIRST = "zqxjkvbpygfwmucldrhsnioate"
 _MIN_WORD = 4
+# Strict rules per step; after each step, rules that can no longer win are left out.
+_SEGMENT = 8
 
 
 def _search_form(word: str) -> str:
@@ -127,15 +129,15 @@ class _FieldPlan:
             ranked.sort(key=lambda c: c[:3])
             self.cells += [_Cell(r, n, conf) for conf, _, n, r in ranked if conf > 0.0]
         self.rank = {(c.rule.rule_id, c.matches): k for k, c in enumerate(self.cells, 1)}
-        # A hit of the last lead rule has the top confidence: no rule that follows can win.
+        self.segments = self._segments()
+
+    def _segments(self) -> list[list[Rule]]:
+        """The strict rules in steps: up to the first of top confidence, then a few at a time."""
         strict = self.tiers["strict"]
         top = [k for k, r in enumerate(strict, 1) if boosted(r.base, 1) >= 1.0]
-        self.lead = strict[: top[0]] if top else []
-        self.follow = strict[len(self.lead) :]
-
-    @property
-    def decisive_rank(self) -> int:
-        return self.rank[(self.lead[-1].rule_id, 1)]
+        cuts = [*range(top[0] if top else 0, len(strict), _SEGMENT)]
+        parts = [strict[: cuts[0]] if cuts else strict, *(strict[c : c + _SEGMENT] for c in cuts)]
+        return [p for p in parts if p]
 
     def worth(self, rule: Rule) -> str:
         return f"get(__worth_{self.field}, {self.rules.index(rule)})"
@@ -159,13 +161,21 @@ class _FieldPlan:
         )
         return f"array_max(transform({_hits(rules, text, worth)}, h -> {outcome}))"
 
-    def strict(self, text: str) -> str:
-        best = self.best(self.follow, text, self.worth)
-        if not self.lead:
+    def strict(self, step: int, text: str) -> str:
+        """SQL for the best strict outcome after one more segment.
+
+        A segment is skipped where the winner so far outranks all it could bring.
+        """
+        segment = self.segments[step] if step < len(self.segments) else []
+        best = self.best(segment, text, self.worth)
+        if step == 0:
             return best
-        lead = f"__lead_{self.field}"
-        undecided = f"coalesce({lead}.rank < {self.decisive_rank}, true)"
-        return f"array_max(array({lead}, CASE WHEN {undecided} THEN {best} END))"
+        so_far = f"__strict_{self.field}"
+        reachable = max(self.rank.get((r.rule_id, n), 0) for r in segment for n in _COUNTED_MATCHES)
+        return (
+            f"array_max(array({so_far}, CASE WHEN coalesce({so_far}.rank < {reachable}, true) "
+            f"THEN {best} END))"
+        )
 
     def strict_or_loose(self, text: str) -> str:
         strict = f"__strict_{self.field}"
@@ -231,15 +241,18 @@ def extract_fields(
         return df.withColumns({f"__{name}_{p.field}": column(p) for p in plans})
 
     out = df.withColumn(_FOLDED, fold_case(text))
-    # A decisive strict hit (confidence 1.0) spares the rest of its tier.
-    first = {}
-    for p in plans:
-        first[f"__worth_{p.field}"] = F.expr(
-            f"array({', '.join(_worth_trying(r) for r in p.rules)})"
+    out = stage(
+        out, "worth", lambda p: F.expr(f"array({', '.join(_worth_trying(r) for r in p.rules)})")
+    )
+    out = stage(out, "strict", lambda p: F.expr(p.strict(0, quoted)))
+    for step in range(1, max(len(p.segments) for p in plans)):
+        out = out.withColumns(
+            {
+                f"__strict_{p.field}": F.expr(p.strict(step, quoted))
+                for p in plans
+                if step < len(p.segments)
+            }
         )
-        first[f"__lead_{p.field}"] = F.expr(p.best(p.lead, quoted, _worth_trying))
-    out = out.withColumns(first)
-    out = stage(out, "strict", lambda p: F.expr(p.strict(quoted)))
     out = stage(out, "best", lambda p: F.expr(p.strict_or_loose(quoted)))
     places = {}
     for p in plans:
