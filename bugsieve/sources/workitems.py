@@ -18,10 +18,17 @@ def read_ado(df: DataFrame, json_col: str = "json", keep: tuple[str, ...] = ())
     """
     raw = F.col(json_col)
     item = F.from_json(raw, _ITEM, {"columnNameOfCorruptRecord": "_bad"})
+    # The one-row generator keeps a filter on rejects above the parser, which would run twice.
     parsed = df.select(
-        raw.alias("__raw"),
-        F.when(F.ltrim(raw).startswith("{"), item).alias("__item"),
         *[F.col(c).alias(f"__keep_{c}") for c in keep],
+        F.inline(
+            F.array(
+                F.struct(
+                    raw.alias("__raw"),
+                    F.when(F.ltrim(raw).startswith("{"), item).alias("__item"),
+                )
+            )
+        ),
     )
     is_item = F.col("__item").isNotNull() & F.col("__item._bad").isNull()
     # An id that is present but null is written as the text None, an absent one as unknown.
