@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bugsieve.llm import bpe, html, packing, sharding, simhash, topk
+from bugsieve.llm import bpe, cotraining, html, licenses, packing, passages, rules, sharding, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +23,11 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove_repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.bpe_round_trip(
@@ -36,6 +41,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_main_text(table(spark, sf_dir, "pages"))
@@ -56,11 +66,21 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 ORACLES["op9_exact_top_k"] = """
 WITH v AS (
   SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
