@@ -6,9 +6,11 @@ import sys
 import tempfile
 import types
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -40,3 +42,21 @@ def per_worker(name: str, make: Callable[[], object]) -> object:
     if not hasattr(module, name):
         setattr(module, name, make())
     return getattr(module, name)
+
+
+def appended(
+    frame: DataFrame, inputs: list[str], fields: list[T.StructField],
+    work: Callable[..., list[pa.Array]], rows: int = 1_000,
+) -> DataFrame:
+    """The frame with columns more, made by ``work`` from the input columns, ``rows`` at a time."""
+    places = [frame.columns.index(c) for c in inputs]
+    names = [*frame.columns, *(f.name for f in fields)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                made = work(*(part.column(i) for i in places))
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=names)
+
+    return frame.mapInArrow(run, T.StructType([*frame.schema.fields, *fields]))

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bugsieve.llm.common import appended
+
 #: Labelled rows and unlabelled rows used for fitting at most; both bound what the driver holds.
 LABELLED_ROWS, POOL_ROWS = 6_000, 4_000
 #: Rounds of exchange, pseudo-labels a view may add in a round, and the confidence they need.
@@ -203,33 +205,38 @@ def fit_on(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROW
     return co_train(x[is_known, :cut], x[is_known, cut:], y, x[~is_known, :cut], x[~is_known, cut:])
 
 
+SCORES = ("text_score", "meta_score", "score")
+
+
+def _scored(frame: DataFrame, names: list[str], model: CoTrained | None) -> DataFrame:
+    """The frame with the three scores and the verdict, from its text, lang, source and n_chars."""
+
+    def work(texts: pa.Array, langs: pa.Array, sources: pa.Array, lengths: pa.Array) -> list[pa.Array]:
+        n = len(texts)
+        if model is None or not n:
+            return [pa.array(np.ones(n))] * 3 + [pa.array(np.ones(n, dtype=bool))]
+        meta = zip(langs.to_pylist(), sources.to_pylist(), lengths.to_pylist(), strict=True)
+        scores = model.scores(
+            np.stack([text_features(t.as_py()) for t in texts]).astype(np.float64),
+            np.stack([meta_features(*m) for m in meta]).astype(np.float64),
+        )
+        return [*(pa.array(x) for x in scores), pa.array(scores[2] >= model.threshold)]
+
+    fields = [T.StructField(n, T.DoubleType()) for n in names[:3]] + [T.StructField(names[3], T.BooleanType())]
+    return appended(frame, ["text", "lang", "source", "n_chars"], fields, work)
+
+
 def score_documents(docs: DataFrame, model: CoTrained | None) -> DataFrame:
     """(doc_id, text_score, meta_score, score, kept) of every row."""
-    rows = docs.select(F.col("doc_id").alias("id"), "text", "lang", "source", F.col("n_chars").cast("long").alias("n_chars"))
-    schema = T.StructType([
-        T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("text_score", T.DoubleType()),
-        T.StructField("meta_score", T.DoubleType()), T.StructField("score", T.DoubleType()), T.StructField("kept", T.BooleanType()),
-    ])
+    rows = docs.select("doc_id", "text", "lang", "source", F.col("n_chars").cast("long").alias("n_chars"))
+    return _scored(rows, [*SCORES, "kept"], model).select("doc_id", *SCORES, "kept")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1_000):
-                part = batch.slice(at, 1_000)
-                n = part.num_rows
-                scores = [np.ones(n)] * 3
-                if model is not None:
-                    text, lang, source, chars = (part.column(i).to_pylist() for i in (1, 2, 3, 4))
-                    scores = model.scores(
-                        np.stack([text_features(t) for t in text]).astype(np.float64),
-                        np.stack([meta_features(*m) for m in zip(lang, source, chars, strict=True)]).astype(np.float64),
-                    )
-                kept = scores[2] >= (model.threshold if model is not None else 0.0)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *(pa.array(s) for s in scores), pa.array(kept)],
-                    names=["doc_id", "text_score", "meta_score", "score", "kept"],
-                )
-
-    return rows.mapInArrow(run, schema)
+
+def keep_by_classifier(docs: DataFrame, labels: DataFrame, training: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs``, with their columns, that ``quality_classifier`` keeps; nothing is shuffled."""
+    model = fit_on(docs if training is None else training, labels)
+    scored = _scored(docs, ["_text_score", "_meta_score", "_score", "_kept"], model)
+    return scored.where("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame, training: DataFrame | None = None) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bugsieve.llm.common import saved
+from bugsieve.llm.common import appended
 
 #: Labelled rows that a list is learned from at most: those whose ids have the smallest hashes.
 TRAIN_ROWS = 20_000
@@ -79,25 +78,21 @@ def counts_of(text: str | None) -> tuple[int, ...]:
     )
 
 
+def _count_columns(texts: pa.Array) -> list[pa.Array]:
+    found = [counts_of(x.as_py()) for x in texts]
+    columns = zip(*found, strict=True) if found else [[]] * len(COUNTS)
+    return [pa.array(x, type=pa.int64()) for x in columns]
+
+
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, the ``COUNTS``) of each row's whole text."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return appended(rows, ["text"], [T.StructField(c, T.LongType()) for c in COUNTS], _count_columns).drop("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [counts_of(x.as_py()) for x in batch.column(1)]
-            columns = zip(*found, strict=True) if found else [[]] * len(COUNTS)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(x, type=pa.int64()) for x in columns)], names=["id", *COUNTS]
-            )
-
-    schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), *(T.StructField(c, T.LongType()) for c in COUNTS)])
-    return rows.mapInArrow(run, schema)
 
-
-def ratio(name: str) -> Column:
+def ratio(name: str, prefix: str = "") -> Column:
     above, below = RATIOS[name]
-    return F.col(above).cast("double") / F.greatest(F.col(below), F.lit(1)).cast("double")
+    return F.col(prefix + above).cast("double") / F.greatest(F.col(prefix + below), F.lit(1)).cast("double")
 
 
 @dataclass(frozen=True)
@@ -106,10 +101,10 @@ class Rule:
 
     conditions: tuple[tuple[str, str, float], ...]
 
-    def column(self) -> Column:
+    def column(self, prefix: str = "") -> Column:
         out = F.lit(True)
         for name, sign, value in self.conditions:
-            out = out & (ratio(name) > value if sign == ">" else ratio(name) <= value)
+            out = out & (ratio(name, prefix) > value if sign == ">" else ratio(name, prefix) <= value)
         return out
 
     def holds(self, table: dict[str, np.ndarray]) -> np.ndarray:
@@ -182,28 +177,31 @@ def learn(table: dict[str, np.ndarray], bad: np.ndarray, seed: int = 7) -> list[
     return rules
 
 
-def verdict(rules: list[Rule]) -> Column:
+def verdict(rules: list[Rule], prefix: str = "") -> Column:
     """The list as one conditional expression: the first rule that holds rejects."""
     out = None
     for rule in rules:
-        out = F.when(rule.column(), F.lit(False)) if out is None else out.when(rule.column(), F.lit(False))
+        holds = rule.column(prefix)
+        out = F.when(holds, F.lit(False)) if out is None else out.when(holds, F.lit(False))
     return F.lit(True) if out is None else out.otherwise(F.lit(True))
 
 
-def base_failed() -> Column:
-    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+def base_failed(prefix: str = "") -> Column:
+    words, repeated = F.col(prefix + "n_words"), F.col(prefix + "n_repeat_words")
+    return (words < 50) | (100 * repeated > 50 * words)
 
 
-def learn_rules(stats: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> list[Rule]:
-    """Rules from at most ``train_rows`` rows that have a label and do not fail the base checks."""
+def learn_rules(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> list[Rule]:
+    """Rules from at most ``train_rows`` labelled documents, less those that fail the base checks."""
     known = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
         .groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min("quality").alias("quality"))
         .orderBy(F.xxhash64("id"), "id").limit(train_rows)
     )
+    sample = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(known), "id")
+    counted = appended(sample, ["text"], [T.StructField(c, T.LongType()) for c in COUNTS], _count_columns)
     rows = (
-        stats.where(~base_failed()).join(F.broadcast(known), "id")
-        .select("quality", *[ratio(r).alias(r) for r in RATIOS]).limit(train_rows).toPandas()
+        counted.where(~base_failed()).select("quality", *[ratio(r).alias(r) for r in RATIOS]).limit(train_rows).toPandas()
     )
     if not len(rows):
         return []
@@ -222,18 +220,27 @@ def quality_rules(
     bounded sample; statistics and verdicts cover every row. Without usable labels there are no
     rules. A null text has no words; repeated rows stay; an empty table gives no rows.
     """
-    stats = saved(statistics(docs, id_col, text_col), "statistics")
-    if training is None:
-        rules = learn_rules(stats, labels)
-    else:
-        sample = labels.where("quality IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS)
-        rows = training.join(F.broadcast(sample), "doc_id", "left_semi")
-        rules = learn_rules(saved(statistics(rows), "training"), labels)
+    rules = learn_rules(docs if training is None else training, labels)
     number = F.lit(None).cast("int")
     for i, rule in reversed(list(enumerate(rules, 1))):
         number = F.when(rule.column(), F.lit(i)).otherwise(number)
-    return stats.select(
+    return statistics(docs, id_col, text_col).select(
         F.col("id").alias(id_col), *COUNTS[:5], base_failed().alias("base_failed"),
         (~base_failed() & verdict(rules)).alias("kept"),
         F.when(~base_failed(), number).alias("rejected_by"), *COUNTS[5:],
     )
+
+
+def keep_by_rules(
+    docs: DataFrame, labels: DataFrame, training: DataFrame | None = None, text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, with their columns, that ``quality_rules`` keeps; nothing is shuffled."""
+    rules = learn_rules(docs if training is None else training, labels)
+    fields = [T.StructField(c, T.LongType()) for c in COUNTS]
+
+    def work(texts: pa.Array) -> list[pa.Array]:
+        return [pa.StructArray.from_arrays(_count_columns(texts), names=list(COUNTS))]
+
+    counted = appended(docs, [text_col], [T.StructField("_counts", T.StructType(fields))], work)
+    kept = counted.where(~base_failed("_counts.") & verdict(rules, "_counts."))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

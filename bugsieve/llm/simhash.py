@@ -214,3 +214,17 @@ def simhash_components(
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def one_of_each_component(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+) -> DataFrame:
+    """The rows of ``docs``, with their columns, whose id is their component's; one row per id.
+
+    Rows without an id are no document that a component could name; all of them stay.
+    """
+    found = simhash_components(docs, id_col, text_col, shingle_words, max_bits)
+    stays = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_id")).distinct()
+    named = docs.join(stays, F.col(f"`{id_col}`") == F.col("_id"), "left_semi").dropDuplicates([id_col])
+    return named.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
