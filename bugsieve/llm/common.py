@@ -9,7 +9,8 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -36,6 +37,23 @@ def saved(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def free_names(frame: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before them where the frame has such columns."""
+    taken = {c.lower() for c in frame.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def columns_of(frame: DataFrame, but: tuple[str, ...] = ()) -> list[Column]:
+    """The frame's columns, less those of the given names."""
+    return [F.col(f"`{c}`") for c in frame.columns if c.lower() not in but]
+
+
 def per_worker(name: str, make: Callable[[], object]) -> object:
     """A value that a Python worker makes once and keeps for its later tasks."""
     module = sys.modules.setdefault("_bugsieve_worker", types.ModuleType("_bugsieve_worker"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bugsieve.llm.common import appended
+from bugsieve.llm.common import appended, columns_of, free_names
 
 #: Labelled rows and unlabelled rows used for fitting at most; both bound what the driver holds.
 LABELLED_ROWS, POOL_ROWS = 6_000, 4_000
@@ -235,8 +235,8 @@ def score_documents(docs: DataFrame, model: CoTrained | None) -> DataFrame:
 def keep_by_classifier(docs: DataFrame, labels: DataFrame, training: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs``, with their columns, that ``quality_classifier`` keeps; nothing is shuffled."""
     model = fit_on(docs if training is None else training, labels)
-    scored = _scored(docs, ["_text_score", "_meta_score", "_score", "_kept"], model)
-    return scored.where("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = free_names(docs, *SCORES, "kept")
+    return _scored(docs, names, model).where(F.col(names[3])).select(*columns_of(docs))
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame, training: DataFrame | None = None) -> DataFrame:

@@ -153,12 +153,19 @@ def main_text(page: str | None) -> str:
     if not windows or not max(windows):
         return ""
     surge = min(surge, max(windows))
-    kept, inside = [], False
-    for (text, *_), length in zip(lines, windows, strict=True):
-        inside = length >= surge or (inside and length > 0)
-        if inside and text:
-            kept.append(text)
-    return " ".join(kept)
+    kept: list[str] = []
+    run: list[str] = []  # lines since the surge; links at either end of them are no text
+    inside = False
+    for (text, *_), own, window in zip(lines, lengths, windows, strict=True):
+        inside = window >= surge or (inside and window > 0)
+        if inside and text and (own or run):
+            run.append(text)
+            if own:
+                kept += run
+                run = [""]
+        elif not inside:
+            run = []
+    return " ".join(filter(None, kept))
 
 
 def extract_main_text(

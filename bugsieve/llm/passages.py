@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bugsieve.llm.common import per_worker
+from bugsieve.llm.common import columns_of, free_names, per_worker
 
 #: One word start in so many is a cut; so is every line start, and within long runs without
 #: white space one character in CHAR_RATE.
@@ -87,6 +87,8 @@ def chunks_of(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         ends_at = np.r_[cut, len(piece)]
         ends = ends_at[np.minimum(np.searchsorted(cut, starts + MIN_BYTES), len(cut))]
         ends = np.minimum(ends, starts + MAX_BYTES)
+        for _ in range(3):  # back to the start of a character
+            ends -= (ends < len(piece)) & ((piece[np.minimum(ends, len(piece) - 1)] & 0xC0) == 0x80)
         long = ends - starts >= MIN_BYTES
         starts, ends = starts[long], ends[long]
         sums = np.r_[np.uint64(0), np.cumsum(t.value[piece] * t.power[: len(piece)], dtype=np.uint64)]
@@ -135,7 +137,8 @@ def remove_repeated_passages(
 ) -> DataFrame:
     """The rows with repeated passages cut out of ``text_col``, and three columns more:
     ``removed_chars``, ``removed_spans`` (start and end in characters of the text before) and
-    ``kept_in`` (ids of the documents that keep the chunks removed here).
+    ``kept_in`` (ids of the documents that keep the chunks removed here); columns of these
+    names in ``docs`` give way.
 
     A chunk that occurs in several documents belongs to the one with the smallest id, which
     keeps every copy of it; repeats within one document are no matter of this operator. In other
@@ -153,22 +156,24 @@ def remove_repeated_passages(
         chunks.groupBy("digest").agg(F.min("id").alias("owner"), F.max("id").alias("last_"))
         .where("owner < last_").select("digest", "owner")
     )
-    spans = (
+    docs = docs.select(*columns_of(docs, ("removed_chars", "removed_spans", "kept_in")))
+    names = free_names(docs, "doc_", "version_", "spans_", "owners_", "key_", "hash_")
+    doc, version, spans, owned, key, text_hash = names
+    cuts = (
         chunks.join(owners, "digest").where("id <> owner").groupBy("id", "version")
-        .agg(F.collect_list("span").alias("spans_"), F.collect_set("owner").alias("owners_"))
-        .withColumnsRenamed({"id": "id_", "version": "version_"})
+        .agg(F.collect_list("span"), F.collect_set("owner")).toDF(doc, version, spans, owned)
     )
-    keyed = docs.withColumn("key_", F.col(id_col).cast("long")).withColumn("hash_", F.xxhash64(text_col))
+    keyed = docs.withColumn(key, F.col(f"`{id_col}`").cast("long")).withColumn(text_hash, F.xxhash64(f"`{text_col}`"))
     joined = keyed.join(
-        spans, (F.col("key_") == F.col("id_")) & (F.col("hash_") == F.col("version_")), "left"
-    ).select(*[F.col(f"`{c}`") for c in docs.columns], "spans_", "owners_")
+        cuts, (F.col(key) == F.col(doc)) & (F.col(text_hash) == F.col(version)), "left"
+    ).select(*columns_of(docs), spans, owned)
     n, place = len(docs.columns), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             texts = batch.column(place)
-            lists, owners = batch.column(n), batch.column(n + 1)
+            lists, owner_lists = batch.column(n), batch.column(n + 1)
             touched = {}
             for i in np.flatnonzero(lists.is_valid().to_numpy(zero_copy_only=False)).tolist():
                 data = texts[i].as_py().encode()
@@ -182,7 +187,7 @@ def remove_repeated_passages(
                         length = len(data[a:b].decode())
                         spans.append({"start": done, "end": done + length})
                         done, at = done + length, b
-                    touched[i] = (b"".join(kept).decode(), spans, sorted(owners[i].as_py()))
+                    touched[i] = (b"".join(kept).decode(), spans, sorted(owner_lists[i].as_py()))
             columns = list(batch.columns[:n])
             if touched:
                 columns[place] = pa.array(

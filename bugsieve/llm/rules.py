@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bugsieve.llm.common import appended
+from bugsieve.llm.common import appended, columns_of, free_names
 
 #: Labelled rows that a list is learned from at most: those whose ids have the smallest hashes.
 TRAIN_ROWS = 20_000
@@ -241,6 +241,7 @@ def keep_by_rules(
     def work(texts: pa.Array) -> list[pa.Array]:
         return [pa.StructArray.from_arrays(_count_columns(texts), names=list(COUNTS))]
 
-    counted = appended(docs, [text_col], [T.StructField("_counts", T.StructType(fields))], work)
-    kept = counted.where(~base_failed("_counts.") & verdict(rules, "_counts."))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    (counts,) = free_names(docs, "counts_")
+    counted = appended(docs, [text_col], [T.StructField(counts, T.StructType(fields))], work)
+    kept = counted.where(~base_failed(counts + ".") & verdict(rules, counts + "."))
+    return kept.select(*columns_of(docs))

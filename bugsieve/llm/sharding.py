@@ -7,6 +7,8 @@ import itertools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bugsieve.llm.common import columns_of
+
 #: Bits of each dimension; three dimensions make 4,096 cells of the curve.
 BITS = 4
 #: A cell's rows are numbered in so many parts, so that no cell is one task's work.
@@ -67,7 +69,8 @@ def hilbert_shards(
     ``order`` numbers rows within a cell and must be deterministic. Cell sizes are counted first
     (at most 2**(bits * dimensions) * salts numbers, which are broadcast), then rows are numbered
     within parts of a cell: one shuffle, and no cell is a single task's work. Rows whose
-    ``order`` values are all equal are interchangeable. An empty table gives no rows.
+    ``order`` values are all equal are interchangeable. Columns of the three names give way. An
+    empty table gives no rows.
     """
     spark = docs.sparkSession
     n = len(levels)
@@ -77,33 +80,34 @@ def hilbert_shards(
             (sum(v << (bits * i) for i, v in enumerate(p)), hilbert_index(p, bits))
             for p in itertools.product(range(1 << bits), repeat=n)
         ],
-        "code_ int, curve int",
+        "code int, curve int",
     )
+    row = F.struct(*columns_of(docs, ("shard", "slot", "curve")))
     placed = (
-        docs.withColumn("code_", code).join(F.broadcast(curve), "code_").drop("code_")
-        .withColumn("salt_", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
+        docs.select(row.alias("row"), code.alias("code"), F.struct(*order).alias("order"))
+        .join(F.broadcast(curve), "code").drop("code")
+        .withColumn("salt", F.pmod(F.xxhash64("order"), F.lit(salts)).cast("int"))
     )
-    parts = placed.groupBy("curve", "salt_").agg(F.count(F.lit(1)).alias("n_"))
-    cells = parts.groupBy("curve").agg(F.sum("n_").alias("n_"))
+    parts = placed.groupBy("curve", "salt").agg(F.count(F.lit(1)).alias("n"))
+    cells = parts.groupBy("curve").agg(F.sum("n").alias("n"))
     before = Window.orderBy("curve").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.select(
-        F.col("curve").alias("cell_"),
-        F.coalesce(F.sum("n_").over(before), F.lit(0)).alias("cell_start_"),
-        F.sum("n_").over(Window.partitionBy()).alias("total_"),
+        "curve",
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("cell_start"),
+        F.sum("n").over(Window.partitionBy()).alias("total"),
     )
-    within = Window.partitionBy("curve").orderBy("salt_").rowsBetween(Window.unboundedPreceding, -1)
-    starts = parts.join(F.broadcast(cells), F.col("curve") == F.col("cell_")).select(
-        "curve", "salt_", "total_",
-        (F.col("cell_start_") + F.coalesce(F.sum("n_").over(within), F.lit(0))).alias("start_"),
+    within = Window.partitionBy("curve").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.join(F.broadcast(cells), "curve").select(
+        "curve", "salt", "total",
+        (F.col("cell_start") + F.coalesce(F.sum("n").over(within), F.lit(0))).alias("start"),
     )
-    number = F.row_number().over(Window.partitionBy("curve", "salt_").orderBy(*order)) - 1
-    ranked = placed.withColumn("rank_", number).join(F.broadcast(starts), ["curve", "salt_"])
-    rank = F.col("start_") + F.col("rank_")
+    number = F.row_number().over(Window.partitionBy("curve", "salt").orderBy("order")) - 1
+    ranked = placed.withColumn("number", number).join(F.broadcast(starts), ["curve", "salt"])
     return (
-        ranked.withColumn("rank_", rank)
-        .withColumn("shard", F.expr(f"(rank_ * {shards}) div total_").cast("int"))
-        .withColumn("slot", F.col("rank_") - F.expr(f"(shard * total_ + {shards - 1}) div {shards}"))
-        .drop("salt_", "rank_", "start_", "total_")
+        ranked.withColumn("rank", F.col("start") + F.col("number"))
+        .withColumn("shard", F.expr(f"(rank * {shards}) div total").cast("int"))
+        .withColumn("slot", F.col("rank") - F.expr(f"(shard * total + {shards - 1}) div {shards}"))
+        .select("row.*", "shard", "slot", "curve")
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bugsieve.llm.common import saved
+from bugsieve.llm.common import free_names, saved
 from bugsieve.llm.components import component_labels
 
 SHINGLE_WORDS = 3
@@ -225,6 +225,7 @@ def one_of_each_component(
     Rows without an id are no document that a component could name; all of them stay.
     """
     found = simhash_components(docs, id_col, text_col, shingle_words, max_bits)
-    stays = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_id")).distinct()
-    named = docs.join(stays, F.col(f"`{id_col}`") == F.col("_id"), "left_semi").dropDuplicates([id_col])
+    (name,) = free_names(docs, "id_")
+    stays = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias(name)).distinct()
+    named = docs.join(stays, F.col(f"`{id_col}`") == F.col(name), "left_semi").dropDuplicates([id_col])
     return named.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
