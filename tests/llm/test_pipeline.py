@@ -57,8 +57,8 @@ def test_stages_take_effect(spark):
             if len(line.split()) > 50:
                 lines.setdefault(line, []).append(i)
     for line, where in lines.items():
-        assert line in cut[where[0]].text
-        assert all(line not in cut[i].text for i in where[1:] if i != where[0])
+        assert sum(line in cut[i].text for i in set(where)) <= 1
+    assert any(len(set(where)) > 1 for where in lines.values())
     assert all(cut[i].n_chars == len(cut[i].text) for i in cut if cut[i].text != before[i])
     pieces = corpus_pipeline.STAGES[-1][1](spark, given, SF).toPandas()
     library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
