@@ -16,7 +16,7 @@ from bugsieve.plans.normalize import normalize
 from bugsieve.sinks.records import to_json, write_bugs
 from bugsieve.sources.files import (
     check_manifest, document_placeholders, empty_files, missing_files, read_binary_docs, read_error_logs,
-    scan_directory,
+    read_folder, scan_directory,
 )
 from bugsieve.sources.freetext import read_freetext
 from bugsieve.sources.spread import spread

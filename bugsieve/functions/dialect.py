@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import re
+
 # Python counts the four ASCII separators as white space, the JVM does not.
 _SPACE = r"\s\x1c-\x1f"
 _QUOTES = {"'": r"\x27", '"': r"\x22"}
 _NOT_SPACE = r"[^\s\x1c-\x1f]"
 
 
+_UP_TO = re.compile(r"\{,(\d+)\}")
+_GROUP_NAME = re.compile(r"\(\?P([<=])(\w+)[>)]")
+
+
+def _java_name(name: str) -> str:
+    """A group name that the JVM takes: letters and digits, a letter first."""
+    return name if re.fullmatch("[a-wyzA-Z][a-zA-Z0-9]*", name) else "x" + name.encode().hex()
+
+
 def java_pattern(pattern: str, flags: str = "") -> str:
     """Spell a Python pattern so that the JVM matches the same text.
 
@@ -51,9 +62,14 @@ def java_pattern(pattern: str, flags: str = "") -> str:
             if pattern[i + 1 : i + 2] == "]":
                 out.append(r"\]")
                 i += 1
-        elif pattern.startswith("(?P<", i):
-            out.append("(?<")
-            i += 4
+        elif named := _GROUP_NAME.match(pattern, i):
+            name = _java_name(named[2])
+            out.append(f"(?<{name}>" if named[1] == "<" else rf"\k<{name}>")
+            i = named.end()
+            continue
+        elif most := _UP_TO.match(pattern, i):
+            out.append(f"{{0,{most[1]}}}")
+            i = most.end()
             continue
         else:
             out.append(ch)

@@ -6,6 +6,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,14 +126,17 @@ _FIXED = {
 # stack and take the executor down) nor backtracks exponentially or quadratically.
 # tests/test_rules.py checks each one against its fixed pattern on generated text.
 _LOG_LINE = r"\[\d{4}-[^\]]++\]\s++(?:ERROR|WARN|INFO)[^\n]"
+_RUN_START = r"(?<![a-z])(?<![a-z]-)(?:\b|[a-z]++-)"
 _STACK_SAFE = {
     "CM-S06": r"ERROR\s+\[([a-zA-Z][\w-]*+)\]",
     "CM-S07": r"CRITICAL\s+\[([a-zA-Z][\w-]*+)\]",
     "CM-S08": r"WARN\s+\[([a-zA-Z][\w-]*+)\]",
     "CM-S10": r"(?:\G|(?<![\w-]))(?:(?![a-zA-Z])[\w-])*+([a-zA-Z][\w-]*-service)\s+(?:unavailable|unresponsive|status)",
     "CM-S11": r"services?\s+degraded[:\s]+([a-zA-Z][\w-]*+)",
-    "CM-L01": r"\b([a-z]+-[a-z](?:[a-z-](?<!--))*service)\b",
-    "CM-L02": r"\b([a-z]++-[a-z]++(?:-[a-z]++)*+)\b(?=\s+(?:status|unavailable|degraded|error))",
+    # A run of names joined by single hyphens is entered at its first name only (at the second
+    # if the first does not begin a word): where that fails, all later names fail alike.
+    "CM-L01": rf"{_RUN_START}([a-z]+-[a-z](?:[a-z-](?<!--))*service)\b",
+    "CM-L02": rf"{_RUN_START}([a-z]++-[a-z](?:[a-z-](?<!--))*+)\b(?=\s+(?:status|unavailable|degraded|error))",
     "RS-S04": r"((?:^|\n)\s*1[\.\)]\s+.++(?:\n\s*\d[\.\)]\s+.++)++)",
     # Of all keywords before the same bracket only the first is tried: the others fail alike.
     "OB-L01": r"(?:\G|(?<=\]))(?>[^\]]*?(?:ERROR|CRITICAL))[^\]]*+\]\s+([^:\n]+(?:failed|error|timeout|unavailable)[^.\n]*)",
@@ -231,7 +235,8 @@ class Rule:
     """One extraction rule.
 
     ``pattern`` is in Python ``re`` syntax. ``engine_pattern`` is an optional equivalent that
-    the JVM matcher runs instead. ``needs`` is an optional prefilter (see ``_NEEDS``).
+    the JVM matcher runs instead. ``needs`` is an optional prefilter (see ``_NEEDS``); the case
+    of its words does not matter.
     """
 
     rule_id: str
@@ -264,6 +269,16 @@ def default_rules() -> list[Rule]:
     ]
 
 
+def _runs(patterns: Sequence[str]) -> bool:
+    """Whether the JVM takes all the patterns; one row and no data are read."""
+    tried = ", ".join(f"regexp_extract_all('', r'{p}', 0)" for p in patterns)
+    try:
+        SparkSession.active().sql(f"SELECT {tried}").collect()
+    except PySparkException:
+        return False
+    return True
+
+
 def check_rules(rules: Sequence[Rule]) -> list[Rule]:
     """Reject unusable rules while the plan is built, not inside a task."""
     seen = set()
@@ -287,6 +302,9 @@ def check_rules(rules: Sequence[Rule]) -> list[Rule]:
             re.compile(r.pattern)
         except re.error as e:
             raise ValueError(f"rule {r.rule_id}: {e}") from e
+    if rules and not _runs([r.java for r in rules]):
+        bad = [r.rule_id for r in rules if not _runs([r.java])]
+        raise ValueError(f"rules {bad}: Spark's matcher does not take their patterns")
     return list(rules)
 
 

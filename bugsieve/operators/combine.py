@@ -9,6 +9,7 @@ from bugsieve.functions import scoring
 from bugsieve.schema import EXTRACTION_SOURCES, FIELDS
 from bugsieve.sources.staging import as_staging
 
+_PARTS = ("value", "confidence", "source", "raw_evidence")
 SEPARATOR = r"(?m)^={10,}[ \t]*$\n?"
 
 
@@ -24,16 +25,12 @@ def merge_evidence(bugs: DataFrame, key: str) -> DataFrame:
 
     Ties go to the more reliable source, then to the larger value, so the result does not
     depend on row order. ``max_by`` is combined before the shuffle, so an incident with very
-    many records sends one row per task.
+    many records sends one row per task. Records without a key belong to no incident: each
+    stays a row of its own and is not shuffled.
     """
     picks = [
         F.max_by(
-            F.struct(
-                F.col(f"{f}.value").alias("value"),
-                F.col(f"{f}.confidence").alias("confidence"),
-                F.col(f"{f}.source").alias("source"),
-                F.col(f"{f}.raw_evidence").alias("raw_evidence"),
-            ),
+            F.struct(*[F.col(f"{f}.{part}").alias(part) for part in _PARTS]),
             F.struct(
                 F.col(f"{f}.value").isNotNull().cast("int").alias("filled"),
                 F.col(f"{f}.confidence").alias("confidence"),
@@ -44,8 +41,13 @@ def merge_evidence(bugs: DataFrame, key: str) -> DataFrame:
         ).alias(f)
         for f in FIELDS
     ]
-    merged = bugs.groupBy(key).agg(F.count(F.lit(1)).alias("records"), *picks)
-    return merged.withColumn("overall_confidence", scoring.overall_confidence())
+    named = F.col(key).isNotNull()
+    merged = bugs.where(named).groupBy(key).agg(F.count(F.lit(1)).alias("records"), *picks)
+    alone = bugs.where(~named).select(
+        key, F.lit(1).cast("long").alias("records"),
+        *[F.struct(*[F.col(f"{f}.{part}").alias(part) for part in _PARTS]).alias(f) for f in FIELDS],
+    )
+    return merged.unionByName(alone).withColumn("overall_confidence", scoring.overall_confidence())
 
 
 def split_reports(staging: DataFrame, separator: str = SEPARATOR) -> DataFrame:

@@ -28,12 +28,14 @@ from bugsieve.functions.text import (
 from bugsieve.schema import FIELDS
 
 _FOLDED = "__folded"
+_FOUND = "__found"
+_BITS = 62
 _SOURCE = {"strict": "regex_strict", "loose": "regex_loose"}
 # The repeat bonus is at its maximum from the third match on.
 _COUNTED_MATCHES = (1, 2, 3)
 _HITS = "array<struct<position:int,value:string,matches:int>>"
 _BEST = "struct<rank:int,value:string>"
-_RESULT = (
+RESULT = (
     "struct<value:string,confidence:double,source:string,raw_evidence:string,"
     "raw_confidence:double,rule_id:string>"
 )
@@ -56,12 +58,34 @@ def _search_form(word: str) -> str:
     return word[min(starts, key=lambda i: _RARE_FIRST.find(word[i])) :]
 
 
-def _worth_trying(rule: Rule) -> str:
-    """SQL for the prefilter of a rule; true for a rule without one."""
-    options = [
-        " AND ".join(f"contains({_FOLDED}, '{_search_form(w)}')" for w in words)
-        for words in rule.needs
-    ]
+def _words(rules: Sequence[Rule]) -> list[str]:
+    """The distinct words that the prefilters of the rules search for."""
+    return list(dict.fromkeys(_search_form(w.lower()) for r in rules for ws in r.needs for w in ws))
+
+
+def _found_words(words: Sequence[str]) -> dict[str, Column]:
+    """Which of the words the folded text holds, as bits of long columns; each is searched once.
+
+    Bits keep the generated code of many conditions within the JVM's method size limit.
+    """
+    parts = [words[i : i + _BITS] for i in range(0, len(words), _BITS)]
+    return {
+        f"{_FOUND}_{j}": F.expr(
+            " | ".join(f"if(contains({_FOLDED}, '{w}'), {1 << i}L, 0L)" for i, w in enumerate(part))
+        )
+        for j, part in enumerate(parts)
+    }
+
+
+def _worth_trying(rule: Rule, words: Sequence[str]) -> str:
+    """SQL for the prefilter of a rule, by the words found; true for a rule without one."""
+    place = {w: i for i, w in enumerate(words)}
+    options = []
+    for needed in rule.needs:
+        masks: dict[int, int] = {}
+        for i in sorted({place[_search_form(w.lower())] for w in needed}):
+            masks[i // _BITS] = masks.get(i // _BITS, 0) | 1 << (i % _BITS)
+        options.append(" AND ".join(f"{_FOUND}_{j} & {m}L = {m}L" for j, m in masks.items()))
     return " OR ".join(f"({o})" for o in options) or "true"
 
 
@@ -189,7 +213,7 @@ class _FieldPlan:
     def result(self) -> Column:
         """The winning outcome as a struct, NULL when no rule hits."""
         if not self.cells:
-            return F.lit(None).cast(_RESULT)
+            return F.lit(None).cast(RESULT)
 
         def final(length: int) -> Callable[[_Cell], str]:
             return lambda c: f"{scored(c.confidence, _SOURCE[c.rule.tier], True, length)!r}D"
@@ -240,9 +264,11 @@ def extract_fields(
     def stage(df: DataFrame, name: str, column: Callable[[_FieldPlan], Column]) -> DataFrame:
         return df.withColumns({f"__{name}_{p.field}": column(p) for p in plans})
 
-    out = df.withColumn(_FOLDED, fold_case(text))
+    words = _words([r for p in plans for r in p.rules])
+    out = df.withColumn(_FOLDED, fold_case(text)).withColumns(_found_words(words))
     out = stage(
-        out, "worth", lambda p: F.expr(f"array({', '.join(_worth_trying(r) for r in p.rules)})")
+        out, "worth",
+        lambda p: F.expr(f"array({', '.join(_worth_trying(r, words) for r in p.rules)})"),
     )
     out = stage(out, "strict", lambda p: F.expr(p.strict(0, quoted)))
     for step in range(1, max(len(p.segments) for p in plans)):
@@ -312,9 +338,10 @@ def rule_hits(
         return F.expr(f"get(array({', '.join(values)}), __hit.position)")
 
     matches = F.col("__hit.matches")
-    hits = F.expr(_hits(rules, f"`{text_col}`", _worth_trying))
+    words = _words(rules)
+    hits = F.expr(_hits(rules, f"`{text_col}`", lambda r: _worth_trying(r, words)))
     return (
-        df.withColumn(_FOLDED, fold_case(F.col(text_col)))
+        df.withColumn(_FOLDED, fold_case(F.col(text_col))).withColumns(_found_words(words))
         .select(*carried, F.explode(hits).alias("__hit"))
         .select(
             *carried,

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from bugsieve.config import Options
 from bugsieve.functions import scoring
 from bugsieve.functions.rules import Rule
-from bugsieve.operators.enrich import Enricher, enrich, infer_expected
-from bugsieve.operators.extract import extract_all_fields
+from bugsieve.operators.enrich import BatchEnricher, Enricher, enrich, infer_expected
+from bugsieve.operators.extract import RESULT, extract_fields
 from bugsieve.schema import FIELD, FIELDS, OPTIONAL_FIELDS, RECORD, SCHEMA_VERSION
 from bugsieve.sources.staging import as_staging
 
@@ -43,8 +43,9 @@ def normalize(
     enable_enrichment: bool = False,
     threshold: float = 0.5,
     rules: Sequence[Rule] | None = None,
-    enricher: Enricher = infer_expected,
+    enricher: Enricher | BatchEnricher = infer_expected,
     id_mode: str = "random",
+    fields: Sequence[str] = FIELDS,
     keep: Sequence[str] = (),
     keep_text: bool = False,
 ) -> DataFrame:
@@ -52,10 +53,17 @@ def normalize(
 
     Rejected rows are left out (see ``split_rejects``). ``keep`` names staging columns to carry
     along. The whole plan is narrow: no shuffle, and the same for batch and streaming frames.
+
+    ``fields`` names the fields to extract; the rules of all others are not run, and those
+    fields are as empty as where no rule hits. ``id_mode="random"`` makes new ids each time the
+    plan runs, for a retried task or a second report as well: use ``"content"``, or write the
+    records first, where ids of several results must agree. Content ids are SHA-256 of source
+    id and text, so inputs that are equal in both, such as work items without an id, share one.
     """
     options = Options(enable_enrichment=enable_enrichment, threshold=threshold, id_mode=id_mode)
     good = as_staging(staging).where(F.col("reject_reason").isNull())
-    found = extract_all_fields(good.drop("reject_reason"), rules)
+    found = extract_fields(good.drop("reject_reason"), fields, rules)
+    found = found.withColumns({f: F.lit(None).cast(RESULT) for f in FIELDS if f not in fields})
     built = found.select(
         _bug_id(options.id_mode).alias("bug_id"),
         F.lit(SCHEMA_VERSION).alias("schema_version"),

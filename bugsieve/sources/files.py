@@ -14,11 +14,25 @@ LOG_GLOB = "*.{[lL][oO][gG],[tT][xX][tT]}"
 SCAN_GLOB = "*.{log,txt}"
 DOCUMENT_GLOB = "*.{[pP][dD][fF],[dD][oO][cC],[dD][oO][cC][xX]}"
 
+_LISTING = "path string, modificationTime timestamp, length long, content binary"
 
-def _plain_path(uri: Column) -> Column:
-    """A file URI as a path: percent escapes decoded, the local scheme dropped."""
-    decoded = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(decoded, "^file:/+", "/")
+
+def _without_scheme(path: Column) -> Column:
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def _plain_path() -> Column:
+    """The file's path. ``_metadata.file_path`` is a URI, the listing's ``path`` is not: only
+    the first has percent escapes to decode, so every reader takes this one."""
+    uri = F.col("_metadata.file_path")
+    return _without_scheme(F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))))
+
+
+def _listing(reader, path: str | list[str]) -> DataFrame:
+    """Paths and sizes of files; contents are not read."""
+    frame = reader.format("binaryFile").schema(_LISTING).load(path)
+    other = [c for c in frame.columns if c not in ("path", "modificationTime", "length", "content")]
+    return frame.select(_plain_path().alias("path"), F.col("_metadata.file_size").alias("size"), *other)
 
 
 def log_text(raw: Column) -> Column:
@@ -29,7 +43,7 @@ def log_text(raw: Column) -> Column:
 def read_error_logs(
     spark: SparkSession,
     path: str | list[str],
-    max_mb: int = MAX_FILE_MB,
+    max_mb: float = MAX_FILE_MB,
     pattern: str = LOG_GLOB,
     recursive: bool = False,
 ) -> DataFrame:
@@ -37,34 +51,49 @@ def read_error_logs(
 
     Files over the size limit keep their row, with a reject reason, and are not opened: the
     two branches differ by a filter on the file size, which prunes files before the read.
-    Subfolders named ``key=value`` become columns. Spark's file sources skip files of zero
-    bytes; ``empty_files`` makes their rows from a manifest.
+    Files of zero bytes, which Spark's file sources pass over, give a row with an empty text.
+    Subfolders named ``key=value`` become columns, null for empty files.
     """
-    reader = spark.read.option("pathGlobFilter", pattern)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", True)
+
+    def options(reader):
+        reader = reader.option("pathGlobFilter", pattern)
+        return reader.option("recursiveFileLookup", True) if recursive else reader
+
+    limit = int(max_mb * _MB)
     size = F.col("_metadata.file_size")
-    limit = max_mb * _MB
-    files = reader.text(path, wholetext=True)
+    files = options(spark.read).text(path, wholetext=True)
+    other = [c for c in files.columns if c != "value"]
     good = files.where(size <= limit).select(
-        log_text(F.col("value")).alias("text"),
-        _plain_path(F.col("_metadata.file_path")).alias("path"),
-        size.alias("size"),
-        F.lit(None).cast("string").alias("reject_reason"),
-        *[c for c in files.columns if c != "value"],
+        log_text(F.col("value")).alias("text"), _plain_path().alias("path"), size.alias("size"),
+        F.lit(None).cast("string").alias("reject_reason"), *other,
     )
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-    if recursive:
-        listing = listing.option("recursiveFileLookup", True)
-    listing = listing.load(path)
-    oversize = listing.where(F.col("length") > limit).select(
-        F.lit(None).cast("string").alias("text"),
-        _plain_path(F.col("path")).alias("path"),
-        F.col("length").alias("size"),
-        _too_large(F.col("length"), max_mb).alias("reject_reason"),
-        *[c for c in files.columns if c != "value"],
+    listed = options(spark.read).format("binaryFile").load(path)
+    oversize = oversize_files(listed.select("*", _plain_path().alias("plain")), "plain", "length", max_mb, other)
+    empty = _empty_files(spark, listed)
+    none = [F.lit(None).cast(files.schema[c].dataType).alias(c) for c in other]
+    empty = empty.select("text", "path", "size", F.lit(None).cast("string").alias("reject_reason"), *none)
+    return _file_staging(good.unionByName(oversize).unionByName(empty))
+
+
+def oversize_files(listed: DataFrame, path: str, size: str, max_mb: float, other: list[str]) -> DataFrame:
+    """Reject rows, without a text, for the files of a listing that are over the limit."""
+    return listed.where(F.col(size) > int(max_mb * _MB)).select(
+        F.lit(None).cast("string").alias("text"), F.col(path).alias("path"), F.col(size).alias("size"),
+        _too_large(F.col(size), max_mb).alias("reject_reason"), *other,
+    )
+
+
+def _empty_files(spark: SparkSession, listed: DataFrame) -> DataFrame:
+    """Files that the listing's index names but its scan passes over: those of zero bytes.
+
+    The names come from the file index, which the driver holds for any scan of the folder.
+    """
+    named = spark.createDataFrame([(p,) for p in listed.inputFiles()], "uri string")
+    path = _without_scheme(F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B"))))
+    seen = listed.select(_plain_path().alias("path"))
+    return named.select(path.alias("path")).join(seen, "path", "left_anti").select(
+        F.lit("").alias("text"), "path", F.lit(0).cast("long").alias("size")
     )
-    return _file_staging(good.unionByName(oversize))
 
 
 def _file_staging(files: DataFrame) -> DataFrame:
@@ -83,12 +112,12 @@ def _file_staging(files: DataFrame) -> DataFrame:
     )
 
 
-def scan_directory(spark: SparkSession, path: str, max_mb: int = MAX_FILE_MB) -> DataFrame:
+def scan_directory(spark: SparkSession, path: str, max_mb: float = MAX_FILE_MB) -> DataFrame:
     """All ``.log`` and ``.txt`` files directly in a folder, in one read."""
     return read_error_logs(spark, path, max_mb=max_mb, pattern=SCAN_GLOB)
 
 
-def _too_large(size: Column, max_mb: int) -> Column:
+def _too_large(size: Column, max_mb: float) -> Column:
     return F.format_string(
         f"File size (%.2f MB) exceeds maximum allowed ({max_mb} MB)", size / _MB
     )
@@ -166,9 +195,30 @@ def document_placeholders(
     )
 
 
-def read_binary_docs(spark: SparkSession, path: str, max_mb: int = MAX_FILE_MB) -> DataFrame:
+def read_binary_docs(
+    spark: SparkSession, path: str | list[str], max_mb: int = MAX_FILE_MB, recursive: bool = False
+) -> DataFrame:
     """Staging rows for the PDF and Word files of a folder. Their content is not read."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", DOCUMENT_GLOB).load(path)
-    return document_placeholders(
-        listing.select(_plain_path(F.col("path")).alias("path"), "length"), max_mb=max_mb
+    reader = spark.read.option("pathGlobFilter", DOCUMENT_GLOB)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
+    return document_placeholders(_listing(reader, path), size="size", max_mb=max_mb)
+
+
+def read_folder(
+    spark: SparkSession, path: str | list[str], max_mb: float = MAX_FILE_MB, recursive: bool = False
+) -> DataFrame:
+    """Staging rows for every file of a folder: logs, documents, and rejects for all others."""
+    reader = spark.read.option("recursiveFileLookup", True) if recursive else spark.read
+    listed = _listing(reader, path)
+    other = listed.where(~tx.file_suffix(F.col("path")).isin(*tx.SUPPORTED_SUFFIXES))
+    rejected = _file_staging(
+        other.select(
+            F.lit(None).cast("string").alias("text"), "path", "size",
+            file_reject_reason(F.col("path"), F.col("size"), max_mb).alias("reject_reason"),
+        )
     )
+    logs = read_error_logs(spark, path, max_mb, recursive=recursive)
+    documents = read_binary_docs(spark, path, max_mb, recursive)
+    kept = ["text", "source_metadata", "reject_reason"]
+    return logs.select(*kept).unionByName(documents.select(*kept)).unionByName(rejected.select(*kept))

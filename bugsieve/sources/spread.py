@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame
 
 
 def spread(scan: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Redistribute the rows of a file scan that has fewer splits than there are cores.
+    """Redistribute the rows of a file scan over a number of partitions that the caller names.
 
     Rules cost far more per byte than reading, so a file that fits one split would keep one
-    core busy. Only such inputs are shuffled, and they are small by definition; a large scan,
-    which has enough splits, passes unchanged. Call it on a scan, before texts are composed.
+    core busy. Without a number the scan passes unchanged, which is right for all large inputs.
+    Call it on a scan, before texts are composed.
     """
-    wanted = partitions or scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(wanted) if scan.rdd.getNumPartitions() < wanted else scan
+    return scan.repartition(partitions) if partitions else scan

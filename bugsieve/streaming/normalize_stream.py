@@ -9,37 +9,48 @@ from pyspark.sql.streaming import StreamingQuery
 from bugsieve.operators.reports import monitoring_aggregates
 from bugsieve.plans.normalize import normalize
 from bugsieve.sinks.records import JSON_OPTIONS
-from bugsieve.sources.files import LOG_GLOB, MAX_FILE_MB, _file_staging, _plain_path, log_text
+from bugsieve.sources.files import (
+    LOG_GLOB,
+    MAX_FILE_MB,
+    _file_staging,
+    _listing,
+    _plain_path,
+    log_text,
+    oversize_files,
+)
+from bugsieve.sources.staging import rejects
 
 
 def read_log_stream(
-    spark: SparkSession, path: str, pattern: str = LOG_GLOB, max_mb: int = MAX_FILE_MB,
+    spark: SparkSession, path: str, pattern: str = LOG_GLOB, max_mb: float = MAX_FILE_MB,
     max_files_per_trigger: int | None = None, partitions: int | None = None,
 ) -> DataFrame:
     """Staging frame of a folder that log files are added to.
 
-    Files over the size limit are skipped; a batch ``read_error_logs`` lists them as rejects.
+    Files over the size limit give a row with a reject reason and are not opened; ``normalize``
+    leaves those rows out, ``normalize_stream`` writes them to a folder of their own. Spark's
+    file streams do not see files of zero bytes; ``read_error_logs`` over the same folder does.
     ``partitions`` redistributes each micro-batch, for streams of few files at a time.
     """
-    reader = (
-        spark.readStream.format("text")
-        .option("wholetext", True)
-        .option("pathGlobFilter", pattern)
-    )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+
+    def reader():
+        stream = spark.readStream.option("pathGlobFilter", pattern)
+        return stream.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else stream
+
     size = F.col("_metadata.file_size")
     files = (
-        reader.load(path)
-        .where(size <= max_mb * 1024 * 1024)
+        reader().format("text").option("wholetext", True).load(path)
+        .where(size <= int(max_mb * 1024 * 1024))
         .select(
             log_text(F.col("value")).alias("text"),
-            _plain_path(F.col("_metadata.file_path")).alias("path"),
+            _plain_path().alias("path"),
             size.alias("size"),
             F.lit(None).cast("string").alias("reject_reason"),
         )
     )
-    return _file_staging(files.repartition(partitions) if partitions else files)
+    files = files.repartition(partitions) if partitions else files
+    oversize = oversize_files(_listing(reader(), path), "path", "size", max_mb, [])
+    return _file_staging(files.unionByName(oversize))
 
 
 def write_stream(
@@ -66,16 +77,25 @@ def normalize_stream(
     checkpoint: str,
     *,
     pattern: str = LOG_GLOB,
-    max_mb: int = MAX_FILE_MB,
+    max_mb: float = MAX_FILE_MB,
     partitions: int | None = None,
     format: str = "parquet",
     available_now: bool = True,
+    rejects_out: str | None = None,
     **options,
-) -> StreamingQuery:
-    """Normalize every log file that arrives in a folder. Ids follow the content by default."""
+) -> StreamingQuery | tuple[StreamingQuery, StreamingQuery]:
+    """Normalize every log file that arrives in a folder. Ids follow the content by default.
+
+    ``rejects_out`` is a folder for the rejected files; a second query, with a checkpoint next
+    to the first one's, writes there, and both queries are returned.
+    """
     options.setdefault("id_mode", "content")
     staging = read_log_stream(spark, path, pattern, max_mb, partitions=partitions)
-    return write_stream(normalize(staging, **options), out, checkpoint, format, available_now)
+    good = write_stream(normalize(staging, **options), out, checkpoint, format, available_now)
+    if rejects_out is None:
+        return good
+    bad = rejects(read_log_stream(spark, path, pattern, max_mb))
+    return good, write_stream(bad, rejects_out, f"{checkpoint.rstrip('/')}-rejects", format, available_now)
 
 
 def windowed_monitoring(

@@ -13,125 +13,152 @@ from pyspark.sql import functions as F
 from bugsieve.sources.spread import spread
 from bugsieve.sources.staging import metadata
 
+# The pools are written from the rule table: each entry names the rules it is meant to hit, and
+# entries marked "near" miss a rule by a little.
 SERVICES = [
-    "api-gateway", "payment-service", "database", "auth-service", "order-processing-service",
-    "9node", "resource-monitor", "user_db", "notification-service", "edge proxy",
+    "tide-gauge", "ferry-ticket-service", "kiln", "seed-vault", "lamp-dimmer-service",
+    "7dome", "orchard-map", "ink_press", "bell-tower-service", "glass house",
 ]
 
 MESSAGES = [
-    "Connection pool exhausted. In use: 64/64",
-    "Several endpoint timeouts detected. Circuit breaker triggered.",
-    "Request processing failed: 504 Gateway Timeout on retry",
-    "Error rate exceeded threshold: 31% (threshold: 4%)",
-    "Customer impact: 75 users affected since noon",
-    "Backend service: parcel-tracker slow, cart unresponsive: stock-keeping-service",
-    "Some nodes report degraded performance",
-    "Service dependency unavailable: ledger-service",
-    "Node health degraded: ledger-service status amber",
-    "Failed to open session: database connection error",
-    "Connection timeout after 9 s",
-    "Memory usage critical: 97 percent",
-    "Out of memory error in image resizer",
-    "Memory growth: 3 MB per minute",
-    "Gateway health status changed to DEGRADED",
-    "Unable to close basket: billing-service unavailable",
-    "Two services degraded: billing-service, basket-service",
-    "cascade failure in region two",
-    "Memory leak detected in heap space",
-    "queue overflow on topic orders",
-    "java.lang.NullPointerException at com.acme.pay.Checkout.submit(Checkout.java:42)",
-    "IndexOutOfBoundsException when accessing array of items",
-    "SQLException in module billing.core while saving",
-    "TimeoutException in SearchService when reading the index",
-    "ConnectionRefusedException raised by upstream service: ledger-core",
-    "FileNotFoundException for config.xml, StackOverflowError follows",
-    "HTTP 404 Not Found for /v1/items",
-    "403 Forbidden returned, 503 Error next",
-    "user login took 12 ms",
-    "cache warm, nothing to report",
-    "Application crashed early on start. Restarting",
-    "service is down but retry works",
-    "component: checkout-form rendered twice",
-    "foo-bar-baz-service ready and search-index error seen",
-    "InventoryManager reloaded, EventHandler idle, HomeController mapped, MailService up",
-    "limit: 250 requests per minute, SLA 99",
-    "user impact: 14 users affected",
-    "the operation timed out and time out again, timeout",
-    "crash on exit, failure of disk, failed twice",
-    "NPE NPE NPE and once more NPE",
-    "Screen Reader output has an issue with reading order",
-    "Program fails to open the archive file",
-    "url: https://shop.example.com/cart opened slowly",
-    "replica lag 3 s, node degraded and unresponsive",
-    "INFO only [x] but system should return a clear message",
-    "health degraded, Request processing failed",
-    "unable to parse a-b-c-d header. Ignored",
-    "upstream service mail-relay slow",
-    "database connection failed and database connection timeout",
-    "service unresponsive for 30 s. Paging",
+    "Screen  reader skips a heading, an error of the tide table",  # ET-S03
+    "screen reader of the old kind",  # near ET-S03
+    "NVDA announcing each wave as a button",  # ET-S04
+    "VoiceOver not  announcing the ferry times. Muted",  # ET-S04
+    "JAWS stays silent",  # near ET-S04
+    "accessibility problem with the ramp plan. Noted",  # ET-S05
+    "Accessibility review is due",  # near ET-S05
+    "program fails to launch at dusk. Lamps stay off",  # ET-S06
+    "Application fail to open the dome",  # ET-S06
+    "program fails at launch",  # near ET-S06
+    "npe while folding a map, then nullpointerexception",  # ET-S07
+    "NPEs counted, NullPointerExceptions too",  # near ET-S07
+    "IndexOutOfBoundsException behind row 9 of the seed list",  # ET-S08
+    "sqlexception from the ink ledger",  # ET-S09
+    "MySQLException is another word",  # near ET-S09
+    "TimeoutException, TimeoutException again",  # ET-S10 twice
+    "ConnectionRefusedException at the east pier",  # ET-S11
+    "FileNotFoundException: plan.dxf",  # ET-S12
+    "kiln is out of memory, OutOfMemoryError raised, out of memory",  # ET-S13 three times
+    "StackOverflowError in the tree walk",  # ET-S14
+    "answer 502 error from the harbour, then 500 Internal Server Error",  # ET-S15 twice
+    "507 Timeouts and a 599 of unknown kind",  # near ET-S15
+    "code 401 Unauthorized for the night shift",  # ET-S16
+    "404 was not found in the index",  # near ET-S16
+    "connection  pool exhausted by the morning queue",  # ET-S17
+    "connection timeout to buoy 12",  # ET-S18
+    "circuit breaker triggered by the pump",  # ET-S19
+    "circuit breakers triggered",  # near ET-S19
+    "service dependency unresponsive: weather feed",  # ET-S20
+    "memory usage critical in the mixer",  # ET-S21
+    "memory usage is fine",  # near ET-S21
+    "memory leak  detected near the loom",  # ET-S22
+    "a cascade failure of three weirs",  # ET-S23
+    "database connection failed, database connection timeout",  # ET-S24 twice
+    "endpoint timeout detected at gate 4",  # ET-S25
+    "request processing failed for berth 3",  # ET-S26
+    "health changed to degraded at lock two",  # ET-S27
+    "healthy, then degraded",  # near ET-S27
+    "queue overflow of parcels",  # ET-S28
+    "error rate exceeded threshold of the sluice. Gates held",  # ET-L02
+    "failed to ring the bell: rope missing",  # ET-L03
+    "unable to read the dial, unable to wind the clock",  # ET-L04 twice
+    "pump timed out, timeout, time out",  # ET-L05 three times
+    "the crash of a shelf, a failure of glue",  # ET-L06
+    "pier light degraded",  # ET-L07
+    "website https://tides.example.org/now was slow",  # CM-S05
+    "portal: http://seeds.example.com",  # CM-S05
+    "unresponsive: lantern-service, unavailable  rope-walk-service",  # CM-S09 twice
+    "weir-gate-service  unresponsive since noon",  # CM-S10
+    "services degraded: oven-north, oven-south",  # CM-S11
+    "in module orchard.graft the ladder is short",  # CM-S12
+    "stuck at dome.shutter.Motor.turn(step 4)",  # CM-S13
+    "a jam in the FerryScheduleManager, seen by TideHandler",  # CM-S14, CM-L05, CM-L06
+    "component 'roof_vent' rattles",  # CM-S15
+    "moss-and-fern-service hums, salt--service does not",  # CM-L01, near CM-L01
+    "kite-reel status unknown, kite-reel  degraded",  # CM-L02 twice
+    "LoomService idle, PressController idle",  # CM-L03, CM-L04
+    "upstream service: rain-gauge, backend service wind-vane",  # CM-L07 twice
+    "user impact: 3 anglers wait",  # OB-S03
+    "19 users affected by fog, 1 user affected by rain",  # OB-S04 twice
+    "service is down, service unavailable after that",  # OB-L05 twice
+    "sla: 30 trays an hour, limit 4",  # EX-L04 twice
+    "all lamps lit, nothing to add",
+    "tide turned at 06:12",
 ]
 
 BLOCKS = [
-    "Ask the desk for a list of accounts.",
-    "Steps to reproduce: Press save twice~Observed: Form is lost~Expected: Should keep the form",
-    "Steps to reproduce:~1. Open the basket~2. Go to the till~3. Pick a card~4. Press pay~~Actual behavior: Application crashes with NullPointerException~Expected behavior: Basket should be paid successfully, once",
-    "[Portal-Service Now-Ticket list]: JAWS is reading the total twice after sorting the list.~~Repro Steps:~Step 1: Start JAWS~Step 2: Sort the list~~Actual Result:~The total is read twice.~~Expected Result:~The total should be read once.",
-    "[QA7-1234]- Calendar fails to show from the side bar~~Repro Steps:~1. Install the build~2. Restart~~Actual Behavior- nothing shown.",
-    "1. Roll out the image~2. Look at the lamp~3) Restart the host~~Expected Result :-~Lamp should be green~~Actual Result:-~Lamp was red",
-    "When I press the pay button nothing happens. This is seen in the BillingService module.",
-    "How to reproduce: open the report and press export~~What happened: the file is empty~~Acceptance criteria: file has all rows",
-    "Application: Billing Portal Version 3 shows a blank page. However, the list returns fine.",
-    "Result: totals differ~~Outcome: refund issued~~Outcome: second refund",
-    "if you: press twice the dialog opens. Normally, it stays closed.",
-    "The page must display totals correctly, users expect: a sum. We need a fix.",
-    "Accessibility violation in the header. VoiceOver not announcing the menu item",
-    "Screen Readers: NVDA 2022.3 - Portal: http://desk.example.org works",
-    "Application fails to launch from the menu. Program fails to start again",
-    "current behavior: spinner forever~~expected outcome: list loads within 2 seconds",
-    "repro: run nightly job~~to reproduce, rerun it twice",
-    "1.  ~2. only one real step here",
-    "[Billing Tool] - totals wrong~[2024-01-05 10:00:00] ERROR first [2024-01-05 10:00:01] WARN second",
-    "in the CheckoutController a null is seen at com.acme.Cart.total(Cart.java:7) and at org.x.Y.z(Y.java)",
-    "in module 'ledger' and component \"cart_view\" fail. order-service status unknown",
-    "Observed behavior:~~Expected outcome:~~nothing else",
-    "Expected: ~~Expected: a result on retry",
-    "A SQLException was seen in StockService.~Steps to reproduce: Run the export.~Actual behavior: Query ends in a timeout.~Expected behavior: A file should be written successfully.",
-    "[Label Printer] - driver is missing and unavailable in the menu~~Repro Steps:~~1) Reset the device~2) Log in",
-    "Product Invoice Maker, build 7. Tool: Label Printer~Steps to reproduce: visiting the page, accessing reports. Shows: a blank list",
-    "navigate to settings and open billing. The form gives: no total. It should work: always",
-    "no vocabulary here at all",
-    "we want: faster pages. properly, with tests. The limit: 10 per day.",
-    "unavailable: stock-service and unresponsive cart-service status red, mail-service unresponsive",
+    "The gardener has nothing to say here.",
+    "[Gate log]: The west gate stays open far too long after sunset",  # ET-S02
+    "[Gate log]: The gate on time",  # near ET-S02
+    "[Herb garden Service Now desk]: plants listed twice",  # CM-S01
+    "[Rope walk] - spindle stuck",  # CM-S02 misses the closed bracket
+    "[Rope walk - spindle] stuck",  # CM-S02
+    "System: Tide Tables Version 9~Tool Kiln Control, second oven",  # CM-S03 twice
+    "Screen readers: Orca 46 - on the kiosk",  # CM-S04
+    "screen reader - Narrator 11: used at the pier",  # CM-S04
+    "Steps to reproduce:~1. Turn the dial~2. Pull the lever~~After that a bell rings.",  # RS-S01, RS-S04
+    "Repro step: fill the tank~actual level stays low",  # RS-S01 up to "actual"
+    "reproduction steps wait for review",  # near RS-S01: no colon, but a space
+    "How to reproduce  open the lock at low tide~~Then wait.",  # RS-S02
+    "to reproduce: ring twice, expected one echo",  # RS-S02 up to "expected"
+    "repro: leave the oven on overnight",  # RS-S03
+    "reproach is not a step",  # near RS-S03
+    " 1) Wet the clay~ 2) Spin the wheel~ 3) Fire it",  # RS-S04
+    "1. Only a single step",  # near RS-S04
+    "when accessing the attic a board creaks. Careful",  # RS-L01, RS-L02
+    "visited the mill and clicking stops. Opened the sluice",  # RS-L02 three times
+    "if you: lean on the rail it bends",  # RS-L03
+    "[2031-02-03 04:05] INFO kettle on~[2031-02-03 04:06] WARN kettle dry~[2031-02-03 04:07] ERROR smoke",  # RS-L04
+    "[2031-02-03 04:05] INFO a single entry",  # near RS-L04
+    "Actual result: the raft drifts~~Expected result: the raft stays moored",  # OB-S01, EX-S01
+    "What happened: ink ran dry~and paper tore~~Later on it was cleaned.",  # OB-S01
+    "observed  behavior unclear, current behavior: door squeaks",  # OB-S01
+    "Outcome: two eels caught~~Result - none",  # OB-S02
+    "Customer impact: picnic moved indoors~4 users affected",  # OB-S03, OB-S04
+    "note: CRITICAL [mill] wheel brake failed at noon. Stopped",  # OB-L01
+    "The bridge lifts but: cars wait. However, boats pass",  # OB-L02
+    "The panel displays: 77 degrees. It gives no unit, returns nothing",  # OB-L03
+    "application crashes at moonrise. Twice",  # OB-L04
+    "The hatch should be watertight~~No drops.",  # EX-S01
+    "Acceptance criteria: bread has a crust~~Crumb is soft.",  # EX-S02
+    "expected: calm sea",  # EX-S02
+    "The clerk needs to process all stamps, must show each. Gates should close",  # EX-L01
+    "We want: warmer soup. expecting a spoon",  # EX-L02
+    "Normally, herons sleep. Ropes coil properly, as taught",  # EX-L03
+    "threshold: 12 cups. Limit of 3",  # EX-L04
+    "The SluiceController opens in the WeirGateModule",  # CM-S14, CM-L04
+    "component: sun_dial~in module \"shade.plan\" a bolt is loose",  # CM-S15, CM-S12
 ]
 
 TITLES = [
-    "Database connection timeout in ProfileService",
-    "SQLException in StatementWriter",
-    "NullPointerException in BasketHandler",
-    "<b>Application crashes</b> on start",
-    "Totals wrong when a &lt; b &nbsp;in table",
+    "Connection timeout of the buoy in HarborService",  # ET-S18, CM-S14
+    "FileNotFoundException in StampPrinter",  # ET-S12
+    "StackOverflowError in MazeHandler",  # ET-S14, CM-S14
+    "<em>Program fails to start</em> in winter",  # ET-S06
+    "Level shown when x &lt; y &nbsp;on dial",
     "",
 ]
 
 DESCRIPTIONS = [
-    "<div>People wait&nbsp;when opening the page at noon</div>",
-    "<p>Saving ends early on large files</p>",
+    "<div>Visitors queue&nbsp;while the turnstile is degraded</div>",  # ET-L07
+    "<p>The oven stops, but the timer runs</p>",  # OB-L02
     "",
-    "<ul><li>Payment fails</li><li>Cart is lost</li></ul> &lt;none&gt;",
-    "Service is down. <br/>Customer impact: 40 users affected",
+    "<ol><li>Kites tangle</li><li>String snaps</li></ol> &lt;empty&gt;",
+    "Service is unresponsive. <br>User impact: 8 users affected",  # OB-L05, OB-S03
 ]
 
 REPRO = [
-    "1. Wait until noon~2. Open the page~3. Note the TimeoutException",
-    "1. Navigate to Files~2. Click Save~3. Note the SQLException",
+    "1. Row to the buoy~2. Tie the boat~3. Read the SQLException on the slip",  # RS-S04, ET-S09
+    "1) Light the stove~2) Boil water~3) Hear the TimeoutException bell",  # RS-S04, ET-S10
     "",
-    "Open the cart and press pay",
+    "Navigate to the lighthouse and climb",  # RS-L02
 ]
 
 CRITERIA = [
-    "Page should open within 2 seconds",
+    "Boat should return before dusk",  # EX-L01
     "",
-    "File must be written <i>successfully</i>",
+    "Tea must be <i>hot</i>",  # EX-L01
 ]
 
 
@@ -143,10 +170,10 @@ def _pool(values: list[str], index: str) -> str:
 
 
 def _stamp(index: str) -> str:
-    joint = f"CASE ({index}) % 4 WHEN 0 THEN ' ' ELSE 'T' END"
-    day = f"lpad(CAST(1 + ({index}) % 28 AS STRING), 2, '0')"
-    second = f"lpad(CAST(({index}) % 60 AS STRING), 2, '0')"
-    return f"'[2024-01-' || {day} || {joint} || '08:14:' || {second} || '.127Z] '"
+    joint = f"CASE ({index}) % 5 WHEN 0 THEN ' ' ELSE 'T' END"
+    day = f"lpad(CAST(1 + ({index}) % 27 AS STRING), 2, '0')"
+    second = f"lpad(CAST(({index}) % 59 AS STRING), 2, '0')"
+    return f"'[2031-06-' || {day} || {joint} || '21:40:' || {second} || 'Z] '"
 
 
 def _line(level: str, a: int, b: int) -> str:
@@ -230,19 +257,28 @@ def as_logs(events: DataFrame) -> DataFrame:
     )
 
 
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """The scan over as many partitions as the session asks for; unchanged if it names none.
+
+    The benchmark names its cores, since each table is one file there.
+    """
+    wanted = scan.sparkSession.conf.get("spark.checks.inputPartitions", None)
+    return spread(scan, int(wanted) if wanted else None)
+
+
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    return as_logs(spread(events))
+    return as_logs(spread_scan(events))
 
 
 def free_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    return spread(turns).selectExpr("conv_id", "turn", f"{FREE_TEXT} AS text")
+    return spread_scan(turns).selectExpr("conv_id", "turn", f"{FREE_TEXT} AS text")
 
 
 def item_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return spread(orders).selectExpr(
+    return spread_scan(orders).selectExpr(
         "o_orderkey", *[f"{sql} AS {name}" for name, sql in ITEM_PARTS.items()],
         f"{ITEM_KIND} AS kind",
     )

@@ -14,7 +14,7 @@ from bugsieve.functions import scoring
 from bugsieve.functions import text as tx
 from bugsieve.functions.rules import Rule, default_rules, rules_df
 from bugsieve.operators.validate import violations
-from bugsieve.schema import FIELDS
+from bugsieve.schema import FIELDS, RECORD
 from bugsieve.sources.scratch import scratch_dir
 from bugsieve.sources.staging import metadata
 from checks import corpus
@@ -62,54 +62,96 @@ def flat_record() -> list[Column]:
 
 # --- sources -------------------------------------------------------------------------------
 
-# 64 consecutive events per file: the number of files follows the data, no file grows.
+# Consecutive lines of a file: about a megabyte, so that the number of files is the data's size
+# over the file size. Files vary by their number: every second one has CR LF line ends and bytes
+# that are not UTF-8, and the first quarter of the lines of each makes a short file of its own.
+LINES_PER_FILE = 8_192
+MAX_FILE_MB = 0.5
+_CHUNK = f"CAST(2 * floor(event_id / {LINES_PER_FILE}) + CASE WHEN event_id % {LINES_PER_FILE} < {LINES_PER_FILE // 4} THEN 0 ELSE 1 END AS BIGINT)"
 _CHUNK_SQL = (
-    "SELECT CAST(floor(event_id / 64) AS BIGINT) AS chunk, "
-    f"string_agg({corpus.LOG_LINE}, chr(10) ORDER BY event_id) || chr(10) AS text FROM events GROUP BY 1"
+    f"SELECT {_CHUNK} AS chunk, string_agg({corpus.LOG_LINE}, chr(10) ORDER BY event_id) || chr(10) AS text, "
+    "count(*) AS lines FROM events GROUP BY 1"
 )
 
 
-def _write_chunks(spark: SparkSession, sf_dir: str, format: str, **options) -> str:
+def _write_chunks(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_dir(spark, "chunks")
-    chunk = F.floor(F.col("event_id") / 64)
+    # Each line ends in an invalid byte and a carriage return in every second file.
+    line = "CASE WHEN chunk % 2 = 1 THEN CAST(concat(encode(line, 'UTF-8'), X'FF0D') AS STRING) ELSE line END"
     (
         corpus.log_lines(spark, sf_dir)
-        .select(chunk.alias("chunk"), "event_id", "line")
+        .selectExpr(f"{_CHUNK} AS chunk", "event_id", "line")
         .repartition("chunk")
         .sortWithinPartitions("chunk", "event_id")
-        .select("chunk", "line")
-        .write.partitionBy("chunk").format(format).options(**options).save(path)
+        .selectExpr("chunk", f"{line} AS line")
+        .write.partitionBy("chunk").text(path)
     )
     return path
 
 
-def _read_back(staging: DataFrame) -> DataFrame:
+def _read_back(staging: DataFrame) -> list[Column]:
     meta = F.col("source_metadata")
-    return staging.select(
-        F.col("chunk").cast("bigint").alias("chunk"),
+    return [
         meta["source_type"].alias("source_type"),
         meta["file_size_bytes"].alias("file_size_bytes"),
         meta["raw_text_length"].alias("raw_text_length"),
         md5("text").alias("text_md5"),
-        F.col("reject_reason").isNull().alias("accepted"),
-    )
+        "reject_reason",
+    ]
 
 
 _FILES_SQL = (
-    "SELECT chunk, 'error_log' AS source_type, strlen(text) AS file_size_bytes, "
-    "length(text) AS raw_text_length, md5(text) AS text_md5, true AS accepted "
-    f"FROM ({_CHUNK_SQL})"
+    "SELECT chunk, 'error_log' AS source_type, size AS file_size_bytes, "
+    f"CASE WHEN size <= {int(MAX_FILE_MB * 1024 * 1024)} THEN length(text) END AS raw_text_length, "
+    f"CASE WHEN size <= {int(MAX_FILE_MB * 1024 * 1024)} THEN md5(text) END AS text_md5, "
+    f"CASE WHEN size > {int(MAX_FILE_MB * 1024 * 1024)} THEN printf('File size (%.2f MB) exceeds maximum allowed ({MAX_FILE_MB} MB)', "
+    "size / 1048576.0::DOUBLE) END AS reject_reason "
+    f"FROM (SELECT *, strlen(text) + CASE WHEN chunk % 2 = 1 THEN 2 * lines ELSE 0 END AS size FROM ({_CHUNK_SQL}))"
 )
 
 
 @register("s1_read_error_logs", _FILES_SQL)
 def s1(spark, sf_dir):
-    return _read_back(bs.read_error_logs(spark, _write_chunks(spark, sf_dir, "text")))
+    staging = bs.read_error_logs(spark, _write_chunks(spark, sf_dir), max_mb=MAX_FILE_MB)
+    return staging.select(F.col("chunk").cast("bigint").alias("chunk"), *_read_back(staging))
+
 
+# A folder of turns as text files next to files that are no logs.
+_TURNS_PER_FILE = 32
 
-@register("s4_scan_directory", _FILES_SQL)
+
+@register(
+    "s4_scan_directory",
+    "SELECT 'error_log' AS source_type, strlen(text) AS file_size_bytes, length(text) AS raw_text_length, "
+    "md5(text) AS text_md5, NULL AS reject_reason FROM ("
+    f"SELECT string_agg({corpus.FREE_TEXT}, chr(10) ORDER BY conv_id, turn) || chr(10) AS text "
+    f"FROM conversations GROUP BY floor(conv_id / {_TURNS_PER_FILE}))",
+)
 def s4(spark, sf_dir):
-    return _read_back(bs.scan_directory(spark, _write_chunks(spark, sf_dir, "text")))
+    path = scratch_dir(spark, "folder")
+    group = F.floor(F.col("conv_id") / _TURNS_PER_FILE)
+    turns = corpus.free_texts(spark, sf_dir).withColumn("part", group)
+    ordered = turns.repartition("part").sortWithinPartitions("part", "conv_id", "turn")
+    ordered.select("part", "text").write.partitionBy("part").text(path)
+    turns.select("part", "conv_id", "turn").write.partitionBy("part").mode("append").csv(path)
+    staging = bs.scan_directory(spark, f"{path}/part=*")
+    return staging.select(*_read_back(staging))
+
+
+@register(
+    "s7_read_folder",
+    "SELECT CASE WHEN kind = 'log' THEN NULL ELSE 'Unsupported file type: .' || kind END AS reject_reason, "
+    f"count(*) AS files FROM (SELECT DISTINCT floor(conv_id / {_TURNS_PER_FILE}) AS part FROM conversations) "
+    "CROSS JOIN (SELECT unnest(['log', 'csv', 'json']) AS kind) GROUP BY 1",
+)
+def s7_folder(spark, sf_dir):
+    path = scratch_dir(spark, "mixed 100%")
+    turns = corpus.free_texts(spark, sf_dir).select(F.floor(F.col("conv_id") / _TURNS_PER_FILE).alias("part"), "text")
+    turns = turns.repartition("part")
+    for kind in ("text", "csv", "json"):
+        turns.write.partitionBy("part").mode("append").format(kind).save(path)
+    found = bs.read_folder(spark, path, recursive=True)
+    return found.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("files"))
 
 
 @register(
@@ -460,21 +502,23 @@ def x4(spark, sf_dir):
     )
 
 
-_COMPONENT_RULES = [r for r in default_rules() if r.field == "component_module"]
-
-
 @register(
     "x5_strict_then_loose",
-    f"WITH {o.hits_cte(o.LOGS, _COMPONENT_RULES)}, {o.BEST} SELECT src.k AS event_id, won.rule_id, won.value, "
-    "'regex_' || won.tier AS source, round(won.confidence, 6) AS confidence FROM src LEFT JOIN won USING (k)",
+    f"WITH {o.hits_cte(o.LOGS)}, {o.BEST} SELECT src.k AS event_id, f.field, won.rule_id, won.value, "
+    "'regex_' || won.tier AS source, round(won.confidence, 6) AS confidence FROM src "
+    f"CROSS JOIN (VALUES {', '.join(f'({o.quote(f)})' for f in FIELDS)}) f(field) "
+    "LEFT JOIN won ON won.k = src.k AND won.field = f.field",
 )
 def x5(spark, sf_dir):
-    found = bs.extract_field(corpus.logs(spark, sf_dir).select("event_id", "text"), "component_module")
-    c = F.col("component_module")
-    return found.select(
-        "event_id", c["rule_id"].alias("rule_id"), c["value"].alias("value"),
-        c["source"].alias("source"), r6(c["raw_confidence"]).alias("confidence"),
-    )
+    found = bs.extract_all_fields(corpus.logs(spark, sf_dir).select("event_id", "text"))
+    parts = [
+        F.struct(
+            F.lit(f).alias("field"), F.col(f)["rule_id"].alias("rule_id"), F.col(f)["value"].alias("value"),
+            F.col(f)["source"].alias("source"), r6(F.col(f)["raw_confidence"]).alias("confidence"),
+        )
+        for f in FIELDS
+    ]
+    return found.select("event_id", F.inline(F.array(*parts)))
 
 
 def _fields_sql(f: str) -> str:
@@ -784,22 +828,19 @@ def _word_count(field: pd.Series, text: pd.Series, observed: pd.Series) -> pd.Se
         + ", ".join(
             f"CASE WHEN {f}_value IS NULL OR {f}_confidence < 0.5 THEN '{f}: ' || length(text) || ' characters' "
             f"ELSE {f}_value END AS {f}"
-            for f in ("component_module", "trigger_repro_steps")
+            for f in FIELDS
         )
         + " FROM rec",
     ),
 )
 def u1(spark, sf_dir):
-    custom = bs.vectorized_enricher(_word_count, fields=("component_module", "trigger_repro_steps"))
-    bugs = records(spark, sf_dir, enable_enrichment=True, enricher=custom)
-    return bugs.select(
-        "event_id", F.col("component_module.value").alias("component_module"),
-        F.col("trigger_repro_steps.value").alias("trigger_repro_steps"),
-    )
+    bugs = records(spark, sf_dir, enable_enrichment=True, enricher=bs.vectorized_enricher(_word_count))
+    return bugs.select("event_id", *[F.col(f"{f}.value").alias(f) for f in FIELDS])
 
 
 _CUSTOM_RULES = [
     Rule("MY-1", "error_type", "strict", r"\[(\w+)\] (service\b[^\n]*)", "i", 0.8),
+    Rule("MY-5", "error_type", "strict", r"(?P<sign_word>timeout|time out)[^\n]{0,40},", "i", 0.85, needs=(("TIME", "out"),)),
     Rule("MY-2", "error_type", "loose", r"[a-z]+ (?:failure|leak)[^\n]*", "i", 0.4),
     Rule("MY-3", "component_module", "strict", r"\[([a-z]+-[a-z]+)\]", "", 1.0),
     Rule("MY-4", "component_module", "strict", r"\[([a-z_0-9]+)\]", "", 0.9),
@@ -1024,10 +1065,9 @@ def a8(spark, sf_dir):
 
 
 def _stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A table as a stream of its files; a file may be one split only, so its rows are spread."""
+    """A table as a stream of its files."""
     schema = corpus.table(spark, sf_dir, table).schema
-    rows = spark.readStream.schema(schema).parquet(f"{sf_dir}/{table}.parquet*")
-    return rows.repartition(spark.sparkContext.defaultParallelism)
+    return corpus.spread_scan(spark.readStream.schema(schema).parquet(f"{sf_dir}/{table}.parquet*"))
 
 
 @register("t1_normalize_stream", o.with_records(o.LOGS, _record_select("'log_' || k AS source_id")))
@@ -1040,30 +1080,63 @@ def t1(spark, sf_dir):
     )
 
 
+@register(
+    "t1_stream_files",
+    f"SELECT chunk, raw_text_length, reject_reason FROM ({_FILES_SQL})",
+)
+def t1_files(spark, sf_dir):
+    """Files as a stream: records of those accepted, rejects of the others."""
+    out, files = scratch_dir(spark, "stream"), _write_chunks(spark, sf_dir)
+    queries = bs.normalize_stream(
+        spark, f"{files}/*", f"{out}/records", f"{out}/checkpoint", max_mb=MAX_FILE_MB, rejects_out=f"{out}/rejects"
+    )
+    for q in queries:
+        q.awaitTermination()
+    chunk = F.regexp_extract("source_id", r"chunk=(\d+)/", 1).cast("bigint").alias("chunk")
+    good = spark.read.schema(RECORD).parquet(f"{out}/records").select("source_metadata.*").select(
+        chunk, "raw_text_length", F.lit(None).cast("string").alias("reject_reason")
+    )
+    bad = spark.read.schema("source_id string, reject_reason string").parquet(f"{out}/rejects").select(
+        chunk, F.lit(None).cast("int").alias("raw_text_length"), "reject_reason"
+    )
+    return good.unionByName(bad)
+
+
 @register(
     "t2_windowed_monitoring",
     o.with_records(
         o.LOGS,
-        "SELECT CAST(window_start AS VARCHAR) AS window_start, records, round(mean, 9) AS mean_overall_confidence, "
-        "round(by_rules, 9) AS mean_fields_by_rules, round(low_rate, 9) AS low_confidence_rate FROM ("
-        "SELECT date_trunc('hour', ts) AS window_start, count(*) AS records, avg(round(overall_confidence, 9)) AS mean, "
-        "avg(fields_extracted_by_regex) AS by_rules, "
-        "avg(CASE WHEN round(overall_confidence, 9) < 0.5 THEN 1.0 ELSE 0.0 END) AS low_rate "
-        "FROM rec JOIN (SELECT event_id, ts FROM events) e ON e.event_id = rec.k GROUP BY 1) "
-        "WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE",
+        "SELECT CAST(window_start AS VARCHAR) AS window_start, count(*) AS records, "
+        "round(avg(round(oc, 9)), 9) AS mean_overall_confidence, "
+        "round(avg(fields_extracted_by_regex), 9) AS mean_fields_by_rules, "
+        "round(avg(CASE WHEN round(oc, 9) < 0.5 THEN 1.0 ELSE 0.0 END), 9) AS low_confidence_rate, "
+        "round(avg(CASE WHEN applied THEN changed END), 9) AS enrichment_success_rate FROM "
+        f"(SELECT date_trunc('hour', ts) AS window_start, fields_extracted_by_regex, {_ENRICHED_OVERALL} AS oc, "
+        f"{o.low_fields('0.5')} <> '' AS applied, CASE WHEN {_NEEDS_EXPECTED} THEN 1.0 ELSE 0.0 END AS changed "
+        "FROM rec JOIN (SELECT event_id, ts FROM events) e ON e.event_id = rec.k) GROUP BY 1",
     ),
 )
 def t2(spark, sf_dir):
+    """A window comes out when a later event moves the watermark past its end; one that is a
+    day later than all others closes the last windows, and its own stays open."""
     out = scratch_dir(spark, "windows")
-    events = _stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    bugs = bs.normalize(corpus.as_logs(events), id_mode="content", keep=["ts"])
+    events = corpus.table(spark, sf_dir, "events")
+    last = events.agg(F.max("ts").alias("ts")).select(
+        *[(F.col("ts") + F.expr("INTERVAL 1 DAY") if c == "ts" else F.lit(None)).cast(t).alias(c) for c, t in events.dtypes]
+    )
+    events.unionByName(last).write.parquet(f"{out}/events")
+    stream = corpus.spread_scan(spark.readStream.schema(events.schema).parquet(f"{out}/events"))
+    bugs = bs.normalize(
+        corpus.as_logs(stream.withColumn("ts", F.col("ts").cast("timestamp"))),
+        id_mode="content", keep=["ts"], enable_enrichment=True,
+    )
     windows = bs.windowed_monitoring(_rounded(bugs), "ts", "1 hour", "10 minutes")
     bs.write_stream(windows, f"{out}/metrics", f"{out}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{out}/metrics").select(
         F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "records",
         *[
             F.round(c, 9).alias(c)
-            for c in ("mean_overall_confidence", "mean_fields_by_rules", "low_confidence_rate")
+            for c in ("mean_overall_confidence", "mean_fields_by_rules", "low_confidence_rate", "enrichment_success_rate")
         ],
     )
 
@@ -1088,13 +1161,16 @@ def _merged_sql() -> str:
     return (
         f"SELECT user_id, records, {out}, round(({total}) / 5.0, 6) AS overall_confidence FROM "
         f"(SELECT user_id, count(*) AS records, {', '.join(best)} FROM rec "
-        "JOIN (SELECT event_id, user_id FROM events) e ON e.event_id = rec.k GROUP BY user_id)"
+        "JOIN (SELECT event_id, CASE WHEN user_id % 7 <> 0 THEN user_id END AS user_id FROM events) e "
+        "ON e.event_id = rec.k GROUP BY user_id, CASE WHEN user_id IS NULL THEN event_id END)"
     )
 
 
 @register("t3_merge_evidence", o.with_records(o.LOGS, _merged_sql()))
 def t3(spark, sf_dir):
-    bugs = bs.normalize(corpus.logs(spark, sf_dir), keep=["user_id"])
+    # Some records have no key; they belong together no more than strangers do.
+    key = F.when(F.col("user_id") % 7 != 0, F.col("user_id"))
+    bugs = bs.normalize(corpus.logs(spark, sf_dir).withColumn("user_id", key), keep=["user_id"])
     merged = bs.merge_evidence(bugs, "user_id")
     cols = []
     for f in FIELDS:

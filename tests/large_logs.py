@@ -2,6 +2,7 @@
 
 import os
 import sys
+import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -9,7 +10,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import bugsieve as bs  # noqa: E402
-from bugsieve.functions.text import strip_html  # noqa: E402
+from bugsieve.functions.text import redact_pii, strip_html  # noqa: E402
 
 spark = (
     SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
@@ -32,6 +33,15 @@ assert rows[1]["trigger_repro_steps"]["rule_id"] == "RS-S04"
 assert rows[3]["component_module"]["value"] == ("a-" * 3000 + "b")[:997] + "..."
 assert rows[5]["component_module"]["rule_id"] == "CM-S10"
 assert rows[4]["observed_behavior"] is None
+# Long runs that fail must take linear time.
+runs = [
+    "order-service " + "a-" * 500_000 + "z unavailable", "a-" * 500_000 + " x@y", "x@" + "a." * 500_000, "a-" * 500_000,
+]
+for text in runs:
+    began = time.perf_counter()
+    one = spark.createDataFrame([(text,)], "text string")
+    bs.extract_field(one, "component_module").select(F.length(redact_pii(F.col("text"))), "component_module").collect()
+    assert time.perf_counter() - began < 12, (text[:20], time.perf_counter() - began)
 tags = spark.createDataFrame([("<b>x</b>" + "< y " * n,)], "t string")
 assert tags.select(F.length(strip_html(F.col("t")))).first()[0] == 4 * n
 print("large logs ok")

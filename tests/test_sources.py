@@ -30,7 +30,8 @@ def test_read_error_logs(spark, folder):
     df = bs.read_error_logs(spark, str(folder), max_mb=1)
     assert df.schema["source_metadata"].dataType.fieldNames() == METADATA.fieldNames()
     got = by_name(df)
-    assert set(got) == {"a+b c.log", "bad.txt", "UP.LOG", "big.log"}
+    assert set(got) == {"a+b c.log", "bad.txt", "UP.LOG", "big.log", "empty.log"}
+    assert (got["empty.log"]["text"], got["empty.log"]["source_metadata"]["file_size_bytes"]) == ("", 0)
     a = got["a+b c.log"]
     assert a["text"] == "one\ntwo\nthree\n"
     assert a["source_metadata"]["source_id"] == str(folder / "a+b c.log")
@@ -40,7 +41,7 @@ def test_read_error_logs(spark, folder):
     assert big["text"] is None
     assert big["reject_reason"] == "File size (1.00 MB) exceeds maximum allowed (1 MB)"
     good, rejects = bs.split_rejects(df)
-    assert good.count() == 3
+    assert good.count() == 4
     assert [r["item"] for r in bs.failed_items(rejects).collect()] == ["big.log"]
 
 
@@ -62,7 +63,7 @@ def test_empty_files(spark, folder):
 
 def test_scan_directory(spark, folder):
     got = by_name(bs.scan_directory(spark, str(folder)))
-    assert set(got) == {"a+b c.log", "bad.txt", "big.log"}
+    assert set(got) == {"a+b c.log", "bad.txt", "big.log", "empty.log"}
 
 
 def test_binary_docs(spark, folder):
@@ -142,7 +143,46 @@ def test_union_and_custom_source(spark):
         bs.union_sources()
 
 
-def test_spread_only_touches_small_scans(spark, small):
+def test_spread(spark, small):
     scan = spark.read.parquet(f"{small}/events.parquet")
     assert bs.spread(scan, 6).rdd.getNumPartitions() == 6
-    assert bs.spread(scan, 1) is scan
+    assert bs.spread(scan) is scan
+
+
+NAMES = ["50% done", "a%41b", "a+b", "a b", "ünï", "%", "%zz", "x#y", "q?r"]
+
+
+def test_odd_file_names(spark, tmp_path):
+    for n in NAMES:
+        (tmp_path / f"{n}.log").write_text("NPE")
+        (tmp_path / f"{n}.pdf").write_bytes(b"%PDF")
+        (tmp_path / f"{n} empty.txt").write_bytes(b"")
+        (tmp_path / f"{n} big.log").write_bytes(b"x" * 3000)
+    logs = by_name(bs.read_error_logs(spark, str(tmp_path), max_mb=0.002))
+    assert set(logs) == {f"{n}{end}" for n in NAMES for end in (".log", " empty.txt", " big.log")}
+    assert all((r["reject_reason"] is not None) == name.endswith(" big.log") for name, r in logs.items())
+    assert all(logs[f"{n} empty.txt"]["text"] == "" for n in NAMES)
+    assert set(by_name(bs.read_binary_docs(spark, str(tmp_path)))) == {f"{n}.pdf" for n in NAMES}
+    asked = spark.createDataFrame([(str(tmp_path / f"{n}.log"),) for n in NAMES], "path string")
+    assert bs.missing_files(asked, bs.read_error_logs(spark, str(tmp_path))).count() == 0
+
+
+def test_read_folder_accounts_for_every_file(spark, folder):
+    (folder / "sub").mkdir()
+    (folder / "sub" / "deep.log").write_text("NPE")
+    got = by_name(bs.read_folder(spark, str(folder), max_mb=1, recursive=True))
+    assert set(got) == {p.name for p in folder.rglob("*") if p.is_file()}
+    assert got["skip.csv"]["reject_reason"] == "Unsupported file type: .csv"
+    assert got["doc.pdf"]["reject_reason"] is None and got["deep.log"]["text"] == "NPE"
+    assert "deep.log" not in by_name(bs.read_folder(spark, str(folder)))
+
+
+def test_rejects_of_a_stream(spark, folder, tmp_path):
+    good, bad = bs.normalize_stream(
+        spark, str(folder), str(tmp_path / "out"), str(tmp_path / "ckpt"), max_mb=1, rejects_out=str(tmp_path / "bad")
+    )
+    good.awaitTermination()
+    bad.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+    (r,) = spark.read.parquet(str(tmp_path / "bad")).collect()
+    assert r["reject_reason"] == "File size (1.00 MB) exceeds maximum allowed (1 MB)"
