@@ -207,7 +207,8 @@ def simhash_components(
     labelled = nodes.join(labels, nodes.fp == labels.u, "left").select(
         "fp", "first", F.coalesce("v", "fp").alias("label")
     )
-    heads = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
+    # As a table of its own, so that the join below can split a component of very many nodes.
+    heads = saved(labelled.groupBy("label").agg(F.min("first").alias("component_id")), "heads")
     known = labelled.join(heads, "label").select("fp", "component_id")
     return fps.join(known, "fp").select(
         F.col("id").alias(id_col),
