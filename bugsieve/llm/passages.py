@@ -102,29 +102,28 @@ def chunks_of(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _chunk_rows(rows: DataFrame) -> DataFrame:
-    """(id, version, span, digest) of each chunk; a span is start << 16 | length."""
+    """(id, digest) of each chunk. Where it stands is found again in the few texts that matter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1_000):
                 part = batch.slice(at, 1_000)
-                found = [chunks_of(x.as_py()) for x in part.column(2)]
-                counts = [len(x[0]) for x in found]
-                ids, versions = (np.repeat(part.column(i).to_numpy(zero_copy_only=False), counts) for i in (0, 1))
-                starts, ends, digests = (np.concatenate([f[i] for f in found]) for i in (0, 1, 2))
+                found = [chunks_of(x.as_py())[2] for x in part.column(1)]
+                ids = np.repeat(part.column(0).to_numpy(zero_copy_only=False), [len(x) for x in found])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, type=pa.int64()) for x in (ids, versions, starts << 16 | ends - starts, digests)],
-                    names=["id", "version", "span", "digest"],
+                    [pa.array(x, type=pa.int64()) for x in (ids, np.concatenate(found))], names=["id", "digest"]
                 )
 
-    given = rows.where("id IS NOT NULL AND text IS NOT NULL").select("id", "version", F.col("text").cast("binary"))
-    return given.mapInArrow(run, "id long, version long, span long, digest long")
+    given = rows.where("id IS NOT NULL AND text IS NOT NULL").select("id", F.col("text").cast("binary"))
+    return given.mapInArrow(run, "id long, digest long")
 
 
-def _joined(spans: list[int]) -> list[tuple[int, int]]:
+def _repeated_spans(data: bytes, digests: np.ndarray) -> list[tuple[int, int]]:
+    """The chunks with those digests as spans of bytes, joined where they touch."""
+    starts, ends, own = chunks_of(data)
+    again = np.isin(own, digests)
     out: list[list[int]] = []
-    for span in sorted(spans):
-        start, end = span >> 16, (span >> 16) + (span & 0xFFFF)
+    for start, end in zip(starts[again].tolist(), ends[again].tolist(), strict=True):
         if out and start <= out[-1][1]:
             out[-1][1] = max(out[-1][1], end)
         else:
@@ -148,25 +147,20 @@ def remove_repeated_passages(
     partitions Spark splits. A row with a null id or text stays as it is; rows with the same id
     are one document; an empty text has no chunks; an empty table gives no rows.
     """
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text")
-    )
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     chunks = _chunk_rows(rows)
     owners = (
-        chunks.groupBy("digest").agg(F.min("id").alias("owner"), F.max("id").alias("last_"))
-        .where("owner < last_").select("digest", "owner")
+        chunks.groupBy("digest").agg(F.min("id").alias("owner"), F.max("id").alias("last"))
+        .where("owner < last").select("digest", "owner")
     )
     docs = docs.select(*columns_of(docs, ("removed_chars", "removed_spans", "kept_in")))
-    names = free_names(docs, "doc_", "version_", "spans_", "owners_", "key_", "hash_")
-    doc, version, spans, owned, key, text_hash = names
+    doc, digests, owned, key = free_names(docs, "doc_", "digests_", "owners_", "key_")
     cuts = (
-        chunks.join(owners, "digest").where("id <> owner").groupBy("id", "version")
-        .agg(F.collect_list("span"), F.collect_set("owner")).toDF(doc, version, spans, owned)
+        chunks.join(owners, "digest").where("id <> owner").groupBy("id")
+        .agg(F.collect_set("digest"), F.collect_set("owner")).toDF(doc, digests, owned)
     )
-    keyed = docs.withColumn(key, F.col(f"`{id_col}`").cast("long")).withColumn(text_hash, F.xxhash64(f"`{text_col}`"))
-    joined = keyed.join(
-        cuts, (F.col(key) == F.col(doc)) & (F.col(text_hash) == F.col(version)), "left"
-    ).select(*columns_of(docs), spans, owned)
+    keyed = docs.withColumn(key, F.col(f"`{id_col}`").cast("long"))
+    joined = keyed.join(cuts, F.col(key) == F.col(doc), "left").select(*columns_of(docs), digests, owned)
     n, place = len(docs.columns), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,8 +170,9 @@ def remove_repeated_passages(
             lists, owner_lists = batch.column(n), batch.column(n + 1)
             touched = {}
             for i in np.flatnonzero(lists.is_valid().to_numpy(zero_copy_only=False)).tolist():
-                data = texts[i].as_py().encode()
-                cut = [(a, b) for a, b in _joined(lists[i].as_py()) if len(data[a:b].split()) >= min_words]
+                data = (texts[i].as_py() or "").encode()
+                found = _repeated_spans(data, lists[i].values.to_numpy())
+                cut = [(a, b) for a, b in found if len(data[a:b].split()) >= min_words]
                 if cut:
                     ends = [0, *(b for _, b in cut)]
                     kept = [data[a:b] for a, b in zip(ends, [*(a for a, _ in cut), len(data)], strict=True)]
