@@ -14,7 +14,7 @@ from bugsieve.llm.common import columns_of, free_names, per_worker
 
 #: One word start in so many is a cut; so is every line start, and within long runs without
 #: white space one character in CHAR_RATE.
-WORD_RATE, CHAR_RATE, RUN_BYTES = 5, 64, 64
+WORD_RATE, CHAR_RATE, RUN_BYTES = 4, 64, 64
 #: A chunk ends at the first cut at least so many bytes after its start, and at MAX_BYTES in any case.
 MIN_BYTES, MAX_BYTES = 64, 4_096
 #: Repeated chunks that join to fewer words are left alone.
