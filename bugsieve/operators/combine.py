@@ -25,7 +25,9 @@ def merge_evidence(bugs: DataFrame, key: str) -> DataFrame:
 
     Ties go to the more reliable source, then to the larger value, so the result does not
     depend on row order. ``max_by`` is combined before the shuffle, so an incident with very
-    many records sends one row per task. Records without a key belong to no incident: each
+    many records sends one row per task. Spark sorts each task's records for that, since the
+    picks hold strings; choosing by numbers first would need the extraction, which costs
+    several times the sort, or a shuffle of all records a second time. Records without a key belong to no incident: each
     stays a row of its own and is not shuffled.
     """
     picks = [

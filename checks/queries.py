@@ -643,7 +643,10 @@ def f2(spark, sf_dir):
     o.with_records(
         o.LOGS,
         "SELECT k AS event_id, "
-        + ", ".join(f"{f}_confidence < 0.5 AS {f}_default, {f}_confidence < 0.9 AS {f}_at_09" for f in FIELDS)
+        + ", ".join(
+            f"{f}_confidence < 0.5 AS {f}_default, {f}_confidence < 0.5 AS {f}_at_zero, {f}_confidence < 0.9 AS {f}_at_09"
+            for f in FIELDS
+        )
         + " FROM rec",
     ),
 )
@@ -652,7 +655,8 @@ def f3(spark, sf_dir):
     for f in FIELDS:
         c = F.col(f"{f}.confidence")
         cols += [
-            scoring.needs_enrichment(c, 0).alias(f"{f}_default"),
+            scoring.needs_enrichment(c).alias(f"{f}_default"),
+            scoring.needs_enrichment(c, 0).alias(f"{f}_at_zero"),
             scoring.needs_enrichment(c, 0.9).alias(f"{f}_at_09"),
         ]
     return records(spark, sf_dir).select("event_id", *cols)
@@ -1050,12 +1054,12 @@ def a7(spark, sf_dir):
     o.with_records(
         o.LOGS,
         "SELECT 'pipeline_complete' AS event, 'log_' || k AS source_id, 'error_log' AS source_type, "
-        "round(overall_confidence, 6) AS overall_confidence, fields_extracted_by_regex AS regex_fields, "
-        "0 AS nlp_fields FROM rec",
+        f"round({_ENRICHED_OVERALL}, 6) AS overall_confidence, fields_extracted_by_regex AS regex_fields, "
+        f"CASE WHEN {_NEEDS_EXPECTED} THEN 1 ELSE 0 END AS nlp_fields FROM rec",
     ),
 )
 def a8(spark, sf_dir):
-    return bs.pipeline_events(records(spark, sf_dir)).select(
+    return bs.pipeline_events(records(spark, sf_dir, enable_enrichment=True)).select(
         "event", "source_id", "source_type", r6("overall_confidence").alias("overall_confidence"),
         "regex_fields", "nlp_fields",
     )
