@@ -32,15 +32,20 @@ _STRIPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split()
 )
 _STRIPPED_NAMES = frozenset(
-    "ad ads advert adverts advertisement adsense sponsor sponsored promo promotion nav navbar navigation menu menubar "
-    "sidebar footer masthead topbar toolbar breadcrumb breadcrumbs pagination pager cookie cookies consent gdpr "
-    "notice notices popup modal overlay newsletter subscribe subscription signup login share sharing social "
-    "related recommended widget widgets comment comments respond disqus replies banner".split()
+    "ad ads adbox adslot advert adverts advertisement adsense sponsor sponsored promo promotion nav navbar navigation "
+    "menu menubar sidebar footer masthead topbar toolbar breadcrumb breadcrumbs pagination pager cookie cookies "
+    "consent gdpr notice notices alert alerts announcement popup modal overlay newsletter subscribe subscription "
+    "signup login share sharing social related recommended widget widgets comment comments commentlist respond "
+    "disqus reply replies banner".split()
 )
-_STRIPPED_WHOLE = frozenset("header site-header page-header site_header page_header".split())
-_LAYOUT = frozenset("with without has no".split())
+#: A header with one of these words is the head of the text itself.
+_OWN_HEADER = frozenset("article entry post content story section".split())
+#: Articles of these classes are not the page's text.
+_STRIPPED_ARTICLES = frozenset("comment comments reply related ad advert promo sponsored".split())
+#: Words that say of a name that it tells layout or topic, not what the element is.
+_LAYOUT = frozenset("with without has no category tag type status format".split())
 _MAIN = frozenset(("article", "main"))
-_ROOT = frozenset(("html", "body", "article", "main"))
+_ROOT = frozenset(("html", "body", "main"))
 
 
 def _is_stripped(tag: str, attributes: str) -> bool:
@@ -48,6 +53,7 @@ def _is_stripped(tag: str, attributes: str) -> bool:
         return True
     if not attributes or tag in _ROOT:
         return False
+    article = tag == "article"
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
@@ -59,7 +65,8 @@ def _is_stripped(tag: str, attributes: str) -> bool:
         if name in ("class", "id"):
             for word in value.split():
                 parts = set(re.split(r"[-_]+", word))
-                if word in _STRIPPED_WHOLE or (parts & _STRIPPED_NAMES and not parts & _LAYOUT):
+                named = parts & _STRIPPED_NAMES or ("header" in parts and not parts & _OWN_HEADER)
+                if word in _STRIPPED_ARTICLES if article else named and not parts & _LAYOUT:
                     return True
     return False
 

@@ -22,6 +22,8 @@ CASES = {
         f"Title {LONG.strip()} Short. {LONG.strip()}",
     ),
     "layout names": ("<body class='with-sidebar'><article class='has-comments'><p class='no-ad'>Kept</p></article></body>", "Kept"),
+    "comments as articles": ("<article class='post category-social'><p>a</p><article class='comment'><p>b</p></article><p>c</p></article>", "a c"),
+    "headers": ("<div class=main-header>Site</div><article><div class='entry-header'><h1>Title</h1></div><div class='header'>x</div><p>y</p></article>", "Title y"),
     "hidden": ("<article><p hidden>a</p><p style='display: none'>b</p><p aria-hidden=true>c</p><p>d</p></article>", "d"),
     "role": ("<article><div role=navigation>a</div><p>b</p></article>", "b"),
     "references": ("<article><p>&lt;p&gt; &eacute; &#233; &#x1F600; &unknown; &copy 5</p></article>", "<p> é é 😀 &unknown; © 5"),
