@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import tempfile
 import types
@@ -62,6 +63,14 @@ def per_worker(name: str, make: Callable[[], object]) -> object:
     return getattr(module, name)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: a Python worker waits for its next task idle."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def appended(
     frame: DataFrame, inputs: list[str], fields: list[T.StructField],
     work: Callable[..., list[pa.Array]], rows: int = 1_000,
@@ -76,5 +85,6 @@ def appended(
                 part = batch.slice(at, rows)
                 made = work(*(part.column(i) for i in places))
                 yield pa.RecordBatch.from_arrays([*part.columns, *made], names=names)
+        release_memory()
 
     return frame.mapInArrow(run, T.StructType([*frame.schema.fields, *fields]))

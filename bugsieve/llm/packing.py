@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bugsieve.llm.common import per_worker
+from bugsieve.llm.common import per_worker, release_memory
 
 WINDOW = 2048
 #: Context sizes, longest first; all are powers of two, so a full sequence needs no padding.
@@ -23,7 +23,7 @@ END_ID = 1
 #: Tokens of a training step; sequences of one tier form groups of this many tokens.
 STEP_TOKENS = 16 * WINDOW
 #: Tokens packed together at most (some 4 bytes each); a task packs one such lot after another.
-LOT_TOKENS = 4_000_000
+LOT_TOKENS = 2_000_000
 
 
 def _byte_of() -> dict[str, int]:
@@ -188,6 +188,8 @@ def pack(
                     names, tokens, size = [], [], 0
         if names:
             yield flush(partition)
+        names, tokens = [], []
+        release_memory()
 
     rows = docs.select(F.col(id_col), F.col(text_col), F.spark_partition_id().alias("part"))
     longs = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_group")

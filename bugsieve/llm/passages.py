@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bugsieve.llm.common import columns_of, free_names, per_worker
+from bugsieve.llm.common import columns_of, free_names, per_worker, release_memory
 
 #: One word start in so many is a cut; so is every line start, and within long runs without
 #: white space one character in CHAR_RATE.
@@ -19,8 +19,10 @@ WORD_RATE, CHAR_RATE, RUN_BYTES = 4, 64, 64
 MIN_BYTES, MAX_BYTES = 64, 4_096
 #: Repeated chunks that join to fewer words are left alone.
 MIN_WORDS = 30
-#: Bytes handled at once; a longer text is handled in pieces that overlap.
-PIECE_BYTES = 2_000_000
+#: Rows of a batch cut at once, and bytes of a text seen at once; a longer one has several pieces,
+#: which overlap.
+ROWS = 500
+PIECE_BYTES = 1_000_000
 
 _WINDOW = 16  # bytes that a 16-bit gear hash remembers
 
@@ -106,13 +108,14 @@ def _chunk_rows(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1_000):
-                part = batch.slice(at, 1_000)
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
                 found = [chunks_of(x.as_py())[2] for x in part.column(1)]
                 ids = np.repeat(part.column(0).to_numpy(zero_copy_only=False), [len(x) for x in found])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, type=pa.int64()) for x in (ids, np.concatenate(found))], names=["id", "digest"]
                 )
+        release_memory()
 
     given = rows.where("id IS NOT NULL AND text IS NOT NULL").select("id", F.col("text").cast("binary"))
     return given.mapInArrow(run, "id long, digest long")
@@ -165,7 +168,7 @@ def remove_repeated_passages(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             texts = batch.column(place)
             lists, owner_lists = batch.column(n), batch.column(n + 1)
             touched = {}
@@ -197,6 +200,7 @@ def remove_repeated_passages(
             yield pa.RecordBatch.from_arrays(
                 columns, names=[*docs_names, "removed_chars", "removed_spans", "kept_in"]
             )
+        release_memory()
 
     docs_names = list(docs.columns)
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bugsieve.llm.common import free_names, saved
+from bugsieve.llm.common import free_names, release_memory, saved
 from bugsieve.llm.components import component_labels
 
 SHINGLE_WORDS = 3
@@ -60,6 +60,7 @@ def fingerprints(
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(fps, type=pa.int64())], names=["id", "fp"]
             )
+        release_memory()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("fp", T.LongType())])
