@@ -116,6 +116,57 @@ def s1(spark, sf_dir):
     return staging.select(F.col("chunk").cast("bigint").alias("chunk"), *_read_back(staging))
 
 
+# The same job with every line read: files of 2,048 and 4,096 lines stay below the size limit, and
+# all files of every second block of lines, short and long, have CR LF line ends and bytes that are
+# not UTF-8. Oversize files hold lines of their own, and some files have zero bytes.
+BLOCK_LINES, SHORT_LINES, OVERSIZE_BLOCKS, EMPTY_FILES = 6_144, 2_048, 8, 3
+_PART = f"CAST(4 * floor(event_id / {BLOCK_LINES}) + CASE WHEN event_id % {BLOCK_LINES} < {SHORT_LINES} THEN 0 ELSE 1 END AS BIGINT)"
+_OVERSIZE = (
+    f"CAST(4 * floor(event_id / {BLOCK_LINES}) + 2 AS BIGINT)", "repeat('oversize ', 70000)",
+    f"event_id % {BLOCK_LINES * OVERSIZE_BLOCKS} = 0",
+)
+_CR_LF = "floor(chunk / 4) % 2 = 0"
+
+
+def _write_all_lines(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_dir(spark, "all-lines")
+    number, extra, few = _OVERSIZE
+    lines = corpus.log_lines(spark, sf_dir)
+    parts = lines.selectExpr(f"{_PART} AS chunk", "event_id", "line").unionByName(
+        lines.where(few).selectExpr(f"{number} AS chunk", "event_id", f"{extra} AS line")
+    )
+    line = f"CASE WHEN {_CR_LF} THEN CAST(concat(encode(line, 'UTF-8'), X'FF0D') AS STRING) ELSE line END"
+    (
+        parts.repartition("chunk").sortWithinPartitions("chunk", "event_id")
+        .selectExpr("chunk", f"{line} AS line").write.partitionBy("chunk").text(path)
+    )
+    for i in range(EMPTY_FILES):
+        spark.createDataFrame([], "line string").write.text(f"{path}/chunk={-1 - i}")
+    return path
+
+
+_ALL_LINES_SQL = (
+    "SELECT chunk, 'error_log' AS source_type, size AS file_size_bytes, "
+    f"CASE WHEN size <= {int(MAX_FILE_MB * 1024 * 1024)} THEN length(text) END AS raw_text_length, "
+    f"CASE WHEN size <= {int(MAX_FILE_MB * 1024 * 1024)} THEN md5(text) END AS text_md5, "
+    f"CASE WHEN size > {int(MAX_FILE_MB * 1024 * 1024)} THEN printf('File size (%.2f MB) exceeds maximum allowed ({MAX_FILE_MB} MB)', "
+    "size / 1048576.0::DOUBLE) END AS reject_reason "
+    f"FROM (SELECT *, strlen(text) + CASE WHEN {_CR_LF} THEN 2 * lines ELSE 0 END AS size FROM ("
+    f"SELECT {_PART} AS chunk, string_agg({corpus.LOG_LINE}, chr(10) ORDER BY event_id) || chr(10) AS text, "
+    "count(*) AS lines FROM events GROUP BY 1 UNION ALL "
+    f"SELECT {_OVERSIZE[0]}, {_OVERSIZE[1]} || chr(10), 1 FROM events WHERE {_OVERSIZE[2]}))"
+)
+
+
+@register(
+    "s1_read_all_lines",
+    f"{_ALL_LINES_SQL} UNION ALL SELECT NULL, 'error_log', 0, 0, md5(''), NULL FROM range({EMPTY_FILES})",
+)
+def s1_all_lines(spark, sf_dir):
+    staging = bs.read_error_logs(spark, _write_all_lines(spark, sf_dir), max_mb=MAX_FILE_MB)
+    return staging.select(F.col("chunk").cast("bigint").alias("chunk"), *_read_back(staging))
+
+
 # A folder of turns as text files next to files that are no logs.
 _TURNS_PER_FILE = 32
 
@@ -1084,13 +1135,8 @@ def t1(spark, sf_dir):
     )
 
 
-@register(
-    "t1_stream_files",
-    f"SELECT chunk, raw_text_length, reject_reason FROM ({_FILES_SQL})",
-)
-def t1_files(spark, sf_dir):
-    """Files as a stream: records of those accepted, rejects of the others."""
-    out, files = scratch_dir(spark, "stream"), _write_chunks(spark, sf_dir)
+def _streamed_files(spark: SparkSession, files: str) -> DataFrame:
+    out = scratch_dir(spark, "stream")
     queries = bs.normalize_stream(
         spark, f"{files}/*", f"{out}/records", f"{out}/checkpoint", max_mb=MAX_FILE_MB, rejects_out=f"{out}/rejects"
     )
@@ -1106,6 +1152,21 @@ def t1_files(spark, sf_dir):
     return good.unionByName(bad)
 
 
+@register(
+    "t1_stream_files",
+    f"SELECT chunk, raw_text_length, reject_reason FROM ({_FILES_SQL})",
+)
+def t1_files(spark, sf_dir):
+    """Files as a stream: records of those accepted, rejects of the others."""
+    return _streamed_files(spark, _write_chunks(spark, sf_dir))
+
+
+@register("t1_stream_all_lines", f"SELECT chunk, raw_text_length, reject_reason FROM ({_ALL_LINES_SQL})")
+def t1_all_lines(spark, sf_dir):
+    """Every line through the stream, which does not see files of zero bytes."""
+    return _streamed_files(spark, _write_all_lines(spark, sf_dir))
+
+
 @register(
     "t2_windowed_monitoring",
     o.with_records(
