@@ -67,6 +67,14 @@ def _cuts(data: np.ndarray, t: _Tables) -> np.ndarray:
     return line | (word & (before < 65_536 // WORD_RATE)) | (far & (before < 65_536 // CHAR_RATE))
 
 
+def _digests(piece: np.ndarray, starts: np.ndarray, ends: np.ndarray, t: _Tables) -> np.ndarray:
+    sums = np.r_[np.uint64(0), np.cumsum(t.value[piece] * t.power[: len(piece)], dtype=np.uint64)]
+    x = (sums[ends] - sums[starts]) * t.inverse[starts] + (ends - starts).astype(np.uint64)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return (x ^ (x >> np.uint64(31))).view(np.int64)
+
+
 def chunks_of(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and digests of a text's chunks, which overlap: one starts at each cut.
 
@@ -93,11 +101,7 @@ def chunks_of(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             ends -= (ends < len(piece)) & ((piece[np.minimum(ends, len(piece) - 1)] & 0xC0) == 0x80)
         long = ends - starts >= MIN_BYTES
         starts, ends = starts[long], ends[long]
-        sums = np.r_[np.uint64(0), np.cumsum(t.value[piece] * t.power[: len(piece)], dtype=np.uint64)]
-        x = (sums[ends] - sums[starts]) * t.inverse[starts] + (ends - starts).astype(np.uint64)
-        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-            x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-        found.append((starts + (at - lead), ends + (at - lead), (x ^ (x >> np.uint64(31))).view(np.int64)))
+        found.append((starts + (at - lead), ends + (at - lead), _digests(piece, starts, ends, t)))
     if not found:
         return np.zeros(0, int), np.zeros(0, int), np.zeros(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
@@ -121,12 +125,70 @@ def _chunk_rows(rows: DataFrame) -> DataFrame:
     return given.mapInArrow(run, "id long, digest long")
 
 
-def _repeated_spans(data: bytes, digests: np.ndarray) -> list[tuple[int, int]]:
-    """The chunks with those digests as spans of bytes, joined where they touch."""
-    starts, ends, own = chunks_of(data)
-    again = np.isin(own, digests)
+def _fine_chunks(data: bytes, lo: int, hi: int, by_end: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and digests of the chunks between two places, one from every word start to the
+    first word end that makes MIN_BYTES, or to every word end from the last such start; within long
+    runs without white space, every character counts as both."""
+    t = _tables()
+    lead = min(lo, RUN_BYTES + 1)
+    piece = np.frombuffer(data, dtype=np.uint8)[lo - lead : hi + 1]
+    space = t.space[piece]
+    last = np.maximum.accumulate(np.where(space, np.arange(len(piece)), -1))
+    far = (np.arange(len(piece)) - last > RUN_BYTES) & ((piece & 0xC0) != 0x80)
+    after_space = np.r_[lo == lead, space[:-1]]
+    starts = np.flatnonzero((after_space & ~space) | far)
+    ends = np.flatnonzero((space & ~after_space) | far)
+    if hi >= len(data):
+        ends = np.r_[ends, len(piece)]
+    starts = starts[starts >= lead]
+    if by_end:
+        at = np.searchsorted(starts, ends - MIN_BYTES, "right") - 1
+        starts, ends = starts[at[at >= 0]], ends[at >= 0]
+    else:
+        at = np.searchsorted(ends, starts + MIN_BYTES)
+        starts, ends = starts[at < len(ends)], ends[at[at < len(ends)]]
+    return starts + (lo - lead), ends + (lo - lead), _digests(piece, starts, ends, t)
+
+
+def _beyond(
+    data: bytes, starts: np.ndarray, ends: np.ndarray, first: int, a: int, b: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The fine chunks that reach out of the span a to b of repeated chunks, the ``first`` of which
+    starts at a: to the left as far as the text could go on without sharing the cut before, to the
+    right as far as it could without sharing the chunk that ends next."""
+    lo = int(starts[first - 1]) if first else 0
+    if lo:  # what decides the cut
+        lo -= _WINDOW if data[lo - 1] in b"\t\n\v\f\r " else RUN_BYTES + _WINDOW
+    lo = max(0, lo, a - MAX_BYTES)
+    after = int(np.searchsorted(ends, b, "right"))
+    hi = min(int(ends[after]) if after < len(ends) else len(data), b + MAX_BYTES)
+    most = MIN_BYTES + 2 * RUN_BYTES  # bytes of a fine chunk
+    left = _fine_chunks(data, lo, min(len(data), a + most), False)
+    right = _fine_chunks(data, max(lo, b - most), hi, True)
+    here = left[0] < a
+    there = right[1] > b
+    return tuple(np.concatenate([x[here], y[there]]) for x, y in zip(left, right, strict=True))
+
+
+def _spans(
+    starts: np.ndarray, ends: np.ndarray, own: np.ndarray, digests: np.ndarray
+) -> list[tuple[int, int, int, int]]:
+    """The chunks with those digests as spans of bytes, joined where they touch, each with the
+    numbers of its first chunk and of the one that ends it."""
     out: list[list[int]] = []
-    for start, end in zip(starts[again].tolist(), ends[again].tolist(), strict=True):
+    for i in np.flatnonzero(np.isin(own, digests)).tolist():
+        start, end = int(starts[i]), int(ends[i])
+        if out and start <= out[-1][1]:
+            if end > out[-1][1]:
+                out[-1][1], out[-1][3] = end, i
+        else:
+            out.append([start, end, i, i])
+    return [tuple(x) for x in out]
+
+
+def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[list[int]] = []
+    for start, end in sorted(spans):
         if out and start <= out[-1][1]:
             out[-1][1] = max(out[-1][1], end)
         else:
@@ -134,6 +196,74 @@ def _repeated_spans(data: bytes, digests: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def _repeated_spans(data: bytes, digests: np.ndarray, fine: np.ndarray) -> list[tuple[int, int]]:
+    """The spans of the chunks with those digests, extended by the fine chunks with those."""
+    starts, ends, own = chunks_of(data)
+    found = _spans(starts, ends, own, digests)
+    spans = [(a, b) for a, b, _, _ in found]
+    if len(fine):
+        for a, b, first, _ in found:
+            left, right, beyond = _beyond(data, starts, ends, first, a, b)
+            again = np.isin(beyond, fine)
+            spans += zip(left[again].tolist(), right[again].tolist(), strict=True)
+    return _joined(spans)
+
+
+def _extensions(joined: DataFrame, text: int, lists: int, key: int, owner: bool) -> DataFrame:
+    """(id, anchors, fine): for each row with a list of digests, the fine chunks around them, and
+    the first and last chunk of each span. Owners are looked at around each of the chunks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
+            ids, anchors, fine = [], [], []
+            digests = batch.column(lists)
+            for i in np.flatnonzero(digests.is_valid().to_numpy(zero_copy_only=False)).tolist():
+                data = (batch.column(text)[i].as_py() or "").encode()
+                starts, ends, own = chunks_of(data)
+                wanted = digests[i].values.to_numpy()
+                if owner:
+                    at = np.flatnonzero(np.isin(own, wanted)).tolist()
+                    found = [(int(starts[k]), int(ends[k]), k, k) for k in at]
+                else:
+                    found = _spans(starts, ends, own, wanted)
+                if found:
+                    around = [_beyond(data, starts, ends, first, a, b)[2] for a, b, first, _ in found]
+                    ids.append(batch.column(key)[i].as_py())
+                    anchors.append([] if owner else np.unique(own[[k for x in found for k in x[2:]]]))
+                    fine.append(np.unique(np.concatenate(around)))
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, type=pa.int64()), pa.array(anchors, type=longs), pa.array(fine, type=longs)],
+                names=["id", "anchors", "fine"],
+            )
+        release_memory()
+
+    found = joined.mapInArrow(run, "id long, anchors array<long>, fine array<long>")
+    # An exchange over all columns, which the plan makes once for all who read it.
+    return found.repartition("id", "anchors", "fine")
+
+
+def _digests_in(found: DataFrame, column: str) -> DataFrame:
+    # The outer form has no filter that would be pushed below the exchange and make it another one.
+    return found.select("id", F.explode_outer(column).alias("digest")).where("digest IS NOT NULL")
+
+
+def _owners(chunks: DataFrame) -> DataFrame:
+    """(digest, owner) of the digests that several documents have."""
+    return (
+        chunks.groupBy("digest").agg(F.min("id").alias("owner"), F.max("id").alias("last"))
+        .where("owner < last").select("digest", "owner")
+    )
+
+
+def _cut_lists(chunks: DataFrame, owners: DataFrame, names: tuple[str, str, str]) -> DataFrame:
+    """For each document that must give way, its repeated digests and their owners."""
+    return (
+        chunks.join(owners, "digest").where("id <> owner").groupBy("id")
+        .agg(F.collect_set("digest"), F.collect_set("owner")).toDF(*names)
+    )
+
+
 def remove_repeated_passages(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS
 ) -> DataFrame:
@@ -144,37 +274,47 @@ def remove_repeated_passages(
 
     A chunk that occurs in several documents belongs to the one with the smallest id, which
     keeps every copy of it; repeats within one document are no matter of this operator. In other
-    documents, repeated chunks that touch are joined, and those of at least ``min_words`` words
-    are cut out. Owners are found by partial aggregation, so a passage of very many documents
+    documents, repeated chunks that touch are joined and extended on both sides to the last whole
+    word that is repeated too (in long runs without white space, to some ``RUN_BYTES`` bytes): the
+    chunks from every word start around the edges, of documents and owners alike, have owners by
+    their digests as well. Spans of at least ``min_words`` words are cut out. Owners are found by partial aggregation, so a passage of very many documents
     sends one row a task; the rows that are to be cut meet their owner in a join whose hot
     partitions Spark splits. A row with a null id or text stays as it is; rows with the same id
     are one document; an empty text has no chunks; an empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     chunks = _chunk_rows(rows)
-    owners = (
-        chunks.groupBy("digest").agg(F.min("id").alias("owner"), F.max("id").alias("last"))
-        .where("owner < last").select("digest", "owner")
-    )
+    owners = _owners(chunks)
     docs = docs.select(*columns_of(docs, ("removed_chars", "removed_spans", "kept_in")))
-    doc, digests, owned, key = free_names(docs, "doc_", "digests_", "owners_", "key_")
-    cuts = (
-        chunks.join(owners, "digest").where("id <> owner").groupBy("id")
-        .agg(F.collect_set("digest"), F.collect_set("owner")).toDF(doc, digests, owned)
-    )
+    doc, digests, owned, key, fine, by = free_names(docs, "doc_", "digests_", "owners_", "key_", "fine_", "by_")
     keyed = docs.withColumn(key, F.col(f"`{id_col}`").cast("long"))
-    joined = keyed.join(cuts, F.col(key) == F.col(doc), "left").select(*columns_of(docs), digests, owned)
+    columns = columns_of(docs)
+    joined = keyed.join(_cut_lists(chunks, owners, (doc, digests, owned)), F.col(key) == F.col(doc), "left")
+    # Both sides of each span's edges: the fine chunks of the documents and of their owners.
+    texts = docs.columns.index(text_col)
+    around = _extensions(joined.select(*columns, key, digests), texts, len(columns) + 1, len(columns), False)
+    anchors = (
+        _digests_in(around, "anchors").select("digest").distinct().join(owners, "digest")
+        .groupBy("owner").agg(F.collect_set("digest")).toDF(doc, digests)
+    )
+    theirs = keyed.join(anchors, F.col(key) == F.col(doc), "left").select(*columns, key, digests)
+    at_owners = _extensions(theirs, texts, len(columns) + 1, len(columns), True)
+    edges = _digests_in(around, "fine").unionByName(_digests_in(at_owners, "fine"))
+    more = _cut_lists(edges, _owners(edges), (f"{doc}2", fine, by))
+    joined = joined.join(more, F.col(key) == F.col(f"{doc}2"), "left").select(*columns, digests, owned, fine, by)
     n, place = len(docs.columns), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             texts = batch.column(place)
-            lists, owner_lists = batch.column(n), batch.column(n + 1)
+            lists, owner_lists, fine_lists, by_lists = (batch.column(n + k) for k in range(4))
             touched = {}
             for i in np.flatnonzero(lists.is_valid().to_numpy(zero_copy_only=False)).tolist():
                 data = (texts[i].as_py() or "").encode()
-                found = _repeated_spans(data, lists[i].values.to_numpy())
+                extended = fine_lists[i].is_valid
+                edges = fine_lists[i].values.to_numpy() if extended else np.zeros(0, np.int64)
+                found = _repeated_spans(data, lists[i].values.to_numpy(), edges)
                 cut = [(a, b) for a, b in found if len(data[a:b].split()) >= min_words]
                 if cut:
                     ends = [0, *(b for _, b in cut)]
@@ -185,7 +325,8 @@ def remove_repeated_passages(
                         length = len(data[a:b].decode())
                         spans.append({"start": done, "end": done + length})
                         done, at = done + length, b
-                    touched[i] = (b"".join(kept).decode(), spans, sorted(owner_lists[i].as_py()))
+                    keepers = {*owner_lists[i].as_py(), *(by_lists[i].as_py() if extended else ())}
+                    touched[i] = (b"".join(kept).decode(), spans, sorted(keepers))
             columns = list(batch.columns[:n])
             if touched:
                 columns[place] = pa.array(
