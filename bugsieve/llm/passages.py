@@ -19,6 +19,9 @@ WORD_RATE, CHAR_RATE, RUN_BYTES = 4, 64, 64
 MIN_BYTES, MAX_BYTES = 64, 4_096
 #: Repeated chunks that join to fewer words are left alone.
 MIN_WORDS = 30
+#: A run without white space of more than LONG_WORD bytes, as in Chinese, Japanese or Thai or in
+#: encoded data, counts as a word for every WORD_BYTES bytes.
+LONG_WORD, WORD_BYTES = 32, 6
 #: Rows of a batch cut at once, and bytes of a text seen at once; a longer one has several pieces,
 #: which overlap.
 ROWS = 500
@@ -186,6 +189,11 @@ def _spans(
     return [tuple(x) for x in out]
 
 
+def words_in(data: bytes) -> int:
+    """Words of a text, where a long run without white space counts by its size."""
+    return sum(1 if len(w) <= LONG_WORD else -(-len(w) // WORD_BYTES) for w in data.split())
+
+
 def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for start, end in sorted(spans):
@@ -277,7 +285,8 @@ def remove_repeated_passages(
     documents, repeated chunks that touch are joined and extended on both sides to the last whole
     word that is repeated too (in long runs without white space, to some ``RUN_BYTES`` bytes): the
     chunks from every word start around the edges, of documents and owners alike, have owners by
-    their digests as well. Spans of at least ``min_words`` words are cut out. Owners are found by partial aggregation, so a passage of very many documents
+    their digests as well. Spans of at least ``min_words`` words are cut out;
+    runs of more than ``LONG_WORD`` bytes without white space count as a word per ``WORD_BYTES`` bytes. Owners are found by partial aggregation, so a passage of very many documents
     sends one row a task; the rows that are to be cut meet their owner in a join whose hot
     partitions Spark splits. A row with a null id or text stays as it is; rows with the same id
     are one document; an empty text has no chunks; an empty table gives no rows.
@@ -315,7 +324,7 @@ def remove_repeated_passages(
                 extended = fine_lists[i].is_valid
                 edges = fine_lists[i].values.to_numpy() if extended else np.zeros(0, np.int64)
                 found = _repeated_spans(data, lists[i].values.to_numpy(), edges)
-                cut = [(a, b) for a, b in found if len(data[a:b].split()) >= min_words]
+                cut = [(a, b) for a, b in found if words_in(data[a:b]) >= min_words]
                 if cut:
                     ends = [0, *(b for _, b in cut)]
                     kept = [data[a:b] for a, b in zip(ends, [*(a for a, _ in cut), len(data)], strict=True)]
