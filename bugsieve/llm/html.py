@@ -38,6 +38,11 @@ _STRIPPED_NAMES = frozenset(
     "signup login share sharing social related recommended widget widgets comment comments commentlist respond "
     "disqus reply replies banner".split()
 )
+#: What stands within a text, and leaves no empty lines when it is stripped.
+_WITHIN = frozenset(
+    "ad ads adbox adslot advert adverts advertisement adsense sponsor sponsored promo promotion newsletter "
+    "subscribe subscription share sharing social related recommended widget widgets".split()
+)
 #: A header with one of these words is the head of the text itself.
 _OWN_HEADER = frozenset("article entry post content story section".split())
 #: Articles of these classes are not the page's text.
@@ -71,10 +76,19 @@ def _is_stripped(tag: str, attributes: str) -> bool:
     return False
 
 
+def _is_within(attributes: str) -> bool:
+    """Whether a stripped element is of the kind that interrupts a text and does not end it."""
+    return any(
+        name.lower() in ("class", "id") and set(re.split(r"[-_\s]+", (a or b or c).lower())) & _WITHIN
+        for name, a, b, c in _ATTRIBUTE.findall(attributes)
+    )
+
+
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
     """The page as lines (text, characters in links, in an article): a line for each block.
 
-    Menus, forms and the like are markup and leave as many empty lines as a window has.
+    Menus, forms and the like are markup and leave as many empty lines as a window has; adverts
+    and the like, which interrupt a text, leave none.
     """
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
@@ -129,7 +143,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         hide = _is_stripped(tag, token["attributes"])
         if hide and not stripped:
             close_line()
-            lines.extend([("", 0, main > 0)] * WINDOW_LINES)
+            if not _is_within(token["attributes"] or ""):
+                lines.extend([("", 0, main > 0)] * WINDOW_LINES)
         stack.append((tag, hide, tag in _MAIN))
         open_tags[tag] = open_tags.get(tag, 0) + 1
         stripped += hide
@@ -144,22 +159,24 @@ def main_text(page: str | None) -> str:
     """The text between surge and dive points of the page's line-block distribution.
 
     A window's length is the sum over its lines, where a line that is mostly link counts as
-    empty. The text surges at a window with ``SURGE_CHARS`` characters (any character within
-    article or main elements, outside of which all is markup then) and dives at the first empty
+    empty. The text surges at a window of ``SURGE_CHARS`` characters and dives at the first empty
     window; lines from surge to dive are kept. If no window is that long, the longest one marks
-    the surge.
+    the surge. Lines in article or main elements, links too, weigh ``SURGE_CHARS`` to the power of
+    the share of the page's characters that they have: one character of them is a surge where they
+    are the whole page, and a teaser weighs little more than other lines.
     """
     lines = lines_of(page or "")
-    articles = [x for x in lines if x[2]]
-    surge = SURGE_CHARS
-    if any(x[0] for x in articles):
-        lines, surge = articles, 1
-    lengths = [0 if surge > 1 and 2 * linked > len(text) else len(text) for text, linked, _ in lines]
+    total = sum(len(text) for text, _, _ in lines)
+    share = sum(len(text) for text, _, main in lines if main) / max(1, total)
+    weight = round(SURGE_CHARS**share, 6)
+    lengths = [
+        len(text) * weight if main else 0 if 2 * linked > len(text) else len(text) for text, linked, main in lines
+    ]
     ahead = lengths + [0] * WINDOW_LINES
     windows = [sum(ahead[i : i + WINDOW_LINES]) for i in range(len(lengths))]
     if not windows or not max(windows):
         return ""
-    surge = min(surge, max(windows))
+    surge = min(SURGE_CHARS, max(windows))
     kept: list[str] = []
     run: list[str] = []  # lines since the surge; links at either end of them are no text
     inside = False
