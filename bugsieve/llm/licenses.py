@@ -70,14 +70,16 @@ class _Class:
     """Templates that share a window length, with their MinHash bands (of one row each)."""
 
     def __init__(self, names: list[str], words: list[list[str]], k: int, window: int, similarity: float, memo: dict) -> None:
-        self.names, self.k, self.window, self.step = names, k, window, max(1, window - max(map(len, words)))
+        # Any `window` words lie whole in one of the spans looked up, which overlap by that.
+        self.names, self.k, self.window, self.step = names, k, window, max(1, window // 2)
+        self.looked = window + self.step
         self.sets = [{tuple(w[i : i + k]) for i in range(len(w) - k + 1)} for w in words]
         hashed = [np.unique(_shingles(_hash_words(w, memo), k)) for w in words]
         self.any = np.unique(np.concatenate(hashed))
         # A window that holds a part `similarity` of a template has at least this Jaccard
         # similarity with it, so so many bands miss it with probability 1 - FOUND at most.
         least = min(
-            math.ceil(similarity * len(s)) / (window - k + 1 + len(s) - math.ceil(similarity * len(s))) for s in self.sets
+            math.ceil(similarity * len(s)) / (self.looked - k + 1 + len(s) - math.ceil(similarity * len(s))) for s in self.sets
         )
         bands = max(1, math.ceil(math.log(1 - FOUND) / math.log(1 - min(least, 1 - 1e-9))))
         rng = np.random.Generator(np.random.PCG64(k * 1_000 + window))
@@ -85,6 +87,23 @@ class _Class:
         self.offset = rng.integers(0, 1 << 63, bands, dtype=np.uint64)
         self.signatures = np.stack([self.signature(h) for h in hashed])
 
+    def best(self, i: int, words: list[str], at: np.ndarray) -> tuple[float, int]:
+        """The largest share of a template's shingles in any window of `words`, and the first shingle
+        of the first such window; ``at``: where shingles of the class start."""
+        span, counts, low, best = self.window - self.k + 1, {}, 0, (0, 0)
+        own = [(p, t) for p in at.tolist() if (t := tuple(words[p : p + self.k])) in self.sets[i]]
+        for p, t in own:
+            counts[t] = counts.get(t, 0) + 1
+            while own[low][0] <= p - span:
+                gone = own[low][1]
+                counts[gone] -= 1
+                if not counts[gone]:
+                    del counts[gone]
+                low += 1
+            if len(counts) > best[0]:
+                best = len(counts), own[low][0]
+        return best[0] / len(self.sets[i]), best[1]
+
     def signature(self, shingles: np.ndarray) -> np.ndarray:
         x = shingles[:, None] * self.factor + self.offset
         return ((x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)).min(axis=0)
@@ -101,7 +120,7 @@ class Scanner:
         for name, words in split.items():
             if words:
                 k = min(shingle_words, len(words))
-                # Windows of twice the words: every place lies whole in one of the overlapping windows.
+                # Windows of twice the words: a notice may have as many words put between its own.
                 window = 2 * math.ceil(1.25 ** math.ceil(math.log(len(words), 1.25) - 1e-9))
                 grouped.setdefault((k, window), []).append(name)
         self.classes = [
@@ -110,7 +129,7 @@ class Scanner:
         ]
 
     def scan(self, text: str | None) -> list[tuple[str, float, int]]:
-        """(template, containment, first word of its window) of each template found, best window first."""
+        """(template, containment, first matching word of its best window) of each template found."""
         words = words_of(text)
         if len(self.memo) > 300_000:
             self.memo.clear()
@@ -127,17 +146,24 @@ class Scanner:
             at = np.flatnonzero(c.any[np.minimum(np.searchsorted(c.any, shingles), len(c.any) - 1)] == shingles)
             if not len(at):
                 continue
-            span = c.window - c.k + 1
-            last = max(0, -(-(len(words) - c.window) // c.step))
+            span = c.looked - c.k + 1
+            last = max(0, -(-(len(words) - c.looked) // c.step))
             low = np.maximum(0, -(-(at - span + 1) // c.step))
             high = np.minimum(at // c.step, last)
+            areas: dict[int, list[list[int]]] = {}  # of each template, looked-up spans joined with their neighbours
             for w in sorted({int(x) for a, b in zip(low, high, strict=True) for x in range(a, b + 1)}):
                 start = w * c.step
                 signature = c.signature(shingles[start : start + span])
                 for i in np.flatnonzero((c.signatures == signature).any(axis=1)):
-                    part = words[start : start + c.window]
-                    here = {tuple(part[j : j + c.k]) for j in range(len(part) - c.k + 1)}
-                    share = len(c.sets[i] & here) / len(c.sets[i])
+                    found = areas.setdefault(int(i), [])
+                    a, b = start - c.step, start + span + c.step
+                    if found and a <= found[-1][1]:
+                        found[-1][1] = b
+                    else:
+                        found.append([a, b])
+            for i, found in areas.items():
+                for a, b in found:
+                    share, start = c.best(i, words, at[np.searchsorted(at, a) : np.searchsorted(at, b)])
                     if share >= self.similarity and share > best.get(c.names[i], (0.0, 0))[0]:
                         best[c.names[i]] = (share, start)
         return sorted((name, share, start) for name, (share, start) in best.items())
@@ -149,10 +175,11 @@ def scan_licenses(
 ) -> DataFrame:
     """(id_col, license, containment, first_word): a row per document and template found in it.
 
-    Texts and templates are compared as lower-case words. Windows of twice a template's words
-    overlap by a template, so that any place of it lies whole in one; a window that shares a
-    MinHash band with a template is a candidate, and the exact share of the template's distinct
-    shingles found in the window must reach ``similarity``. A template with fewer words than a
+    Texts and templates are compared as lower-case words. Spans that hold any window of twice a
+    template's words whole are looked up; one that shares a MinHash band with a template is a
+    candidate, and the exact share of the template's distinct shingles in the best window at any
+    start, in that span joined with its neighbours, must reach ``similarity``: where in the text
+    a notice stands makes no difference. A template with fewer words than a
     shingle is one shingle. Null, empty and clean texts give no rows; repeated rows each give
     theirs; an empty table, or no template with a word, gives no rows; other columns are ignored.
     Templates are few and travel with the job.
