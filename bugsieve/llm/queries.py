@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bugsieve.llm import bpe, cotraining, html, licenses, packing, passages, rules, sharding, simhash, topk
+from bugsieve.llm import (
+    bpe, cotraining, divergence, html, licenses, packing, pair_index, passages, rules, sharding, simhash, topk, whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +94,60 @@ WITH v AS (
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
 FROM s QUALIFY rank <= 10
 """
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = pair_index.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    return pair_index.decode(coded, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(pair_index.ids_text(F.col("ids")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), t AS (
+  SELECT row_id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), kept AS (
+  SELECT lang, term, count(*)::HUGEINT AS total FROM t GROUP BY ALL HAVING count(DISTINCT row_id) >= 30
+), size AS (
+  SELECT lang, count(*)::HUGEINT AS v, sum(total)::HUGEINT AS n FROM kept GROUP BY lang
+), g AS (SELECT DISTINCT lang, source FROM d
+), c AS (
+  SELECT g.lang, g.source, k.term, k.total, coalesce(any_value(x.cnt), 0)::HUGEINT AS cnt
+  FROM g JOIN kept k ON k.lang = g.lang
+  LEFT JOIN (SELECT lang, source, term, count(*) AS cnt FROM t GROUP BY ALL) x
+  ON x.lang = g.lang AND x.source = g.source AND x.term = k.term GROUP BY ALL
+), p AS (
+  SELECT c.*, 1 + 1000000000 * (cnt + 5) // (sum(cnt) OVER (PARTITION BY c.lang, source)::HUGEINT + 5 * v) AS p,
+         1 + 1000000000 * (total + 5) // (n + 5 * v) AS q
+  FROM c JOIN size USING (lang)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE cnt > 0 AND p > q
+)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM r QUALIFY part = 'pair' OR rank <= 50
+"""
