@@ -15,10 +15,11 @@ from bugsieve.operators.validate import validate_bugs
 from bugsieve.plans.normalize import normalize
 from bugsieve.sinks.records import to_json, write_bugs
 from bugsieve.sources.files import (
-    check_manifest, document_placeholders, empty_files, missing_files, read_binary_docs, read_error_logs,
-    read_folder, scan_directory,
+    check_manifest, check_paths, document_placeholders, empty_files, missing_files, read_binary_docs,
+    read_error_logs, read_folder, scan_directory,
 )
 from bugsieve.sources.freetext import read_freetext
+from bugsieve.sources.inventory import inventory, sizes_of
 from bugsieve.sources.spread import spread
 from bugsieve.sources.staging import as_staging, rejects, split_rejects, union_sources
 from bugsieve.sources.workitems import read_ado

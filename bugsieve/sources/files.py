@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bugsieve.functions import text as tx
+from bugsieve.sources.inventory import inventory, sizes_of
 from bugsieve.sources.staging import metadata
 
 MAX_FILE_MB = 50
@@ -51,7 +52,8 @@ def read_error_logs(
 
     Files over the size limit keep their row, with a reject reason, and are not opened: the
     two branches differ by a filter on the file size, which prunes files before the read.
-    Files of zero bytes, which Spark's file sources pass over, give a row with an empty text.
+    Files of zero bytes, which Spark's file sources pass over, give a row with an empty text; they
+    come from an ``inventory`` that tasks make, folder by folder.
     Subfolders named ``key=value`` become columns, null for empty files.
     """
 
@@ -69,9 +71,10 @@ def read_error_logs(
     )
     listed = options(spark.read).format("binaryFile").load(path)
     oversize = oversize_files(listed.select("*", _plain_path().alias("plain")), "plain", "length", max_mb, other)
-    empty = _empty_files(spark, listed)
     none = [F.lit(None).cast(files.schema[c].dataType).alias(c) for c in other]
-    empty = empty.select("text", "path", "size", F.lit(None).cast("string").alias("reject_reason"), *none)
+    empty = inventory(spark, path, pattern, recursive).where("size = 0").select(
+        F.lit("").alias("text"), "path", "size", F.lit(None).cast("string").alias("reject_reason"), *none
+    )
     return _file_staging(good.unionByName(oversize).unionByName(empty))
 
 
@@ -79,20 +82,7 @@ def oversize_files(listed: DataFrame, path: str, size: str, max_mb: float, other
     """Reject rows, without a text, for the files of a listing that are over the limit."""
     return listed.where(F.col(size) > int(max_mb * _MB)).select(
         F.lit(None).cast("string").alias("text"), F.col(path).alias("path"), F.col(size).alias("size"),
-        _too_large(F.col(size), max_mb).alias("reject_reason"), *other,
-    )
-
-
-def _empty_files(spark: SparkSession, listed: DataFrame) -> DataFrame:
-    """Files that the listing's index names but its scan passes over: those of zero bytes.
-
-    The names come from the file index, which the driver holds for any scan of the folder.
-    """
-    named = spark.createDataFrame([(p,) for p in listed.inputFiles()], "uri string")
-    path = _without_scheme(F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B"))))
-    seen = listed.select(_plain_path().alias("path"))
-    return named.select(path.alias("path")).join(seen, "path", "left_anti").select(
-        F.lit("").alias("text"), "path", F.lit(0).cast("long").alias("size")
+        too_large(F.col(size), max_mb).alias("reject_reason"), *other,
     )
 
 
@@ -117,7 +107,7 @@ def scan_directory(spark: SparkSession, path: str, max_mb: float = MAX_FILE_MB)
     return read_error_logs(spark, path, max_mb=max_mb, pattern=SCAN_GLOB)
 
 
-def _too_large(size: Column, max_mb: float) -> Column:
+def too_large(size: Column, max_mb: float) -> Column:
     return F.format_string(
         f"File size (%.2f MB) exceeds maximum allowed ({max_mb} MB)", size / _MB
     )
@@ -132,7 +122,7 @@ def file_reject_reason(path: Column, size: Column, max_mb: int = MAX_FILE_MB) ->
             ~suffix.isin(*tx.SUPPORTED_SUFFIXES),
             F.concat(F.lit("Unsupported file type: "), _written_suffix(path)),
         )
-        .when(size > max_mb * _MB, _too_large(size, max_mb))
+        .when(size > max_mb * _MB, too_large(size, max_mb))
     )
 
 
@@ -147,6 +137,12 @@ def check_manifest(
     return manifest.withColumn("reject_reason", file_reject_reason(F.col(path), F.col(size), max_mb))
 
 
+def check_paths(requested: DataFrame, path: str = "path", max_mb: int = MAX_FILE_MB) -> DataFrame:
+    """The requested file paths with ``length``, ``modified`` and ``reject_reason``: missing files,
+    other types, too large ones. Tasks list the folders of the paths; no file is opened."""
+    return check_manifest(sizes_of(requested, path), path, "length", max_mb)
+
+
 def empty_files(manifest: DataFrame, path: str = "path", size: str = "length") -> DataFrame:
     """Staging rows with an empty text for the zero-byte log files of a manifest."""
     p = F.col(path)

@@ -2,21 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared folder the session names in ``spark.checkpoint.dir``.
-
-    Without that setting a temporary folder is used where driver and executors are one process,
-    as in tests; a cluster needs the setting.
-    """
+    """A fresh folder below the shared folder the session names in ``spark.checkpoint.dir`` or,
+    where that is unset, below the warehouse."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="bugsieve-")
+    shared = shared or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

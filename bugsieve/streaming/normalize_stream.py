@@ -13,44 +13,44 @@ from bugsieve.sources.files import (
     LOG_GLOB,
     MAX_FILE_MB,
     _file_staging,
-    _listing,
-    _plain_path,
     log_text,
-    oversize_files,
+    too_large,
 )
+from bugsieve.sources.scratch import scratch_dir
 from bugsieve.sources.staging import rejects
+from bugsieve.streaming.log_folder import register
 
 
 def read_log_stream(
     spark: SparkSession, path: str, pattern: str = LOG_GLOB, max_mb: float = MAX_FILE_MB,
     max_files_per_trigger: int | None = None, partitions: int | None = None,
+    ledger: str | None = None, recursive: bool = False,
 ) -> DataFrame:
-    """Staging frame of a folder that log files are added to.
-
-    Files over the size limit give a row with a reject reason and are not opened; ``normalize``
-    leaves those rows out, ``normalize_stream`` writes them to a folder of their own. Spark's
-    file streams do not see files of zero bytes; ``read_error_logs`` over the same folder does.
-    ``partitions`` redistributes each micro-batch, for streams of few files at a time.
+    """Staging frame of a folder that log files are added to: one row for every file.
+
+    Files of zero bytes give an empty text; files over the size limit give a row with a reject
+    reason and are not opened, as do files that vanish between listing and reading. ``normalize``
+    leaves rejects out, ``normalize_stream`` writes them to a folder of their own. The stream's own
+    source (``log_folder``) keeps the files it has taken in as batches in the folder ``ledger``,
+    which belongs to one query, as its checkpoint does; a query that is started again needs the
+    same one. ``partitions`` redistributes each micro-batch, for streams of few files at a time.
     """
-
-    def reader():
-        stream = spark.readStream.option("pathGlobFilter", pattern)
-        return stream.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else stream
-
-    size = F.col("_metadata.file_size")
-    files = (
-        reader().format("text").option("wholetext", True).load(path)
-        .where(size <= int(max_mb * 1024 * 1024))
-        .select(
-            log_text(F.col("value")).alias("text"),
-            _plain_path().alias("path"),
-            size.alias("size"),
-            F.lit(None).cast("string").alias("reject_reason"),
-        )
+    register(spark)
+    limit = int(max_mb * 1024 * 1024)
+    reader = (
+        spark.readStream.format("log_folder").option("pattern", pattern).option("maxBytes", limit)
+        .option("recursive", recursive).option("ledger", ledger or scratch_dir(spark, "ledger"))
+    )
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    files = reader.load(path)
+    size, read = F.col("size"), F.col("content").isNotNull()
+    files = files.select(
+        F.when(read, log_text(F.col("content").cast("string"))).alias("text"), "path", "size",
+        F.when(~read, F.coalesce(too_large(size, max_mb), F.concat(F.lit("File not found: "), "path")))
+        .alias("reject_reason"),
     )
-    files = files.repartition(partitions) if partitions else files
-    oversize = oversize_files(_listing(reader(), path), "path", "size", max_mb, [])
-    return _file_staging(files.unionByName(oversize))
+    return _file_staging(files.repartition(partitions) if partitions else files)
 
 
 def write_stream(
@@ -90,12 +90,13 @@ def normalize_stream(
     to the first one's, writes there, and both queries are returned.
     """
     options.setdefault("id_mode", "content")
-    staging = read_log_stream(spark, path, pattern, max_mb, partitions=partitions)
+    base = checkpoint.rstrip("/")
+    staging = read_log_stream(spark, path, pattern, max_mb, partitions=partitions, ledger=f"{base}-ledger")
     good = write_stream(normalize(staging, **options), out, checkpoint, format, available_now)
     if rejects_out is None:
         return good
-    bad = rejects(read_log_stream(spark, path, pattern, max_mb))
-    return good, write_stream(bad, rejects_out, f"{checkpoint.rstrip('/')}-rejects", format, available_now)
+    bad = rejects(read_log_stream(spark, path, pattern, max_mb, ledger=f"{base}-rejects-ledger"))
+    return good, write_stream(bad, rejects_out, f"{base}-rejects", format, available_now)
 
 
 def windowed_monitoring(
