@@ -7,9 +7,14 @@ same text and neither groups or collects rows. ``~`` stands for a newline in the
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bugsieve.sources.inventory import storage
 from bugsieve.sources.spread import spread
 from bugsieve.sources.staging import metadata
 
@@ -309,3 +314,22 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey", f"{FILE_PATH} AS path", f"CAST({FILE_SIZE} AS BIGINT) AS length"
     )
+
+
+def write_files(files: DataFrame, path: str) -> None:
+    """Write each row (name, text) as a file of that name; tasks write, each file whole or not at all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        written = 0
+        for batch in batches:
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                system, inner, _ = storage(path)
+                system.create_dir(inner, recursive=True)
+                new = f"{inner}/.{name}.{uuid.uuid4().hex}"
+                with system.open_output_stream(new) as file:
+                    file.write(text.encode())
+                system.move(new, f"{inner}/{name}")
+                written += 1
+        yield pa.RecordBatch.from_pydict({"written": pa.array([written], type=pa.int64())})
+
+    files.select("name", "text").mapInArrow(run, "written long").agg(F.sum("written")).collect()

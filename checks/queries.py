@@ -62,31 +62,7 @@ def flat_record() -> list[Column]:
 
 # --- sources -------------------------------------------------------------------------------
 
-# Consecutive lines of a file: about a megabyte, so that the number of files is the data's size
-# over the file size. Files vary by their number: every second one has CR LF line ends and bytes
-# that are not UTF-8, and the first quarter of the lines of each makes a short file of its own.
-LINES_PER_FILE = 8_192
 MAX_FILE_MB = 0.5
-_CHUNK = f"CAST(2 * floor(event_id / {LINES_PER_FILE}) + CASE WHEN event_id % {LINES_PER_FILE} < {LINES_PER_FILE // 4} THEN 0 ELSE 1 END AS BIGINT)"
-_CHUNK_SQL = (
-    f"SELECT {_CHUNK} AS chunk, string_agg({corpus.LOG_LINE}, chr(10) ORDER BY event_id) || chr(10) AS text, "
-    "count(*) AS lines FROM events GROUP BY 1"
-)
-
-
-def _write_chunks(spark: SparkSession, sf_dir: str) -> str:
-    path = scratch_dir(spark, "chunks")
-    # Each line ends in an invalid byte and a carriage return in every second file.
-    line = "CASE WHEN chunk % 2 = 1 THEN CAST(concat(encode(line, 'UTF-8'), X'FF0D') AS STRING) ELSE line END"
-    (
-        corpus.log_lines(spark, sf_dir)
-        .selectExpr(f"{_CHUNK} AS chunk", "event_id", "line")
-        .repartition("chunk")
-        .sortWithinPartitions("chunk", "event_id")
-        .selectExpr("chunk", f"{line} AS line")
-        .write.partitionBy("chunk").text(path)
-    )
-    return path
 
 
 def _read_back(staging: DataFrame) -> list[Column]:
@@ -100,23 +76,8 @@ def _read_back(staging: DataFrame) -> list[Column]:
     ]
 
 
-_FILES_SQL = (
-    "SELECT chunk, 'error_log' AS source_type, size AS file_size_bytes, "
-    f"CASE WHEN size <= {int(MAX_FILE_MB * 1024 * 1024)} THEN length(text) END AS raw_text_length, "
-    f"CASE WHEN size <= {int(MAX_FILE_MB * 1024 * 1024)} THEN md5(text) END AS text_md5, "
-    f"CASE WHEN size > {int(MAX_FILE_MB * 1024 * 1024)} THEN printf('File size (%.2f MB) exceeds maximum allowed ({MAX_FILE_MB} MB)', "
-    "size / 1048576.0::DOUBLE) END AS reject_reason "
-    f"FROM (SELECT *, strlen(text) + CASE WHEN chunk % 2 = 1 THEN 2 * lines ELSE 0 END AS size FROM ({_CHUNK_SQL}))"
-)
-
-
-@register("s1_read_error_logs", _FILES_SQL)
-def s1(spark, sf_dir):
-    staging = bs.read_error_logs(spark, _write_chunks(spark, sf_dir), max_mb=MAX_FILE_MB)
-    return staging.select(F.col("chunk").cast("bigint").alias("chunk"), *_read_back(staging))
-
-
-# The same job with every line read: files of 2,048 and 4,096 lines stay below the size limit, and
+# Every line is read: files of 2,048 and 4,096 lines stay below the size limit, so that their number is
+# the data's size over a file's, and
 # all files of every second block of lines, short and long, have CR LF line ends and bytes that are
 # not UTF-8. Oversize files hold lines of their own, and some files have zero bytes.
 BLOCK_LINES, SHORT_LINES, OVERSIZE_BLOCKS, EMPTY_FILES = 6_144, 2_048, 8, 3
@@ -158,51 +119,95 @@ _ALL_LINES_SQL = (
 )
 
 
-@register(
-    "s1_read_all_lines",
-    f"{_ALL_LINES_SQL} UNION ALL SELECT NULL, 'error_log', 0, 0, md5(''), NULL FROM range({EMPTY_FILES})",
-)
-def s1_all_lines(spark, sf_dir):
+_ALL_FILES_SQL = f"{_ALL_LINES_SQL} UNION ALL SELECT NULL, 'error_log', 0, 0, md5(''), NULL FROM range({EMPTY_FILES})"
+
+
+@register("s1_read_all_lines", _ALL_FILES_SQL)
+@register("s1_read_error_logs", _ALL_FILES_SQL)
+def s1(spark, sf_dir):
     staging = bs.read_error_logs(spark, _write_all_lines(spark, sf_dir), max_mb=MAX_FILE_MB)
     return staging.select(F.col("chunk").cast("bigint").alias("chunk"), *_read_back(staging))
 
 
-# A folder of turns as text files next to files that are no logs.
-_TURNS_PER_FILE = 32
+# A folder of turns as files of some 250 KB, named by block and kind; the tasks write the names.
+_BLOCK_TALKS = 400
+_KINDS = ("log", "txt", "LOG", "Txt", "pdf", "Doc", "docx", "csv", "json", "tar.gz")
+
+
+def _named_files(kinds: int) -> str:
+    """(name, kind, text): the turns of each file, in the SQL of both engines."""
+    cases = " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(_KINDS[:kinds]))
+    block = f"CAST(floor(conv_id / {_BLOCK_TALKS}) AS BIGINT)"
+    return f"CONCAT('talks ', {block}, '%-', conv_id % {kinds}, '.', CASE conv_id % {kinds} {cases} END)"
+
+
+def _files_sql(kinds: int) -> str:
+    return (
+        f"SELECT name, regexp_extract(name, '[.]([^.]+)$', 1) AS kind, strlen(text) AS size, text FROM (SELECT "
+        f"{_named_files(kinds)} AS name, string_agg({corpus.FREE_TEXT}, chr(10) ORDER BY conv_id, turn) || chr(10) AS text "
+        "FROM conversations GROUP BY 1)"
+    )
+
+
+def _write_folder(spark: SparkSession, sf_dir: str, name: str, kinds: int) -> str:
+    path = scratch_dir(spark, name)
+    turns = corpus.free_texts(spark, sf_dir).select(
+        F.expr(_named_files(kinds)).alias("name"), F.struct("conv_id", "turn", "text").alias("t")
+    )
+    texts = turns.groupBy("name").agg(F.sort_array(F.collect_list("t")).alias("t")).select(
+        "name", F.concat(F.array_join("t.text", "\n"), F.lit("\n")).alias("text")
+    )
+    corpus.write_files(texts, path)
+    return path
 
 
 @register(
     "s4_scan_directory",
-    "SELECT 'error_log' AS source_type, strlen(text) AS file_size_bytes, length(text) AS raw_text_length, "
-    "md5(text) AS text_md5, NULL AS reject_reason FROM ("
-    f"SELECT string_agg({corpus.FREE_TEXT}, chr(10) ORDER BY conv_id, turn) || chr(10) AS text "
-    f"FROM conversations GROUP BY floor(conv_id / {_TURNS_PER_FILE}))",
+    "SELECT name AS file_name, 'error_log' AS source_type, size AS file_size_bytes, length(text) AS raw_text_length, "
+    f"md5(text) AS text_md5, NULL AS reject_reason FROM ({_files_sql(4)}) WHERE kind IN ('log', 'txt')",
 )
 def s4(spark, sf_dir):
-    path = scratch_dir(spark, "folder")
-    group = F.floor(F.col("conv_id") / _TURNS_PER_FILE)
-    turns = corpus.free_texts(spark, sf_dir).withColumn("part", group)
-    ordered = turns.repartition("part").sortWithinPartitions("part", "conv_id", "turn")
-    ordered.select("part", "text").write.partitionBy("part").text(path)
-    turns.select("part", "conv_id", "turn").write.partitionBy("part").mode("append").csv(path)
-    staging = bs.scan_directory(spark, f"{path}/part=*")
-    return staging.select(*_read_back(staging))
+    """Lower-case log and text files only, next to others."""
+    staging = bs.scan_directory(spark, _write_folder(spark, sf_dir, "folder", 4))
+    return staging.select(F.col("source_metadata.file_name").alias("file_name"), *_read_back(staging))
 
 
 @register(
     "s7_read_folder",
-    "SELECT CASE WHEN kind = 'log' THEN NULL ELSE 'Unsupported file type: .' || kind END AS reject_reason, "
-    f"count(*) AS files FROM (SELECT DISTINCT floor(conv_id / {_TURNS_PER_FILE}) AS part FROM conversations) "
-    "CROSS JOIN (SELECT unnest(['log', 'csv', 'json']) AS kind) GROUP BY 1",
+    "SELECT name AS file_name, 'error_log' AS source_type, size AS file_size_bytes, length(text) AS raw_text_length, "
+    "md5(text) AS text_md5, CASE WHEN text IS NULL THEN 'Unsupported file type: .' || kind END AS reject_reason FROM ("
+    "SELECT name, kind, size, CASE WHEN lower(kind) IN ('log', 'txt') THEN text "
+    "WHEN lower(kind) = 'pdf' THEN '[PDF content from ' || name || ']' "
+    f"WHEN lower(kind) IN ('doc', 'docx') THEN '[DOC content from ' || name || ']' END AS text FROM ({_files_sql(10)}))",
 )
 def s7_folder(spark, sf_dir):
-    path = scratch_dir(spark, "mixed 100%")
-    turns = corpus.free_texts(spark, sf_dir).select(F.floor(F.col("conv_id") / _TURNS_PER_FILE).alias("part"), "text")
-    turns = turns.repartition("part")
-    for kind in ("text", "csv", "json"):
-        turns.write.partitionBy("part").mode("append").format(kind).save(path)
-    found = bs.read_folder(spark, path, recursive=True)
-    return found.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("files"))
+    """Logs, documents and files of other types: a row for each."""
+    found = bs.read_folder(spark, _write_folder(spark, sf_dir, "mixed 100%", 10), recursive=True)
+    return found.select(F.col("source_metadata.file_name").alias("file_name"), *_read_back(found))
+
+
+# Twelve paths for each block: ten files that are there, or are for some blocks, and two that never are.
+@register(
+    "s6_check_paths",
+    "WITH blocks AS (SELECT DISTINCT CAST(floor(conv_id / 400) AS BIGINT) AS b FROM conversations), asked AS ("
+    + " UNION ALL ".join(
+        f"SELECT 'talks ' || b || '%-{i}.{k}' AS name FROM blocks"
+        for i, k in [*enumerate(_KINDS), (10, "log"), (11, "md")]
+    )
+    + f") SELECT asked.name, size AS length, CASE WHEN size IS NULL THEN 'File not found: ' || asked.name "
+    "WHEN lower(regexp_extract(asked.name, '[.]([^.]+)$', 1)) NOT IN ('log', 'txt', 'pdf', 'doc', 'docx') "
+    "THEN 'Unsupported file type: .' || regexp_extract(asked.name, '[.]([^.]+)$', 1) END AS reject_reason "
+    f"FROM asked LEFT JOIN ({_files_sql(10)}) f ON f.name = asked.name",
+)
+def s6_check_paths(spark, sf_dir):
+    path = _write_folder(spark, sf_dir, "asked", 10)
+    blocks = corpus.free_texts(spark, sf_dir).selectExpr(f"CAST(floor(conv_id / {_BLOCK_TALKS}) AS BIGINT) AS b").distinct()
+    names = [f"CONCAT('talks ', b, '%-{i}.{k}')" for i, k in [*enumerate(_KINDS), (10, "log"), (11, "md")]]
+    asked = blocks.selectExpr(f"explode(array({', '.join(names)})) AS name").withColumn(
+        "path", F.concat(F.lit(f"{path}/"), "name")
+    )
+    reason = F.replace("reject_reason", F.lit(f"{path}/"), F.lit(""))
+    return bs.check_paths(asked).select("name", "length", reason.alias("reject_reason"))
 
 
 @register(
@@ -1142,7 +1147,8 @@ def _streamed_files(spark: SparkSession, files: str) -> DataFrame:
     )
     for q in queries:
         q.awaitTermination()
-    chunk = F.regexp_extract("source_id", r"chunk=(\d+)/", 1).cast("bigint").alias("chunk")
+    chunk = F.regexp_extract("source_id", r"chunk=(-?\d+)/", 1).cast("bigint")
+    chunk = F.when(chunk >= 0, chunk).alias("chunk")  # empty files have numbers below zero
     good = spark.read.schema(RECORD).parquet(f"{out}/records").select("source_metadata.*").select(
         chunk, "raw_text_length", F.lit(None).cast("string").alias("reject_reason")
     )
@@ -1152,18 +1158,10 @@ def _streamed_files(spark: SparkSession, files: str) -> DataFrame:
     return good.unionByName(bad)
 
 
-@register(
-    "t1_stream_files",
-    f"SELECT chunk, raw_text_length, reject_reason FROM ({_FILES_SQL})",
-)
+@register("t1_stream_all_lines", f"SELECT chunk, raw_text_length, reject_reason FROM ({_ALL_FILES_SQL})")
+@register("t1_stream_files", f"SELECT chunk, raw_text_length, reject_reason FROM ({_ALL_FILES_SQL})")
 def t1_files(spark, sf_dir):
-    """Files as a stream: records of those accepted, rejects of the others."""
-    return _streamed_files(spark, _write_chunks(spark, sf_dir))
-
-
-@register("t1_stream_all_lines", f"SELECT chunk, raw_text_length, reject_reason FROM ({_ALL_LINES_SQL})")
-def t1_all_lines(spark, sf_dir):
-    """Every line through the stream, which does not see files of zero bytes."""
+    """Files as a stream: records of those accepted, empty ones too, rejects of the others."""
     return _streamed_files(spark, _write_all_lines(spark, sf_dir))
 
 

@@ -8,7 +8,7 @@ from checks import compare
 from checks.queries import ORACLES, QUERIES
 
 FAST = [
-    "s1_read_error_logs", "s7_read_folder", "t1_stream_files", "u1_custom_enricher", "s2_read_freetext", "s3_read_ado", "s6_reject_invalid", "c1_clean_freetext", "c5_redact_pii", "c6_flag_unsafe_paths",
+    "s1_read_error_logs", "s4_scan_directory", "s6_check_paths", "s7_read_folder", "t1_stream_files", "u1_custom_enricher", "s2_read_freetext", "s3_read_ado", "s6_reject_invalid", "c1_clean_freetext", "c5_redact_pii", "c6_flag_unsafe_paths",
     "x2_rule_hits", "n1_normalize", "e1_enrich", "a5_field_quality_distribution", "t1_normalize_stream",
     "t2_windowed_monitoring", "t3_merge_evidence", "t4_split_reports", "flagship_what_broke",
 ]
