@@ -159,28 +159,36 @@ def main_text(page: str | None) -> str:
     """The text between surge and dive points of the page's line-block distribution.
 
     A window's length is the sum over its lines, where a line that is mostly link counts as
-    empty. The text surges at a window of ``SURGE_CHARS`` characters and dives at the first empty
-    window; lines from surge to dive are kept. If no window is that long, the longest one marks
-    the surge. Lines in article or main elements, links too, weigh ``SURGE_CHARS`` to the power of
-    the share of the page's characters that they have: one character of them is a surge where they
-    are the whole page, and a teaser weighs little more than other lines.
+    empty outside of article and main elements. The text surges at a window of some length and dives
+    at the first empty window; lines from surge to dive are kept. Lines in article or main elements and
+    other lines never share a window, and a text ends where they meet. With share s of the page's
+    characters in such elements, their lines surge at ``SURGE_CHARS`` to the power of 1 - s, and the
+    others at its power of 1 + s: one character is a surge where the article is the whole page, site names
+    and closing lines beside it are none, and a teaser counts little more than other lines. If no
+    window is that long, the longest for its kind marks the surge.
     """
     lines = lines_of(page or "")
     total = sum(len(text) for text, _, _ in lines)
     share = sum(len(text) for text, _, main in lines if main) / max(1, total)
-    weight = round(SURGE_CHARS**share, 6)
-    lengths = [
-        len(text) * weight if main else 0 if 2 * linked > len(text) else len(text) for text, linked, main in lines
-    ]
-    ahead = lengths + [0] * WINDOW_LINES
-    windows = [sum(ahead[i : i + WINDOW_LINES]) for i in range(len(lengths))]
+    need = {True: round(SURGE_CHARS ** (1 - share), 6), False: round(SURGE_CHARS ** (1 + share), 6)}
+    lengths = [len(text) if main or 2 * linked <= len(text) else 0 for text, linked, main in lines]
+    windows = []  # as parts of the length that is a surge
+    for i, (_, _, main) in enumerate(lines):
+        size = 0
+        for k in range(i, min(i + WINDOW_LINES, len(lines))):
+            if lines[k][2] != main:
+                break
+            size += lengths[k]
+        windows.append(size / need[main])
     if not windows or not max(windows):
         return ""
-    surge = min(SURGE_CHARS, max(windows))
+    surge = min(1.0, max(windows))
     kept: list[str] = []
     run: list[str] = []  # lines since the surge; links at either end of them are no text
-    inside = False
-    for (text, *_), own, window in zip(lines, lengths, windows, strict=True):
+    inside = before = False
+    for (text, _, main), own, window in zip(lines, lengths, windows, strict=True):
+        if main != before:
+            inside, before, run = False, main, []
         inside = window >= surge or (inside and window > 0)
         if inside and text and (own or run):
             run.append(text)
