@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bugsieve.llm.common import free_names, release_memory, saved
+from bugsieve.llm.common import appended, columns_of, free_names, release_memory, saved
 from bugsieve.llm.components import component_labels
 
 SHINGLE_WORDS = 3
@@ -202,12 +202,7 @@ def simhash_components(
     ``component_id``. Repeated rows stay repeated. An empty table gives an empty result, and
     other columns of ``docs`` are ignored.
     """
-    fps = saved(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
-    labels = component_labels(links(fps, max_bits, cell_rows))
-    nodes = fps.groupBy("fp").agg(F.min("id").alias("first"))
-    labelled = nodes.join(labels, nodes.fp == labels.u, "left").select(
-        "fp", "first", F.coalesce("v", "fp").alias("label")
-    )
+    fps, labelled = _labelled(docs, id_col, text_col, shingle_words, max_bits, cell_rows)
     # As a table of its own, so that the join below can split a component of very many nodes.
     heads = saved(labelled.groupBy("label").agg(F.min("first").alias("component_id")), "heads")
     known = labelled.join(heads, "label").select("fp", "component_id")
@@ -218,16 +213,57 @@ def simhash_components(
     )
 
 
+def _labelled(
+    docs: DataFrame, id_col: str, text_col: str, shingle_words: int, max_bits: int, cell_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """(id, fp) of every row, and (fp, first, label): each fingerprint's smallest id and component."""
+    fps = saved(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
+    labels = component_labels(links(fps, max_bits, cell_rows))
+    nodes = fps.groupBy("fp").agg(F.min("id").alias("first"))
+    return fps, nodes.join(labels, nodes.fp == labels.u, "left").select(
+        "fp", "first", F.coalesce("v", "fp").alias("label")
+    )
+
+
 def one_of_each_component(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
 ) -> DataFrame:
-    """The rows of ``docs``, with their columns, whose id is their component's; one row per id.
+    """The rows of ``docs``, with their columns, one for each component: the one with the smallest
+    id and, where that id has several texts, the smallest fingerprint among them.
 
-    Rows without an id are no document that a component could name; all of them stay.
+    A component is known by (id, fingerprint), since an id may stand on texts of several components;
+    of rows equal in both, the one with the smallest text hash stays (then by its other columns). Rows
+    without an id are no document that a component could name; all of them stay.
     """
-    found = simhash_components(docs, id_col, text_col, shingle_words, max_bits)
-    (name,) = free_names(docs, "id_")
-    stays = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias(name)).distinct()
-    named = docs.join(stays, F.col(f"`{id_col}`") == F.col(name), "left_semi").dropDuplicates([id_col])
-    return named.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
+    fps, labelled = _labelled(docs, id_col, text_col, shingle_words, max_bits, CELL_ROWS)
+    heads = saved(
+        labelled.where("first IS NOT NULL").groupBy("label").agg(F.min(F.struct("first", "fp")).alias("head"))
+        .select(F.col("head.first").alias("id"), F.col("head.fp").alias("fp")),
+        "heads",
+    )
+    repeated = saved(
+        fps.where("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id"),
+        "repeated",
+    )
+    name, fp, row, order = free_names(docs, "id_", "fp_", "row_", "order_")
+    given = F.col(f"`{id_col}`")
+    # An id on one row needs no look at the text; the fingerprint of the others is made again.
+    once = heads.join(repeated, "id", "left_anti").select(F.col("id").alias(name))
+    alone = docs.join(once, given == F.col(name), "left_semi")
+    several = docs.join(repeated.select(F.col("id").alias(name)), given == F.col(name), "left_semi")
+    text = f"{name}text"
+    marked = appended(
+        several.withColumn(text, F.col(f"`{text_col}`").cast("binary")), [text],
+        [T.StructField(fp, T.LongType())],
+        lambda texts: [pa.array([fingerprint_of(x.as_py(), shingle_words) for x in texts], type=pa.int64())],
+    )
+    headed = heads.toDF(name, f"{fp}head")
+    whole = F.struct(*columns_of(docs))
+    several = (
+        marked.join(headed, (given == F.col(name)) & (F.col(fp) == F.col(f"{fp}head")))
+        .select(F.col(name), F.col(fp), whole.alias(row),
+                F.struct(F.xxhash64(F.col(f"`{text_col}`")), F.to_json(whole)).alias(order))
+        .groupBy(name, fp).agg(F.min_by(row, order).alias(row)).select(f"{row}.*")
+    )
+    return alone.unionByName(several).unionByName(docs.where(given.isNull()))
