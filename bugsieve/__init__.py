@@ -11,6 +11,7 @@ from bugsieve.operators.reports import (
     batch_stats, bug_summary, extraction_events, failed_items, field_extraction_rate,
     field_quality_distribution, monitoring_metrics, pipeline_events, run_stats,
 )
+from bugsieve.operators.run_report import RunReport
 from bugsieve.operators.validate import validate_bugs
 from bugsieve.plans.normalize import normalize
 from bugsieve.sinks.records import to_json, write_bugs

@@ -62,14 +62,18 @@ def bug_summary(bugs: DataFrame, threshold: float = SUMMARY_THRESHOLD) -> DataFr
     )
 
 
-def batch_stats(bugs: DataFrame) -> DataFrame:
-    """Number of records, mean overall confidence, records per band."""
+def batch_aggregates() -> list[Column]:
     overall = F.col("overall_confidence")
-    return bugs.agg(
+    return [
         F.count(F.lit(1)).alias("total_processed"),
         F.avg(overall).alias("mean_confidence"),
         *[n.alias(f"{name}_confidence") for name, n in _bands(overall).items()],
-    )
+    ]
+
+
+def batch_stats(bugs: DataFrame) -> DataFrame:
+    """Number of records, mean overall confidence, records per band."""
+    return bugs.agg(*batch_aggregates())
 
 
 def run_stats(bugs: DataFrame, rejects: DataFrame) -> DataFrame:
@@ -95,15 +99,19 @@ def run_stats(bugs: DataFrame, rejects: DataFrame) -> DataFrame:
     )
 
 
-def field_extraction_rate(bugs: DataFrame) -> DataFrame:
-    """Fields filled by rules, out of how many, in percent."""
+def rate_aggregates() -> list[Column]:
     found = F.sum("fields_extracted_by_regex")
     possible = F.sum("total_extractable_fields")
-    return bugs.agg(
+    return [
         found.alias("fields_extracted"),
         possible.alias("fields_possible"),
         (F.lit(100.0) * found / possible).alias("extraction_rate_pct"),
-    )
+    ]
+
+
+def field_extraction_rate(bugs: DataFrame) -> DataFrame:
+    """Fields filled by rules, out of how many, in percent."""
+    return bugs.agg(*rate_aggregates())
 
 
 def failed_items(rejects: DataFrame) -> DataFrame:
@@ -119,13 +127,16 @@ def field_quality_distribution(bugs: DataFrame) -> DataFrame:
     One row of counters is aggregated and then unfolded, so no row per record and field is
     made and levels that do not occur show a zero.
     """
-    counters = {
-        (f, name): n for f in FIELDS for name, n in _bands(F.col(f"{f}.confidence")).items()
-    }
-    counted = bugs.agg(
-        F.count(F.lit(1)).alias("records"),
-        *[n.alias(f"{f}__{name}") for (f, name), n in counters.items()],
-    )
+    return quality_shares(bugs.agg(F.count(F.lit(1)).alias("records"), *quality_aggregates()))
+
+
+def quality_aggregates() -> list[Column]:
+    """Counters ``<field>__<level>``."""
+    return [n.alias(f"{f}__{name}") for f in FIELDS for name, n in _bands(F.col(f"{f}.confidence")).items()]
+
+
+def quality_shares(counted: DataFrame) -> DataFrame:
+    """The row of ``records`` and counters as a row per field and level."""
     rows = [
         F.struct(
             F.lit(f).alias("field"),
@@ -133,7 +144,7 @@ def field_quality_distribution(bugs: DataFrame) -> DataFrame:
             F.col(f"{f}__{name}").alias("fields"),
             F.col("records").alias("total"),
         )
-        for f, name in counters
+        for f in FIELDS for name in LEVELS
     ]
     for name in LEVELS:
         over_all = F.lit(0).cast("bigint")
@@ -170,7 +181,7 @@ def monitoring_aggregates(threshold: float = scoring.LEVEL_MEDIUM) -> list[Colum
     ]
 
 
-def _metric_rows() -> Column:
+def metric_rows() -> Column:
     rows = []
     for name, target, alert, larger in MONITORED:
         value = F.col(name)
@@ -192,7 +203,7 @@ def monitoring_metrics(bugs: DataFrame) -> DataFrame:
 
     Processing time is not a column of a record: take it from the streaming query progress.
     """
-    return bugs.agg(*monitoring_aggregates()).select("records", _metric_rows())
+    return bugs.agg(*monitoring_aggregates()).select("records", metric_rows())
 
 
 def extraction_events(bugs: DataFrame) -> DataFrame:

@@ -962,16 +962,15 @@ def _rounded(bugs: DataFrame) -> DataFrame:
     return bugs.withColumn("overall_confidence", F.round("overall_confidence", 9))
 
 
-@register(
-    "a1_batch_stats",
-    o.with_records(
-        o.LOGS,
-        f"SELECT count(*) AS total_processed, round(avg({_OVERALL}), 6) AS mean_confidence, "
-        f"count(CASE WHEN {_OVERALL} >= 0.8 THEN 1 END) AS high_confidence, "
-        f"count(CASE WHEN {_OVERALL} >= 0.5 AND {_OVERALL} < 0.8 THEN 1 END) AS medium_confidence, "
-        f"count(CASE WHEN {_OVERALL} < 0.5 THEN 1 END) AS low_confidence FROM rec",
-    ),
+_BATCH_SQL = (
+    f"SELECT count(*) AS total_processed, round(avg({_OVERALL}), 6) AS mean_confidence, "
+    f"count(CASE WHEN {_OVERALL} >= 0.8 THEN 1 END) AS high_confidence, "
+    f"count(CASE WHEN {_OVERALL} >= 0.5 AND {_OVERALL} < 0.8 THEN 1 END) AS medium_confidence, "
+    f"count(CASE WHEN {_OVERALL} < 0.5 THEN 1 END) AS low_confidence FROM rec"
 )
+
+
+@register("a1_batch_stats", o.with_records(o.LOGS, _BATCH_SQL))
 def a1(spark, sf_dir):
     stats = bs.batch_stats(_rounded(records(spark, sf_dir)))
     return stats.withColumn("mean_confidence", r6("mean_confidence"))
@@ -980,20 +979,19 @@ def a1(spark, sf_dir):
 _ITEM_REJECTS = f"(SELECT count(*) FROM ({o.ITEMS}) WHERE reject_reason IS NOT NULL)"
 
 
-@register(
-    "a2_run_stats",
-    o.with_records(
-        _ITEMS_K,
-        f"SELECT ok AS succeeded, {_ITEM_REJECTS} AS failed, ok + {_ITEM_REJECTS} AS total, "
-        "round(mean, 6) AS mean_confidence, round(top, 6) AS max_confidence, round(bottom, 6) AS min_confidence, "
-        "hi AS high_confidence, mid AS medium_confidence, lo AS low_confidence, "
-        "round(100.0 * hi / ok, 6)::DOUBLE AS high_pct, round(100.0 * mid / ok, 6)::DOUBLE AS medium_pct, "
-        f"round(100.0 * lo / ok, 6)::DOUBLE AS low_pct FROM (SELECT count(*) AS ok, avg({_OVERALL}) AS mean, "
-        f"max({_OVERALL}) AS top, min({_OVERALL}) AS bottom, count(CASE WHEN {_OVERALL} >= 0.8 THEN 1 END) AS hi, "
-        f"count(CASE WHEN {_OVERALL} >= 0.5 AND {_OVERALL} < 0.8 THEN 1 END) AS mid, "
-        f"count(CASE WHEN {_OVERALL} < 0.5 THEN 1 END) AS lo FROM rec)",
-    ),
+_RUN_SQL = (
+    f"SELECT ok AS succeeded, {_ITEM_REJECTS} AS failed, ok + {_ITEM_REJECTS} AS total, "
+    "round(mean, 6) AS mean_confidence, round(top, 6) AS max_confidence, round(bottom, 6) AS min_confidence, "
+    "hi AS high_confidence, mid AS medium_confidence, lo AS low_confidence, "
+    "round(100.0 * hi / ok, 6)::DOUBLE AS high_pct, round(100.0 * mid / ok, 6)::DOUBLE AS medium_pct, "
+    f"round(100.0 * lo / ok, 6)::DOUBLE AS low_pct FROM (SELECT count(*) AS ok, avg({_OVERALL}) AS mean, "
+    f"max({_OVERALL}) AS top, min({_OVERALL}) AS bottom, count(CASE WHEN {_OVERALL} >= 0.8 THEN 1 END) AS hi, "
+    f"count(CASE WHEN {_OVERALL} >= 0.5 AND {_OVERALL} < 0.8 THEN 1 END) AS mid, "
+    f"count(CASE WHEN {_OVERALL} < 0.5 THEN 1 END) AS lo FROM rec)"
 )
+
+
+@register("a2_run_stats", o.with_records(_ITEMS_K, _RUN_SQL))
 def a2(spark, sf_dir):
     staging = bs.read_ado(corpus.work_items(spark, sf_dir))
     _, rejected = bs.split_rejects(staging)
@@ -1002,14 +1000,13 @@ def a2(spark, sf_dir):
     return stats.withColumns({c: r6(c) for c in doubles})
 
 
-@register(
-    "a3_field_extraction_rate",
-    o.with_records(
-        o.LOGS,
-        "SELECT sum(fields_extracted_by_regex)::BIGINT AS fields_extracted, count(*) * 5 AS fields_possible, "
-        "round(sum(fields_extracted_by_regex) / (count(*) * 5) * 100, 6)::DOUBLE AS extraction_rate_pct FROM rec",
-    ),
+_RATE_SQL = (
+    "SELECT sum(fields_extracted_by_regex)::BIGINT AS fields_extracted, count(*) * 5 AS fields_possible, "
+    "round(sum(fields_extracted_by_regex) / (count(*) * 5) * 100, 6)::DOUBLE AS extraction_rate_pct FROM rec"
 )
+
+
+@register("a3_field_extraction_rate", o.with_records(o.LOGS, _RATE_SQL))
 def a3(spark, sf_dir):
     rate = bs.field_extraction_rate(records(spark, sf_dir))
     return rate.withColumn("extraction_rate_pct", r6("extraction_rate_pct"))
@@ -1053,6 +1050,48 @@ def a5(spark, sf_dir):
     return shares.withColumn("share_pct", r6("share_pct"))
 
 
+def _as_metrics(report: str, sql: str) -> str:
+    return (
+        f"SELECT '{report}' AS report, metric, value FROM "
+        f"(UNPIVOT (SELECT COLUMNS(*)::DOUBLE FROM ({sql})) ON COLUMNS(*) INTO NAME metric VALUE value)"
+    )
+
+
+@register(
+    "a2_single_pass",
+    o.with_records(
+        _ITEMS_K,
+        " UNION ALL ".join([
+            _as_metrics("batch", _BATCH_SQL), _as_metrics("run", _RUN_SQL), _as_metrics("rate", _RATE_SQL),
+            f"SELECT 'quality', field || ' ' || level, share_pct FROM ({_quality_sql()})",
+            "SELECT 'written', 'records', count(*)::DOUBLE FROM rec",
+            f"SELECT 'written', 'sum of confidences', round(sum({_OVERALL}), 3) FROM rec",
+        ]),
+    ),
+)
+def a2_single_pass(spark, sf_dir):
+    """Records written and reported on in one pass: the reports read what the writing tasks counted."""
+    report, out = bs.RunReport(), scratch_dir(spark, "run")
+    staging = report.inputs(bs.read_ado(corpus.work_items(spark, sf_dir)))
+    bs.write_bugs(report.records(_rounded(bs.normalize(staging))), out, format="parquet")
+
+    def metrics(name: str, frame: DataFrame) -> DataFrame:
+        pairs = [F.struct(F.lit(c).alias("metric"), r6(F.col(c).cast("double")).alias("value")) for c in frame.columns]
+        return frame.select(F.lit(name).alias("report"), F.inline(F.array(*pairs)))
+
+    quality = report.field_quality_distribution().select(
+        F.lit("quality").alias("report"), F.concat_ws(" ", "field", "level").alias("metric"), r6("share_pct").alias("value")
+    )
+    written = spark.read.schema(RECORD).parquet(out).agg(
+        F.count(F.lit(1)).alias("records"), F.round(F.sum("overall_confidence"), 3).alias("sum of confidences")
+    )
+    frames = [
+        metrics("batch", report.batch_stats()), metrics("run", report.run_stats()),
+        metrics("rate", report.field_extraction_rate()), quality, metrics("written", written),
+    ]
+    return functools.reduce(DataFrame.unionByName, frames)
+
+
 _ENRICHED_OVERALL = (
     "(" + " + ".join(
         f"(CASE WHEN {f}_value IS NULL THEN 0.0 ELSE {f}_confidence END)" for f in FIELDS if f != "expected_behavior"
