@@ -18,11 +18,11 @@ from bugsieve.llm.common import appended, free_names, per_worker, release_memory
 
 #: Rows encoded together, characters of their texts at most (but for one longer text), and words
 #: of such a text that are held at a time.
-ROWS, TEXT_CHARS, TEXT_WORDS = 10_000, 32_000_000, 2_000_000
+ROWS, TEXT_CHARS, TEXT_WORDS = 2_500, 8_000_000, 500_000
 #: Distinct words a worker remembers, and the bytes of the longest it does.
-MEMO_WORDS, MEMO_BYTES = 400_000, 256
+MEMO_WORDS, MEMO_BYTES = 250_000, 256
 #: Bytes of new words that one index covers, but for one longer word: some 40 bytes of memory each.
-INDEX_BYTES = 8_000_000
+INDEX_BYTES = 4_000_000
 
 # Fixed value: the split pattern of byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -248,14 +248,33 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
     one, which has no ids; repeated rows stay; an empty table gives no rows; a column named
     ``ids_col`` in ``docs`` gives way. No shuffle: a lost task is encoded again.
     """
-    rows = docs.drop(ids_col)
+    return _with_ids(docs, path, text_col, ids_col, None)
+
+
+def round_trip(
+    docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded"
+) -> DataFrame:
+    """``encode`` and ``decode`` of its ids in one pass, by one worker."""
+    return _with_ids(docs, path, text_col, ids_col, decoded_col)
+
+
+def _with_ids(docs: DataFrame, path: str, text_col: str, ids_col: str, decoded_col: str | None) -> DataFrame:
+    rows = docs.drop(ids_col, *([decoded_col] if decoded_col else []))
     (given,) = free_names(rows, "given_")
     rows = rows.withColumn(given, F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
 
     def work(texts: pa.Array) -> list[pa.Array]:
-        return [_lists(_codec(path).encode(texts.to_pylist()))]
-
-    return appended(rows, [given], [T.StructField(ids_col, T.ArrayType(T.IntegerType()))], work, ROWS).drop(given)
+        codec = _codec(path)
+        ids = codec.encode(texts.to_pylist())
+        made = [_lists(ids)]
+        if decoded_col:
+            made.append(pa.array((codec.decode(np.frombuffer(x, dtype="<i4").tolist()) for x in ids), type=pa.string()))
+        return made
+
+    fields = [T.StructField(ids_col, T.ArrayType(T.IntegerType()))]
+    if decoded_col:
+        fields.append(T.StructField(decoded_col, T.StringType()))
+    return appended(rows, [given], fields, work, ROWS).drop(given)
 
 
 def decode(tokens: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:

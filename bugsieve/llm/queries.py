@@ -103,9 +103,8 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op12_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = pair_index.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    return pair_index.decode(coded, path).select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pair_index.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json")).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(pair_index.ids_text(F.col("ids")), 256).alias("ids_sha256"),
