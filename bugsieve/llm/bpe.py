@@ -111,6 +111,11 @@ class Codec:
                     right.append(b)
                     rank.append(r)
                 unsafe.update(x for x in (a, b) if x is not None and x > r)
+        # Neighbouring bytes that some token holds: a word falls into parts between all others.
+        self.together = np.zeros((256, 256), dtype=bool)
+        for piece in self.ranks:
+            data = np.frombuffer(piece, dtype=np.uint8)
+            self.together[data[:-1], data[1:]] = True
         self._table("merges", {
             "pair": pa.array((np.array(left, dtype=np.int64) << 32) + np.array(right, dtype=np.int64)),
             "rank": pa.array(np.array(rank, dtype=np.int32)),
@@ -152,30 +157,56 @@ class Codec:
             state = got.filter(got["more"]).select(["w", "idx", "prev", "tok"])
         return out
 
+    def parts_of(self, word: bytes) -> list[bytes]:
+        """A word cut where no token holds both neighbours. Nothing is ever merged across such a place,
+        so the parts contract apart."""
+        data = np.frombuffer(word, dtype=np.uint8)
+        cuts = [0, *(np.flatnonzero(~self.together[data[:-1], data[1:]]) + 1).tolist(), len(word)]
+        return [word[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
     def learn(self, words: list[str]) -> None:
-        """Remember the ids of words; one that is itself a token is that token."""
+        """Remember the ids of words; one that is itself a token is that token, a long one is its parts."""
+        whole: dict[str, list[str]] = {}
+        for word in words:
+            if len(word) > LONG_WORD:
+                parts = self.parts_of(word.encode())
+                if len(parts) > 1:
+                    whole[word] = [p.decode("latin-1") for p in parts]
+        if whole:
+            distinct = {p for parts in whole.values() for p in parts}
+            ids = dict(zip(distinct, self._contracted([p.encode("latin-1") for p in distinct]), strict=True))
+            self.memo.update((w, b"".join(map(ids.__getitem__, parts))) for w, parts in whole.items())
+        rest = []
+        for word in words:
+            rank = self.ranks.get(word.encode())
+            if rank is not None:
+                self.memo[word] = rank.to_bytes(4, "little")
+            elif word not in whole:
+                rest.append(word)
+        self.memo.update(zip(rest, self._contracted([w.encode() for w in rest]), strict=True))
+
+    def _contracted(self, words: list[bytes]) -> list[bytes]:
+        """The ids of words given by their bytes, a bounded number of bytes at a time."""
+        out: list[bytes] = [b""] * len(words)
         lots: dict[bool, list[list]] = {False: [[], [], 0], True: [[], [], 0]}
 
         def close(long: bool) -> None:
-            names, data, _ = lots[long]
+            places, data, _ = lots[long]
             if data:
-                self.memo.update(zip(names, self._contract(data, _ROUND_ALL if long else _ROUND_ONE), strict=True))
+                for i, ids in zip(places, self._contract(data, _ROUND_ALL if long else _ROUND_ONE), strict=True):
+                    out[i] = ids
             lots[long] = [[], [], 0]
 
-        for word in words:
-            data = word.encode()
-            rank = self.ranks.get(data)
-            if rank is not None:
-                self.memo[word] = rank.to_bytes(4, "little")
-                continue
+        for i, data in enumerate(words):
             long = len(data) > LONG_WORD
-            lots[long][0].append(word)
+            lots[long][0].append(i)
             lots[long][1].append(data)
             lots[long][2] += len(data)
             if lots[long][2] >= WORD_BYTES:
                 close(long)
         close(False)
         close(True)
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""

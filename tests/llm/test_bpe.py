@@ -1,6 +1,7 @@
 import base64
 import random
 import struct
+import time
 
 import public_tokenizers as P
 import pytest
@@ -72,3 +73,24 @@ def test_frames(spark, small, library):
     back = bpe.bpe_decode(coded, RANKS, P.PATTERN).collect()
     assert {r.doc_id: bytes(r.decoded).decode() for r in back} == {i: texts[i] for i in texts if i is not None and i < 20}
     assert bpe.bpe_round_trip(docs.limit(0), RANKS, P.PATTERN).count() == 0
+
+
+def test_long_words_take_little_time(library):
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = ["".join(rng.choice(some) for _ in range(100_000)) for some in (letters, letters + letters.upper() + "0123456789+/")]
+    texts.append("".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(30_000)))
+    fresh = bpe.Codec(RANKS, P.PATTERN)
+    for text in texts:
+        before = time.time()
+        got = fresh.encode([text])
+        assert time.time() - before < 10
+        assert ids(got[0]) == library.encode_ordinary(text) and fresh.decode(got) == [text.encode()]
+
+
+def test_parts_join_to_the_word(codec):
+    for text in strange_texts():
+        data = text.encode()
+        parts = codec.parts_of(data)
+        assert b"".join(parts) == data
+        assert not any(a[-1:] + b[:1] in piece for a, b in zip(parts, parts[1:], strict=False) for piece in list(codec.ranks)[::50])
