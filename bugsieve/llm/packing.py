@@ -120,6 +120,25 @@ def plan(doc_tokens: list[int], tiers: tuple[int, ...] = TIERS) -> Iterator[tupl
         yield size, window
 
 
+def step_groups(tiers: list[int], costs: list[int], step_tokens: int) -> list[int]:
+    """A group for each sequence, by tier and cost: as few groups of a tier as ``step_tokens`` allows.
+
+    The sequences of a tier are dealt in order of their cost, back and forth over its groups. So two
+    groups of a tier differ by one sequence at most and, where they have as many, by no more cost than
+    the dearest and the cheapest sequence do.
+    """
+    out = [0] * len(tiers)
+    first = 0
+    for tier in sorted(set(tiers), reverse=True):
+        mine = sorted((i for i, t in enumerate(tiers) if t == tier), key=lambda i: -costs[i])
+        groups = -(-len(mine) // max(1, step_tokens // tier))
+        for place, i in enumerate(mine):
+            turn, at = divmod(place, groups)
+            out[i] = first + (groups - 1 - at if turn % 2 else at)
+        first += groups
+    return out
+
+
 def pack(
     docs: DataFrame,
     tokenizer_path: str,
@@ -137,7 +156,8 @@ def pack(
     Each task encodes and packs its own rows in lots of bounded size, so nothing is shuffled and
     a lost task gives the same pieces again. Sequences are full windows of a tier; a lot ends
     with a few shorter ones whose lengths are powers of two, so that nothing is padded.
-    ``step_group`` numbers groups of sequences of one tier with ``step_tokens`` tokens each.
+    ``step_group`` numbers groups of sequences of one tier with ``step_tokens`` tokens at most, balanced
+    within a lot by the squared lengths of their pieces, which attention costs (see ``step_groups``).
     A null text counts as empty and holds the end id alone; repeated rows, and rows whose id is
     null, are documents of their own; an empty table gives no rows; other columns are ignored.
     """
@@ -146,30 +166,27 @@ def pack(
         encoder = per_worker("pack_" + tokenizer_path, lambda: load_encoder(tokenizer_path))
         end = np.array([end_id], dtype="<u4")
         names, tokens, size = [], [], 0
-        sequence = -1
-        steps: dict[int, list[int]] = {}
-        step = -1
+        sequence, step = -1, 0
 
         def flush(partition: int) -> pa.RecordBatch:
             nonlocal sequence, step
             columns: list[list] = [[] for _ in schema]
-            for tier, pieces in plan([len(x) for x in tokens], tiers):
+            planned = list(plan([len(x) for x in tokens], tiers))
+            costs = [sum(length * length for *_, length in pieces) for _, pieces in planned]
+            groups = step_groups([tier for tier, _ in planned], costs, step_tokens)
+            for (tier, pieces), group in zip(planned, groups, strict=True):
                 sequence += 1
-                group = steps.setdefault(tier, [0, step_tokens])
-                if group[1] + tier > step_tokens:
-                    step += 1
-                    group[:] = [step, 0]
-                group[1] += tier
                 offset = 0
                 for doc, start, length in pieces:
                     part = tokens[doc][start : start + length].tobytes()
                     row = [
                         names[doc], start, length, zlib.crc32(part), len(tokens[doc]),
-                        (partition << 32) + sequence, offset, tier, (partition << 32) + group[0],
+                        (partition << 32) + sequence, offset, tier, (partition << 32) + step + group,
                     ]
                     for column, value in zip(columns, row + [part] * with_ids, strict=True):
                         column.append(value)
                     offset += length
+            step += max(groups, default=-1) + 1
             return pa.RecordBatch.from_arrays(
                 [pa.array(x, type=f.type) for x, f in zip(columns, arrow, strict=True)], schema=arrow
             )

@@ -62,3 +62,23 @@ def test_repeated_rows_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "same"), (1, "same")], "doc_id long, text string")
     assert packing.pack(docs, JSON).count() >= 2
     assert packing.pack(docs.limit(0), JSON).count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([2048, 1024, 512, 256, 64, 1]), st.integers(1, 4_000_000)), max_size=200), st.sampled_from([2048, 5_000, 32_768]))
+def test_step_groups_are_balanced(sequences, step):
+    tiers, costs = [t for t, _ in sequences], [c for _, c in sequences]
+    groups = {}
+    for (tier, cost), group in zip(sequences, packing.step_groups(tiers, costs, step), strict=True):
+        groups.setdefault(group, []).append((tier, cost))
+    assert sorted(groups) == list(range(len(groups)))
+    for tier in set(tiers):
+        mine = [[c for _, c in g] for g in groups.values() if g[0][0] == tier]
+        assert all({t for t, _ in g} == {tier} for g in groups.values() if g[0][0] == tier)
+        sizes = [len(g) for g in mine]
+        assert max(sizes) * tier <= max(step, tier) and max(sizes) - min(sizes) <= 1
+        assert len(mine) == -(-sum(sizes) // max(1, step // tier))
+        all_ = [c for g in mine for c in g]
+        for size in set(sizes):
+            sums = [sum(g) for g in mine if len(g) == size]
+            assert max(sums) - min(sums) <= max(all_) - min(all_)
