@@ -8,24 +8,39 @@ from bugsieve.schema import FIELDS, RECORD
 from tests import bruteforce
 from tests.test_extract import generated
 
-REPORT = """
-        Noticed: StackOverflowError in DiveLogHandler
-        Repro steps: Ring the brass bell
-        Observed: Panel goes dark
-        Expected: Panel stays lit
-        """
-
-LOG = "\n".join(
-    [
-        "[2031-06-07T21:40:01Z] ERROR [tide-pump] Valve three stuck. Circuit breaker triggered.",
-        "[2031-06-07T21:40:02Z] ERROR [tide-pump] Request processing failed: 503 Timeout",
-        "[2031-06-07T21:40:03Z] WARN [buoys] User impact: 9 users affected",
-        "[2031-06-07T21:40:04Z] ERROR [levels] Error rate exceeded threshold: 12% (threshold: 2%)",
-        "[2031-06-07T21:40:05Z] CRITICAL [harbor] gates closed",
-        "that was all",
-    ]
+# Five rules, one a field, in sections that end at blank lines.
+FULL = (
+    "Acceptance criteria: one ring per stop\n\nHow to reproduce: board at the mill, pull the cord\n\n"
+    "Outcome: two rings, then none\n\nMemory leak detected in module tram.bell"
 )
 
+# Stamped lines with a stack frame among them; the strict and the loose tier both have hits.
+LOG = "\n".join([
+    "boot of the weir, build 9",
+    "[2040-02-29T00:00:05Z] INFO [lamp-room] warm",
+    "[2040-02-29T00:00:09Z] WARN [sluice] slow by a third, limit: 40 litres a second",
+    "   at mill.race.Wheel(Wheel.java:7)",
+    "[2040-02-29T00:01:00Z] CRITICAL [mill-race] Memory usage critical",
+    "[2040-02-29T00:01:02Z] CRITICAL [mill-race] Wheel stands still",
+    "31 users affected, millers mostly",
+])
+
+# A text that one rule of the table hits, and the value it captures.
+SINGLE = {
+    "ET-S16": ("a plain 403 Forbidden at the gate", "403"),
+    "ET-L02": ("the error rate exceeded threshold by noon", "error rate exceeded threshold by noon"),
+    "ET-L04": ("the crane was unable to swing", "unable to swing"),
+    "CM-S03": ("Tool: Rope Winder Build 7", "Rope Winder"),
+    "CM-S05": ("Portal: https://tickets.canal.example/x", "tickets.canal.example"),
+    "CM-L05": ("ask the LockManager", "LockManager"),
+    "CM-L07": ("upstream service: weir-db", "weir-db"),
+    "RS-S04": ("1) lift the bar\n2) let it fall", "1) lift the bar\n2) let it fall"),
+    "RS-L03": ("if you turn left at the lock.", "turn left at the lock"),
+    "OB-S03": ("Customer impact: no bread today", "Customer impact: no bread today"),
+    "OB-L02": ("a boat, but: no water", "no water"),
+    "EX-L03": ("ran correctly, all night", "all night"),
+}
+
 
 def free(spark, *texts):
     df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
@@ -48,76 +63,73 @@ def test_schema(spark):
     assert bs.normalize(ado).dtypes == bugs.dtypes
 
 
-@pytest.mark.parametrize(
-    "text, values, overall",
-    [
-        ("ConnectionRefusedException in FerryService", {"error_type": ("ConnectionRefusedException", 0.953), "component_module": ("FerryService", 0.905)}, 0.3716),
-        ("StackOverflowError when accessing the attic", {"error_type": ("StackOverflowError", 0.953), "trigger_repro_steps": ("the attic", 0.435)}, 0.2776),
-        ("SQLException after lunch", {"error_type": ("SQLException", 0.953)}, 0.1906),
-        ("Application crashed at sea", {"error_type": ("crashed", 0.4), "observed_behavior": ("Application crashed at sea", 0.47)}, 0.174),
-        (
-            REPORT,
-            {
-                "error_type": ("StackOverflowError", 0.953), "component_module": ("DiveLogHandler", 0.905),
-                "trigger_repro_steps": ("Ring the brass bell\n        Observed: Panel goes dark", 0.953),
-                "observed_behavior": ("Panel goes dark", 0.953), "expected_behavior": ("Panel stays lit", 0.905),
-            },
-            0.9338,
-        ),
-        ("", {}, 0.0),
-    ],
-)
-def test_free_text(spark, text, values, overall):
-    (r,) = records(spark, text)
-    for f in FIELDS:
-        assert short(r, f) == values.get(f, (None, 0.0)), f
-    assert r["overall_confidence"] == pytest.approx(overall, abs=1e-9)
-    assert r["fields_extracted_by_regex"] == len(values)
-    assert r["severity"] is None and r["total_extractable_fields"] == 5
+def test_one_rule_at_a_time(spark):
+    table = {r.rule_id: r for r in bs.default_rules()}
+    got = records(spark, *[text for text, _ in SINGLE.values()])
+    for r, (rule_id, (_, value)) in zip(got, SINGLE.items(), strict=True):
+        rule = table[rule_id]
+        score = bruteforce.score(rule.base, f"regex_{rule.tier}", len(value))
+        assert short(r, rule.field) == (value, score), rule_id
+        assert r[rule.field]["source"] == f"regex_{rule.tier}"
+        assert all(short(r, f) == (None, 0.0) for f in FIELDS if f != rule.field), rule_id
+        assert r["overall_confidence"] == pytest.approx(score / 5, abs=1e-9)
+        assert r["fields_extracted_by_regex"] == 1
+
+
+def test_no_rule_hits(spark):
+    for r in records(spark, "", "quiet on the canal"):
+        assert all(short(r, f) == (None, 0.0) for f in FIELDS)
+        assert (r["overall_confidence"], r["fields_extracted_by_regex"], r["total_extractable_fields"]) == (0.0, 0, 5)
+        assert r["severity"] is None
 
 
-def test_service_log(spark):
+def test_sections(spark):
+    (r,) = records(spark, FULL)
+    assert [short(r, f) for f in FIELDS] == [
+        ("Memory leak detected", 0.953), ("tram.bell", 0.905), ("board at the mill, pull the cord", 0.905),
+        ("two rings, then none", 0.858), ("one ring per stop", 0.905),
+    ]
+    assert r["overall_confidence"] == pytest.approx(0.9052) and r["fields_extracted_by_regex"] == 5
+
+
+def test_stamped_lines(spark):
     (r,) = records(spark, LOG)
-    assert short(r, "error_type") == ("Valve three stuck. Circuit breaker triggered.", 1.0)
-    assert short(r, "component_module") == ("tide-pump", 1.0)
-    # The run of stamped lines ends before the CRITICAL line.
-    assert short(r, "trigger_repro_steps") == ("\n".join(LOG.split("\n")[:4]), 0.47)
+    # The stamped rule outranks the memory rule, and two hits outrank one; the stack frame ranks below both.
+    assert short(r, "error_type") == ("Memory usage critical", 1.0)
+    assert short(r, "component_module") == ("mill-race", 1.0)
+    # The frame breaks the run of stamped lines, and no CRITICAL line belongs to one.
+    assert short(r, "trigger_repro_steps") == ("\n".join(LOG.split("\n")[1:3]), 0.47)
     assert r["trigger_repro_steps"]["source"] == "regex_loose"
-    assert short(r, "observed_behavior") == ("User impact: 9 users affected", 0.905)
-    assert short(r, "expected_behavior") == ("12% (threshold: 2%)", 0.435)
-    assert r["overall_confidence"] == pytest.approx((1 + 1 + 0.47 + 0.905 + 0.435) / 5)
+    assert short(r, "observed_behavior") == ("31 users affected, millers mostly", 0.905)
+    assert short(r, "expected_behavior") == ("40 litres a second", 0.435)
+    assert r["overall_confidence"] == pytest.approx(0.762)
 
 
 def test_work_items(spark):
-    items = [
-        {"id": "31", "fields": {"System.Title": "FileNotFoundException in MapService", "System.Description": "Chart is blank"}},
-        {"id": "57", "fields": {
-            "System.Title": "Database connection timeout in TideService",
-            "System.Description": "Levels come late at spring tide",
-            "Microsoft.VSTS.TCM.ReproSteps": "1. Wait for high water\n2. Read the gauge\n3. See TimeoutException",
-            "Microsoft.VSTS.Common.AcceptanceCriteria": "Level must settle within a minute"}},
-        {"id": "88", "fields": {
-            "System.Title": "SQLException in LedgerPrinter",
-            "System.Description": "Pages stay white",
-            "Microsoft.VSTS.TCM.ReproSteps": "1. Pick a month\n2. Press print\n3. Read SQLException"}},
-    ]
-    staging = bs.read_ado(spark.createDataFrame([(json.dumps(i),) for i in items], "json string"))
+    fields = {
+        "only html": {"System.Description": "<ul><li>Cascade failure</li><li>services degraded: barge-line</li></ul>"},
+        "only steps": {"Microsoft.VSTS.TCM.ReproSteps": "<div>lower the bridge</div>"},
+        "only criteria": {"Microsoft.VSTS.Common.AcceptanceCriteria": "The gate must close before the bell"},
+        "title": {"System.Title": "Queue overflow, queue overflow, queue overflow", "System.State": "New"},
+    }
+    rows = [(json.dumps({"id": name, "fields": f}),) for name, f in fields.items()]
+    staging = bs.read_ado(spark.createDataFrame(rows, "json string"))
+    texts = {r["source_metadata"]["source_id"]: r["text"] for r in staging.collect()}
     got = {r["source_metadata"]["source_id"]: r for r in bs.normalize(staging).collect()}
-    a, b, c = got["ado_31"], got["ado_57"], got["ado_88"]
-    assert short(a, "error_type") == ("FileNotFoundException", 0.953)
-    # Three rules of the same confidence hit; the first of the list wins.
-    assert short(b, "error_type") == ("TimeoutException", 0.953)
-    assert short(b, "component_module") == ("TideService", 0.905)
-    assert b["trigger_repro_steps"]["value"].startswith("1. Wait") and b["trigger_repro_steps"]["confidence"] == 0.953
-    assert b["observed_behavior"]["value"] is None
-    assert short(b, "expected_behavior") == ("Level must settle within a minute", 0.953)
-    assert b["overall_confidence"] == pytest.approx(0.7528)
-    assert short(c, "error_type") == ("SQLException", 1.0) and c["component_module"]["value"] is None
-    assert c["overall_confidence"] == pytest.approx(0.3906)
+    assert set(got) == {f"ado_{name}" for name in fields}
+    for key, r in got.items():
+        want, overall = bruteforce.record(texts[key])
+        assert [short(r, f) for f in FIELDS] == [want[f][:2] for f in FIELDS]
+        assert r["overall_confidence"] == pytest.approx(overall, abs=1e-9)
+    assert got["ado_only html"]["error_type"]["value"].startswith("Cascade failure")
+    assert got["ado_only html"]["component_module"]["value"] == "barge-line"
+    assert got["ado_only steps"]["trigger_repro_steps"]["value"] == "lower the bridge"
+    assert got["ado_only criteria"]["expected_behavior"]["value"] == "The gate must close before the bell"
+    assert short(got["ado_title"], "error_type") == ("Queue overflow", 1.0)  # three hits
 
 
 def test_fields_not_asked_for_run_no_rules(spark):
-    staging = free(spark, LOG, REPORT)
+    staging = free(spark, LOG, FULL)
     some = bs.normalize(staging, fields=["error_type"])
     plan = some._jdf.queryExecution().optimizedPlan().toString()
     rules = [r for r in bs.default_rules() if r.field == "error_type"]
@@ -161,8 +173,8 @@ def test_ids(spark):
 
 
 def test_enrichment(spark):
-    r, full = records(spark, LOG, REPORT, enable_enrichment=True)
-    assert short(r, "expected_behavior") == ("[NLP-inferred] System should not User impact: 9 users affected", 0.5)
+    r, full = records(spark, LOG, FULL, enable_enrichment=True)
+    assert short(r, "expected_behavior") == ("[NLP-inferred] System should not 31 users affected, millers mostly", 0.5)
     assert r["expected_behavior"]["source"] == "nlp_enriched"
     assert r["expected_behavior"]["raw_evidence"] == LOG[:500]
     assert (r["fields_enriched_by_nlp"], r["nlp_enrichment_applied"], r["fields_extracted_by_regex"]) == (1, True, 5)
@@ -172,8 +184,8 @@ def test_enrichment(spark):
     (none,) = records(spark, "nothing here", enable_enrichment=True)
     assert (none["fields_enriched_by_nlp"], none["nlp_enrichment_applied"]) == (0, True)
     # A higher threshold also replaces a good value.
-    (strict,) = records(spark, REPORT, enable_enrichment=True, threshold=0.95)
-    assert short(strict, "expected_behavior") == ("[NLP-inferred] System should not Panel goes dark", 0.5)
+    (strict,) = records(spark, FULL, enable_enrichment=True, threshold=0.95)
+    assert short(strict, "expected_behavior") == ("[NLP-inferred] System should not two rings, then none", 0.5)
 
 
 def test_custom_enricher_sees_weak_rows_only(spark):
@@ -183,7 +195,7 @@ def test_custom_enricher_sees_weak_rows_only(spark):
         return (field + "|" + text + "|" + observed.fillna("none")).where(~text.str.contains("skip"), "")
 
     custom = bs.vectorized_enricher(infer, fields=("observed_behavior", "expected_behavior"))
-    a, b, c = records(spark, "NPE", REPORT, "skip", enable_enrichment=True, enricher=custom)
+    a, b, c = records(spark, "NPE", FULL, "skip", enable_enrichment=True, enricher=custom)
     assert a["observed_behavior"]["value"] == "observed_behavior|NPE|none"
     # The replaced observed behavior is what the next field sees.
     assert a["expected_behavior"]["value"] == "expected_behavior|NPE|observed_behavior|NPE|none"
@@ -193,7 +205,7 @@ def test_custom_enricher_sees_weak_rows_only(spark):
 
 
 def test_validation(spark):
-    bugs = bs.normalize(free(spark, REPORT, "x", LOG), keep=["k"])
+    bugs = bs.normalize(free(spark, FULL, "x", LOG), keep=["k"])
     good, bad = bs.validate_bugs(bugs)
     assert (good.count(), bad.count()) == (3, 0)
     broken = bugs.withColumn(
@@ -224,14 +236,14 @@ def test_json_sink(spark, tmp_path):
 
 
 def test_reports(spark):
-    staging = free(spark, REPORT, "NPE", None, LOG, "x" * 10_001)
+    staging = free(spark, FULL, "NPE", None, LOG, "x" * 10_001)
     _, rejects = bs.split_rejects(staging)
     bugs = bs.normalize(staging)
     s = bs.batch_stats(bugs).first()
     assert (s["total_processed"], s["high_confidence"], s["medium_confidence"], s["low_confidence"]) == (3, 1, 1, 1)
     r = bs.run_stats(bugs, rejects).first()
     assert (r["succeeded"], r["failed"], r["total"]) == (3, 2, 5)
-    assert r["max_confidence"] == pytest.approx(0.9338) and r["high_pct"] == pytest.approx(100 / 3)
+    assert r["max_confidence"] == pytest.approx(0.9052) and r["high_pct"] == pytest.approx(100 / 3)
     e = bs.field_extraction_rate(bugs).first()
     assert (e["fields_extracted"], e["fields_possible"]) == (11, 15)
     assert bs.failed_items(rejects).count() == 2
@@ -259,7 +271,7 @@ def test_empty_batch(spark):
 
 def test_merge(spark):
     keep = ["incident"]
-    rows = [("i1", LOG), ("i1", REPORT), ("i2", "NPE"), ("i2", "nothing"), ("i1", REPORT), (None, "NPE"), (None, "in the MapService")]
+    rows = [("i1", LOG), ("i1", FULL), ("i2", "NPE"), ("i2", "nothing"), ("i1", FULL), (None, "NPE"), (None, "in module sluice.gear")]
     staging = spark.createDataFrame(rows, "incident string, text string").select(
         "text", F.struct(F.lit("freetext").alias("source_type"), F.lit("s").alias("source_id")).alias("source_metadata"), "incident"
     )
@@ -267,11 +279,11 @@ def test_merge(spark):
     got = {r["incident"]: r for r in merged if r["incident"]}
     alone = [r for r in merged if r["incident"] is None]  # strangers stay apart
     assert sorted((r["records"], r["error_type"]["value"], r["component_module"]["value"]) for r in alone if r["error_type"]["value"]) == [(1, "NPE", None)]
-    assert [(r["records"], r["component_module"]["value"]) for r in alone if not r["error_type"]["value"]] == [(1, "MapService")]
+    assert [(r["records"], r["component_module"]["value"]) for r in alone if not r["error_type"]["value"]] == [(1, "sluice.gear")]
     assert got["i1"]["records"] == 3
-    assert got["i1"]["error_type"]["value"].startswith("Valve three")
-    assert got["i1"]["trigger_repro_steps"]["value"].startswith("Ring the brass")
-    assert got["i1"]["expected_behavior"]["value"] == "Panel stays lit"
+    assert got["i1"]["error_type"]["value"] == "Memory usage critical"
+    assert got["i1"]["trigger_repro_steps"]["value"] == "board at the mill, pull the cord"
+    assert got["i1"]["expected_behavior"]["value"] == "one ring per stop"
     assert got["i2"]["component_module"]["value"] is None
     assert got["i2"]["overall_confidence"] == pytest.approx(0.762 / 5)
 

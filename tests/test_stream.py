@@ -4,14 +4,14 @@ from pyspark.sql import functions as F
 
 import bugsieve as bs
 from bugsieve.schema import FIELDS
-from tests.test_records import LOG, REPORT
+from tests.test_records import FULL, LOG
 
 
 def test_stream_equals_batch(spark, tmp_path):
     src, out, ckpt = tmp_path / "in", tmp_path / "out", tmp_path / "ckpt"
     src.mkdir()
     (src / "a.log").write_text(LOG)
-    (src / "b.txt").write_text(REPORT)
+    (src / "b.txt").write_text(FULL)
     (src / "skip.md").write_text("NPE")
 
     def step():
