@@ -7,6 +7,7 @@ from bugsieve.operators.enrich import enrich, infer_expected, vectorized_enriche
 from bugsieve.operators.extract import (
     best_in_tier, extract_all_fields, extract_field, extract_fields, rule_hits,
 )
+from bugsieve.operators.incremental import append_new, new_rows, processed_ids, read_batches
 from bugsieve.operators.reports import (
     batch_stats, bug_summary, extraction_events, failed_items, field_extraction_rate,
     field_quality_distribution, monitoring_metrics, pipeline_events, run_stats,

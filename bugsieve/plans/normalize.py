@@ -28,13 +28,14 @@ def _record_field(name: str) -> Column:
     ).alias(name)
 
 
+def content_id() -> Column:
+    """SHA-256 of a staging row's source id and text: equal inputs get equal ids, so a replayed batch
+    can be merged instead of appended."""
+    return F.sha2(F.concat_ws("\x00", F.col("source_metadata.source_id"), F.col("text")), 256)
+
+
 def _bug_id(mode: str) -> Column:
-    if mode == "content":
-        # Equal inputs get equal ids, so a replayed batch can be merged instead of appended.
-        return F.sha2(
-            F.concat_ws("\x00", F.col("source_metadata.source_id"), F.col("text")), 256
-        )
-    return F.uuid()
+    return content_id() if mode == "content" else F.uuid()
 
 
 def normalize(

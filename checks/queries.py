@@ -1160,6 +1160,29 @@ def a8(spark, sf_dir):
     )
 
 
+# --- batches that come again ----------------------------------------------------------------
+
+
+@register(
+    "n1_incremental_batches",
+    o.with_records(
+        o.LOGS,
+        f"SELECT CASE WHEN k % 2 = 0 THEN 'monday' ELSE 'tuesday' END AS batch, 'log_' || k AS source_id, "
+        f"error_type_value AS error_type, round({_OVERALL}, 6) AS overall_confidence FROM rec",
+    ),
+)
+def n1_incremental(spark, sf_dir):
+    """Half of the logs, then all of them, then all again: each record once, in the batch it came with."""
+    out = scratch_dir(spark, "incremental")
+    logs = corpus.logs(spark, sf_dir)
+    bs.append_new(logs.where("event_id % 2 = 0"), out, "monday")
+    bs.append_new(logs, out, "tuesday")
+    bs.append_new(logs, out, "wednesday")
+    return _rounded(bs.read_batches(spark, out)).select(
+        "batch", "source_metadata.source_id", F.col("error_type.value").alias("error_type"), r6("overall_confidence").alias("overall_confidence")
+    )
+
+
 # --- streams, merging, splitting -----------------------------------------------------------
 
 
