@@ -21,8 +21,8 @@ UNIT = 1_000_000_000
 TERM_RANKS = 50
 #: Terms of one bitmap, sources of one block, cells computed at once, terms numbered together.
 BITS, BLOCK, CELLS, LOT_TERMS = 64, 128, 1 << 21, 4_096
-#: Distinct (group, term) entries a task holds before it hands them on.
-HELD = 300_000
+#: Distinct (group, term) entries a task holds before it hands them on, some 200 bytes each.
+HELD = 1_000_000
 
 # A term is a run of letters A-Z, in lower case, and of all characters beyond ASCII.
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
@@ -82,7 +82,7 @@ def _numbered(totals: DataFrame) -> DataFrame:
     sizes = banded.groupBy("lang", "band").agg(F.ceil(F.count(F.lit(1)) / LOT_TERMS).alias("parts"))
     parted = banded.join(sizes, ["lang", "band"]).withColumn(
         "part", F.pmod(F.xxhash64("term"), F.col("parts")).cast("int")
-    )
+    ).repartition("lang", "band", "part")
     place = F.row_number().over(Window.partitionBy("lang", "band", "part").orderBy("total", "term")) - 1
     return parted.withColumn("place", place).select(
         "lang", "term", "total", "band", "part", F.floor(F.col("place") / BITS).cast("int").alias("map"),
@@ -183,7 +183,7 @@ def audit_sources(
     Texts are counted in tasks and combined before the shuffle. Each bitmap of 64 terms holds a
     bitset per (group, count); the pairs of a bitmap meet in one small unit of work, keyed by
     bitmap and block of sources, so a source or language with most of the rows is no task of its
-    own. Counts are written as a table and read again for each part. Null texts, languages and
+    own. Counts, and those of the kept terms, are written as tables that the parts read. Null texts, languages and
     sources are empty strings; repeated rows count again; a group without terms has zero counts;
     where no term is kept every pair has value 0 and part ``term`` has no rows; an empty table gives no
     rows; a language with one source has no pairs; other columns are ignored.
@@ -195,7 +195,9 @@ def audit_sources(
     counts = saved(term_counts(given), "divergence-counts")
     totals = counts.groupBy("lang", "term").agg(F.sum("cnt").alias("total"), F.sum("docs").alias("docs"))
     kept = saved(_numbered(totals.where(F.col("docs") >= min_documents).drop("docs")), "divergence-terms")
-    in_kept = counts.select("lang", "source", "term", "cnt").join(kept, ["lang", "term"])
+    in_kept = saved(
+        counts.select("lang", "source", "term", "cnt").join(kept, ["lang", "term"]), "divergence-kept-counts"
+    )
 
     sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("total").alias("lang_total"))
     number = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
