@@ -16,6 +16,8 @@ from bugsieve.llm.common import saved
 PIVOTS, PIVOT_SAMPLE = 32, 2_048
 #: Vectors of an index block (a piece of an annulus) and queries of a query block.
 BLOCK_ROWS, QUERY_ROWS = 4_096, 512
+#: Rings of equal width around each pivot, and the shares of the reach to which annuli widen.
+RINGS, REACHES = 64, (0.3, 1.0)
 
 _BLOCK = "block long, pivot int, nearest double, farthest double, norm2 double, ids binary, dists binary, vectors binary"
 _QUERY = "qblock long, pivot int, near array<double>, far array<double>, norm2 double, ids binary, vectors binary"
@@ -186,8 +188,9 @@ def exact_top_k(
 
     Every vector is keyed by its nearest pivot and its distance to it, and the sorted rows are
     cut into blocks. A block of queries first searches the annulus it lies in; the k-th score
-    found there bounds how far a better vector can be, so that of all other annuli only the
-    blocks, and in them the rows, within that distance of the query are compared. Bounds carry a
+    found there bounds how far a better vector can be. Annuli widen to that distance around every
+    pivot (see ``_expand``), and of their blocks only those, and in them the rows, that the bound leaves
+    are compared. Blocks meet by pivot and ring in an equality join. Bounds carry a
     slack for rounding; scores are whole numbers and exact. Ties go to the smaller id.
 
     ``is_query`` selects queries by the given columns. Rows with a null id or a vector that is
@@ -216,52 +219,107 @@ def exact_top_k(
         "queries",
     )
 
-    about_index = index.select("block", "pivot", "nearest", "farthest", "norm2")
-    about_queries = queries.select("qblock", "q_pivot", "near", "far", "q_norm2")
-    # Distance at least between any query and any vector of two blocks: blocks against blocks,
-    # each of which stands for hundreds or thousands of rows.
-    apart = F.greatest(
-        F.lit(0.0), F.col("nearest") - F.col("far")[F.col("pivot")], F.col("near")[F.col("pivot")] - F.col("farthest")
+    found = _expand(index, queries, centres, width, k)
+    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(ranked).cast("int")).where(F.col("rank") <= k).select(
+        "query_id", "rank", "vec_id", "score"
     )
-    matched = saved(about_queries.join(about_index, F.col("pivot") >= 0).withColumn("apart", apart), "matched")
-    home = (
-        matched.withColumn("n", F.row_number().over(
-            Window.partitionBy("qblock").orderBy((F.col("pivot") != F.col("q_pivot")).cast("int"), "apart", "block")
-        )).where("n <= 2").select("qblock", "block")
+
+
+def _ring(distance: Column, ring: float) -> Column:
+    """The ring around a pivot that a distance lies in; the last one has no end."""
+    return F.greatest(F.lit(0), F.least(F.floor(distance / ring), F.lit(RINGS - 1))).cast("int")
+
+
+def _expand(index: DataFrame, queries: DataFrame, centres: np.ndarray, width: int, k: int) -> DataFrame:
+    """(query_id, vec_id, score): the best of the annuli around each pivot that can hold any of them.
+
+    Blocks of both sides meet where they share a pivot and a ring of distances, in an equality join. The
+    home annulus of a block of queries gives a first floor. Then annuli widen, by a share of the reach
+    at first and by all of it at last: a vector whose score is above the floor is no farther from
+    the query than the reach, so a pivot's other rings are left out; floors rise between the rounds.
+    """
+    edges = Window.partitionBy("pivot").orderBy("nearest", "block")
+    about_index = index.select("block", "pivot", "nearest", "farthest", "norm2").withColumns({
+        # Up to the next block, so that every distance is in some block's rings.
+        "from": F.when(F.lag("block").over(edges).isNull(), 0.0).otherwise(F.col("nearest")),
+        "to": F.coalesce(F.greatest(F.lead("nearest").over(edges), "farthest"), F.lit(float("inf"))),
+    })
+    about_index = saved(about_index, "about-index")
+    whole = about_index.agg(F.max("farthest"), F.max("norm2")).first()
+    ring, most_norm = max((whole[0] or 0.0) / RINGS, 1e-9), whole[1] or 0.0
+    rings = about_index.withColumn("first_ring", _ring(F.col("from"), ring)).withColumn(
+        "ring", F.explode(F.sequence("first_ring", _ring(F.col("to"), ring)))
     )
-    no_floor = [F.lit(None).cast("array<long>").alias(x) for x in ("f_ids", "f_scores")]
+    about_queries = queries.select("qblock", "q_pivot", "near", "far", "q_norm2")
     payload = index.select("block", "pivot", "norm2", "ids", "dists", "vectors")
     asks = queries.select("qblock", "q_ids", "q_vectors")
-    first = saved(
-        _search(home.join(asks, "qblock").join(payload, "block").select("*", *no_floor), centres, width, k), "first"
-    )
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    floors = (
-        first.distinct().withColumn("n", F.row_number().over(ranked)).where(F.col("n") == k)
-        .select("query_id", F.col("score").alias("floor"))
+
+    def searched(pairs: DataFrame, before: DataFrame | None) -> DataFrame:
+        """The k best so far of each query, as a table."""
+        new = _search(pairs.join(asks, "qblock").join(payload, "block"), centres, width, k)
+        both = new if before is None else new.unionByName(before)
+        best = both.distinct().withColumn("n", F.row_number().over(ranked)).where(F.col("n") <= k)
+        return saved(best.select("query_id", "vec_id", "score"), "found")
+
+    near, far = F.col("near")[F.col("q_pivot")], F.col("far")[F.col("q_pivot")]
+    home = about_queries.select("qblock", F.col("q_pivot").alias("pivot"), near.alias("low"), far.alias("high")).withColumn(
+        "ring", _ring((F.col("low") + F.col("high")) / 2, ring)
+    )
+    apart = F.greatest(F.lit(0.0), F.col("nearest") - F.col("high"), F.col("low") - F.col("farthest"))
+    nearest = Window.partitionBy("qblock").orderBy("apart", "block")
+    no_floor = [F.lit(None).cast("array<long>").alias(x) for x in ("f_ids", "f_scores")]
+    done = saved(
+        home.join(rings, ["pivot", "ring"]).withColumn("apart", apart)
+        .withColumn("n", F.row_number().over(nearest)).where("n <= 2").select("qblock", "block"),
+        "home",
     )
+    found = searched(done.select("*", *no_floor), None)
     members = queries.select("qblock", "q_ids").mapInArrow(
         lambda batches: (
-            pa.RecordBatch.from_pylist([{"qblock": r["qblock"], "query_id": int(x)} for r in b.to_pylist() for x in np.frombuffer(r["q_ids"], dtype=np.int64)], schema=pa.schema([("qblock", pa.int64()), ("query_id", pa.int64())]))
+            pa.RecordBatch.from_pylist(
+                [{"qblock": r["qblock"], "query_id": int(x)} for r in b.to_pylist() for x in np.frombuffer(r["q_ids"], dtype=np.int64)],
+                schema=pa.schema([("qblock", pa.int64()), ("query_id", pa.int64())]),
+            )
             for b in batches
         ),
         "qblock long, query_id long",
     )
-    known = (
-        members.distinct().join(floors, "query_id", "left").groupBy("qblock").agg(
-            F.min(F.coalesce("floor", F.lit(-(2**62)))).alias("least"),
-            F.collect_list(F.when(F.col("floor").isNotNull(), F.struct("query_id", "floor"))).alias("f"),
+    members = saved(members.distinct(), "members")
+    for share in REACHES:
+        floors = (
+            found.withColumn("n", F.row_number().over(ranked)).where(F.col("n") == k)
+            .select("query_id", F.col("score").alias("floor"))
         )
-        .select("qblock", "least", F.col("f.query_id").alias("f_ids"), F.col("f.floor").alias("f_scores"))
-    )
-    room = F.col("q_norm2") + F.col("norm2") - F.col("apart") * F.col("apart")
-    slack = 1e-6 * (1.0 + F.col("q_norm2") + F.col("norm2"))
-    others = (
-        matched.join(home, ["qblock", "block"], "left_anti").join(known, "qblock")
-        .where(room + slack >= 2.0 * F.col("least")).select("qblock", "block", "f_ids", "f_scores")
-    )
-    second = _search(others.join(asks, "qblock").join(payload, "block"), centres, width, k)
-    found = first.unionByName(second).distinct()
-    return found.withColumn("rank", F.row_number().over(ranked).cast("int")).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score"
-    )
+        known = (
+            members.join(floors, "query_id", "left").groupBy("qblock").agg(
+                F.min(F.coalesce("floor", F.lit(-(2**62)))).alias("least"),
+                F.collect_list(F.when(F.col("floor").isNotNull(), F.struct("query_id", "floor"))).alias("f"),
+            )
+            .select("qblock", "least", F.col("f.query_id").alias("f_ids"), F.col("f.floor").alias("f_scores"))
+        )
+        # |q - v|^2 = |q|^2 + |v|^2 - 2 q.v: where the floor is passed, at most the reach.
+        room = F.col("q_norm2") + F.lit(most_norm) - 2.0 * F.col("least")
+        slack = 1e-6 * (1.0 + F.col("q_norm2") + F.lit(most_norm))
+        reach = F.sqrt(F.greatest(room + slack, F.lit(0.0))) * share + 1e-6
+        around = (
+            about_queries.join(known, "qblock").where(room + slack >= 0)
+            .select("qblock", "q_norm2", "least", "far", reach.alias("reach"), F.posexplode("near").alias("pivot", "low"))
+            .withColumn("high", F.col("far")[F.col("pivot")]).drop("far")
+            .withColumn("q_first", _ring(F.col("low") - F.col("reach"), ring))
+            .withColumn("ring", F.explode(F.sequence("q_first", _ring(F.col("high") + F.col("reach"), ring))))
+        )
+        room = F.col("q_norm2") + F.col("norm2") - apart * apart
+        slack = 1e-6 * (1.0 + F.col("q_norm2") + F.col("norm2"))
+        pairs = saved(
+            around.join(rings, ["pivot", "ring"])
+            .where(F.col("ring") == F.greatest("q_first", "first_ring"))  # once, in the first ring of both
+            .where((room + slack >= 2.0 * F.col("least")) & (apart <= F.col("reach")))
+            .select("qblock", "block").join(done, ["qblock", "block"], "left_anti"),
+            "annuli",
+        )
+        if share == REACHES[-1] or not pairs.isEmpty():
+            found = searched(pairs.join(known.select("qblock", "f_ids", "f_scores"), "qblock"), found)
+            done = done.unionByName(pairs)
+    return found

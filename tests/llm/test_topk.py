@@ -58,4 +58,29 @@ def test_bounds_rule_blocks_out(spark):
     rows = [(i, (centres[i % 6] + rng.normal(size=8)).tolist()) for i in range(600)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = topk.exact_top_k(frame, F.col("vec_id") % 100 == 0, block_rows=20, query_rows=2, pivots=6)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert result(got) == brute(rows, 10)
+
+
+def test_annuli_meet_by_pivot_and_ring(spark, monkeypatch):
+    """Far clusters are never searched, and no step joins all blocks with all."""
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(8, 4)) * 1_000
+    centres *= 1_000 / np.sqrt((centres**2).sum(1))[:, None]
+    rows = [(i, (centres[i % 8] + rng.normal(size=4)).tolist()) for i in range(1_600)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    searched, plans = [], []
+    search = topk._search
+
+    def counted(pairs, *rest):
+        plans.append(pairs._jdf.queryExecution().optimizedPlan().toString() + pairs._jdf.queryExecution().executedPlan().toString())
+        searched.append(pairs.select("qblock", "block").collect())
+        return search(pairs, *rest)
+
+    monkeypatch.setattr(topk, "_search", counted)
+    got = topk.exact_top_k(frame, F.col("vec_id") % 100 == 0, block_rows=25, query_rows=2, pivots=8)
+    assert result(got) == brute(rows, 10)
+    assert not any("NestedLoop" in p or "Cartesian" in p for p in plans)
+    pairs = [tuple(p) for part in searched for p in part]
+    assert len(pairs) == len(set(pairs)) and len(pairs) <= 0.3 * 64 * 8
