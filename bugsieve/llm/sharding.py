@@ -44,14 +44,34 @@ def hilbert_index(point: tuple[int, ...], bits: int) -> int:
     return index
 
 
-def log_level(size: Column, bits: int = BITS) -> Column:
-    """A size as its number of binary digits, at most 2**bits - 1."""
-    return F.least(F.length(F.bin(size)), F.lit((1 << bits) - 1))
+#: Bytes of a name that its level is taken from.
+NAME_BYTES = 7
 
 
-def name_level(name: Column, bits: int = BITS) -> Column:
-    """A name as one of 2**bits levels; all rows of a name, or of null, share it."""
-    return F.pmod(F.crc32(F.coalesce(name, F.lit("")).cast("binary")), F.lit(1 << bits)).cast("int")
+def name_number(name: Column) -> Column:
+    """The first bytes of a name as a number that orders as they do; null counts as the empty name."""
+    data = F.substring(F.coalesce(name, F.lit("")).cast("binary"), 1, NAME_BYTES)
+    return F.conv(F.rpad(F.hex(data), 2 * NAME_BYTES, "0"), 16, 10).cast("long")
+
+
+def quantile_levels(docs: DataFrame, numbers: list[Column], bits: int = BITS) -> list[Column]:
+    """Each number as one of 2**bits levels that keep its order and hold rows in about equal shares.
+
+    The bounds are quantiles (one pass of mergeable sketches, 2**bits - 1 numbers each). So a run of
+    levels is a range of values, which Parquet's minima and maxima can rule out.
+    """
+    cuts = [i / (1 << bits) for i in range(1, 1 << bits)]
+    found = docs.agg(*(F.percentile_approx(n, cuts, 10_000).alias(f"q{i}") for i, n in enumerate(numbers))).first()
+    return [_level(n, found[f"q{i}"] or []) for i, n in enumerate(numbers)]
+
+
+def _level(number: Column, bounds: list[int]) -> Column:
+    """How many bounds a number has passed. One that is several bounds takes their middle, so that
+    the levels use all of their range."""
+    given = F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<long>")
+    below = F.size(F.filter(given, lambda b: b < number))
+    upto = F.size(F.filter(given, lambda b: b <= number))
+    return F.coalesce(F.floor((below + upto) / 2), F.lit(0)).cast("int")
 
 
 def hilbert_shards(
@@ -114,7 +134,8 @@ def hilbert_shards(
 def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard, curve) of every document.
 
-    Dimensions are the size of the text, the language and the source. Law ``rows``: the counts
+    Dimensions are the size of the text, the language and the source, each in levels of its own order
+    (``quantile_levels``), so that filters on any of them rule out files. Law ``rows``: the counts
     of shards are at most one apart, whatever the texts; equal texts are not kept together.
     ``size`` is the text's UTF-8 bytes plus one; a null text has none. Null names form a level.
     Other columns are ignored; repeated rows are rows of their own.
@@ -123,7 +144,7 @@ def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
     rows = docs.select(
         "doc_id", (F.octet_length(data) + 1).cast("long").alias("size"), F.crc32(data).alias("text_crc32"), "lang", "source"
     )
-    levels = [log_level(F.col("size")), name_level(F.col("lang")), name_level(F.col("source"))]
+    levels = quantile_levels(rows, [F.col("size"), name_number(F.col("lang")), name_number(F.col("source"))])
     out = hilbert_shards(rows, levels, [F.col(x) for x in ("doc_id", "text_crc32", "size", "lang", "source")], shards)
     return out.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",

@@ -1,6 +1,8 @@
 import itertools
+import pathlib
 import zlib
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,8 +43,46 @@ def test_fewer_rows_than_shards_and_none(spark, small):
 
 def test_written_shards(spark, small, tmp_path):
     docs = spark.read.parquet(f"{small}/documents.parquet")
-    levels = [sharding.log_level(F.octet_length("text")), sharding.name_level(F.col("lang"))]
+    levels = sharding.quantile_levels(docs, [F.octet_length("text"), sharding.name_number(F.col("lang"))])
     sharding.write_shards(docs, levels, [F.col("doc_id")], f"{tmp_path}/out", 4)
     back = spark.read.parquet(f"{tmp_path}/out")
     assert back.count() == docs.count()
     assert {r.shard for r in back.select("shard").distinct().collect()} == {0, 1, 2, 3}
+
+
+def test_name_numbers_keep_the_order(spark):
+    names = ["", "a", "aa", "ab", "b", "src0", "src1", "src10", "src2", "zz", "Ünï", "日本", "src1234567", "src1234599"]
+    got = spark.createDataFrame([(n,) for n in [*names, None]], "n string").select("n", sharding.name_number(F.col("n")).alias("x")).collect()
+    number = {r.n: r.x for r in got}
+    ordered = sorted(names, key=lambda n: n.encode())
+    for a, b in zip(ordered, ordered[1:], strict=False):
+        assert number[a] <= number[b]
+        assert (number[a] < number[b]) == (a.encode()[:7].ljust(7, b"\0") < b.encode()[:7].ljust(7, b"\0"))
+    assert number[None] == number[""]
+
+
+def test_filters_skip_files(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("size", F.octet_length("text"))
+    numbers = [F.col("size"), sharding.name_number(F.col("lang")), sharding.name_number(F.col("source"))]
+    sharding.write_shards(docs, sharding.quantile_levels(docs, numbers), [F.col("doc_id")], f"{tmp_path}/out", 32)
+    files = [pq.ParquetFile(f) for f in pathlib.Path(f"{tmp_path}/out").rglob("*.parquet")]
+
+    def ranges(file):
+        out = {}
+        for g in range(file.metadata.num_row_groups):
+            for c in range(file.metadata.num_columns):
+                column = file.metadata.row_group(g).column(c)
+                if column.path_in_schema in ("size", "lang", "source"):
+                    low, high = out.get(column.path_in_schema, (column.statistics.min, column.statistics.max))
+                    out[column.path_in_schema] = min(low, column.statistics.min), max(high, column.statistics.max)
+        return out
+
+    held = [ranges(f) for f in files]
+    assert len(held) >= 32
+    middle, large = docs.select(F.percentile_approx("size", [0.5, 0.9])).first()[0]
+    for wanted, most in (
+        ({"source": ("src5", "src5")}, 0.6), ({"lang": ("de", "de")}, 0.6), ({"size": (large, 10**9)}, 0.6),
+        ({"source": ("src5", "src9"), "size": (0, middle)}, 0.4), ({"lang": ("fr", "fr"), "size": (large, 10**9)}, 0.3),
+    ):
+        read = [h for h in held if all(h[c][0] <= high and h[c][1] >= low for c, (low, high) in wanted.items())]
+        assert 0 < len(read) <= most * len(held), (wanted, len(read), len(held))
