@@ -42,6 +42,32 @@ TEMPLATES = {
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0",
     "cc-by-4.0": "Licensed under CC BY 4.0",
     "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0",
+    "cc-by-nd-4.0": "Licensed under CC BY-ND 4.0",
+    "cc-by-nc-sa-4.0": "Licensed under CC BY-NC-SA 4.0",
+    "cc-by-nc-nd-4.0": "Licensed under CC BY-NC-ND 4.0",
+    "cc-by-4.0-long": "This work is licensed under a Creative Commons Attribution 4.0 International License",
+    "cc0-1.0": (
+        "To the extent possible under law, the person who associated CC0 with this work has waived all copyright "
+        "and related or neighboring rights to this work"
+    ),
+    "lgpl-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation"
+    ),
+    "agpl-3.0": "under the terms of the GNU Affero General Public License",
+    "epl-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License"
+    ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies"
+    ),
+    "unlicense": "This is free and unencumbered software released into the public domain",
+    "zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors "
+        "be held liable for any damages arising from the use of this software"
+    ),
+    "boost-1.0": "Distributed under the Boost Software License, Version 1.0",
     "all-rights-reserved": "All rights reserved",
 }
 
