@@ -26,7 +26,9 @@ from bugsieve.sources.spread import spread
 from bugsieve.sources.staging import as_staging, rejects, split_rejects, union_sources
 from bugsieve.sources.workitems import read_ado
 from bugsieve.streaming.normalize_stream import (
-    normalize_stream, read_log_stream, windowed_monitoring, write_stream,
+    normalize_stream, read_log_stream, windowed_monitoring, windowed_quantiles, write_stream,
 )
+from bugsieve.streaming.late_rows import late_records, monitor_with_late_rows, window_metrics
+from bugsieve.streaming.progress import processing_time, progress_rows
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -120,3 +120,28 @@ def windowed_monitoring(
             "low_confidence_rate", "enrichment_success_rate",
         )
     )
+
+
+def windowed_quantiles(
+    bugs: DataFrame,
+    time_col: str = "processing_timestamp",
+    window: str = "1 hour",
+    lateness: str = "10 minutes",
+    shares: tuple[float, ...] = (0.05, 0.5, 0.95),
+    accuracy: int = 10_000,
+) -> DataFrame:
+    """Quantiles of the overall confidence per tumbling window, as columns ``p5``, ``p50``, ``p95``.
+
+    State is one mergeable sketch per open window, whose ranks are off by 1 / ``accuracy`` of its
+    records at most. Also for batch frames.
+    """
+    found = F.percentile_approx("overall_confidence", list(shares), accuracy)
+    return (
+        bugs.withWatermark(time_col, lateness)
+        .groupBy(F.window(time_col, window).alias("w"))
+        .agg(F.count(F.lit(1)).alias("records"), found.alias("q"))
+        .select(
+            F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "records",
+            *[F.col("q")[i].alias(f"p{100 * s:g}") for i, s in enumerate(shares)],
+        )
+    )

@@ -1266,6 +1266,59 @@ def t2(spark, sf_dir):
     )
 
 
+_LATE = (
+    "event_id % 10 >= 7 AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= "
+    "(SELECT max(ts) FROM events WHERE event_id % 10 < 7) - INTERVAL 10 MINUTE"
+)
+
+
+@register(
+    "t2_late_rows",
+    o.with_records(
+        o.LOGS,
+        "SELECT CAST(window_start AS VARCHAR) AS window_start, late, count(*) AS records, "
+        "round(avg(round(oc, 9)), 6) AS mean_overall_confidence FROM "
+        f"(SELECT date_trunc('hour', ts) AS window_start, {_LATE} AS late, {_OVERALL} AS oc "
+        "FROM rec JOIN (SELECT event_id, ts FROM events) e ON e.event_id = rec.k) GROUP BY 1, 2",
+    ),
+)
+def t2_late(spark, sf_dir):
+    """Three tenths of the events come after the others: those whose window is over by then are kept apart."""
+    out = scratch_dir(spark, "late")
+    events = corpus.table(spark, sf_dir, "events")
+    for some in ("event_id % 10 < 7", "event_id % 10 >= 7"):
+        events.where(some).write.mode("append").parquet(f"{out}/events")
+        stream = corpus.spread_scan(spark.readStream.schema(events.schema).parquet(f"{out}/events"))
+        bugs = bs.normalize(corpus.as_logs(stream.withColumn("ts", F.col("ts").cast("timestamp"))), id_mode="content", keep=["ts"])
+        bs.monitor_with_late_rows(_rounded(bugs), out, f"{out}/checkpoint", "ts").awaitTermination()
+    kept = bs.window_metrics(spark, out).select("window_start", F.lit(False).alias("late"), "records", "mean_overall_confidence")
+    late = bs.late_records(spark, out).groupBy(F.date_trunc("hour", "ts").alias("window_start")).agg(
+        F.lit(True).alias("late"), F.count(F.lit(1)).alias("records"), F.avg("overall_confidence").alias("mean_overall_confidence")
+    )
+    return kept.unionByName(late).select(
+        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "late", "records",
+        r6("mean_overall_confidence").alias("mean_overall_confidence"),
+    )
+
+
+@register(
+    "t2_windowed_quantiles",
+    o.with_records(
+        o.LOGS,
+        "SELECT CAST(date_trunc('hour', ts) AS VARCHAR) AS window_start, count(*) AS records, "
+        + ", ".join(f"round(quantile_disc({_OVERALL}, {p}), 6) AS p{100 * p:g}" for p in (0.05, 0.5, 0.95))
+        + " FROM rec JOIN (SELECT event_id, ts FROM events) e ON e.event_id = rec.k GROUP BY 1",
+    ),
+)
+def t2_quantiles(spark, sf_dir):
+    events = corpus.as_logs(corpus.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")))
+    windows = bs.windowed_quantiles(_rounded(bs.normalize(events, keep=["ts"])), "ts")
+    return windows.select(
+        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "records",
+        *[r6(c).alias(c) for c in ("p5", "p50", "p95")],
+    )
+
+
 def _merged_sql() -> str:
     """The best filled field per user; ties by source weight, then by the larger value."""
     picks = ", ".join(

@@ -1,0 +1,87 @@
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import bugsieve as bs
+from bugsieve.streaming.late_rows import _Watermark
+
+START = dt.datetime(2024, 1, 1, 10, 0)
+HOUR = dt.timedelta(hours=1)
+
+
+def records_of(spark, src):
+    stream = spark.readStream.schema("ts timestamp, text string").parquet(src)
+    meta = F.struct(F.lit("freetext").alias("source_type"), F.lit("s").alias("source_id")).alias("source_metadata")
+    return bs.normalize(stream.select("text", meta, "ts"), id_mode="content", keep=["ts"])
+
+
+def test_kept_and_late_are_what_was_given(spark, tmp_path):
+    rng = random.Random(5)
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    latest, windows, late, given = None, {}, [], 0
+    for step in range(3):
+        rows = [(START + dt.timedelta(minutes=rng.randint(0, 300 + 200 * step)), rng.choice(["NPE", "quiet"])) for _ in range(40)]
+        rows += [(None, "no time"), (START + dt.timedelta(minutes=500 * step), f"last of {step}")]
+        given += len(rows)
+        for ts, text in rows:
+            start = ts and ts.replace(minute=0)
+            if ts is None or (latest and start + HOUR <= latest - dt.timedelta(minutes=20)):
+                late.append((step, ts, text == "NPE"))
+            else:
+                n, found = windows.get(start, (0, 0))
+                windows[start] = n + 1, found + (text == "NPE")
+        latest = max([t for t, _ in rows if t] + ([latest] if latest else []))
+        spark.createDataFrame(rows, "ts timestamp, text string").write.mode("append").parquet(src)
+        bs.monitor_with_late_rows(records_of(spark, src), out, str(tmp_path / "ckpt"), "ts", "1 hour", "20 minutes").awaitTermination()
+    assert len(late) > 15  # records without a time, and others
+    got = {r.window_start: r for r in bs.window_metrics(spark, out).collect()}
+    assert {s: r.records for s, r in got.items()} == {s: n for s, (n, _) in windows.items()}
+    for s, (n, found) in windows.items():
+        assert got[s].mean_fields_by_rules == pytest.approx(found / n)
+        assert got[s].low_confidence_rate == 1.0 and got[s].window_end == s + HOUR
+    kept_apart = bs.late_records(spark, out).collect()
+    assert sorted((r.batch, str(r.ts), r.error_type.value == "NPE") for r in kept_apart) == sorted((b, str(t), x) for b, t, x in late)
+    assert sum(r.records for r in got.values()) + len(kept_apart) == given
+    closed = {r.window_start for r in bs.window_metrics(spark, out, closed_by="20 minutes").collect()}
+    assert closed == {s for s in windows if s + HOUR <= latest - dt.timedelta(minutes=20)}
+
+
+def test_the_mark_of_a_batch_is_that_before_it(tmp_path):
+    marks = _Watermark(str(tmp_path / "marks"))
+    assert marks.before(0) is None
+    marks.put(0, 5.0)
+    marks.put(1, 9.0)
+    assert marks.before(1) == 5.0 == marks.before(1) and marks.before(2) == 9.0
+    marks.put(1, 7.0)  # the batch ran again
+    assert marks.before(2) == 7.0 and marks.before(0) is None
+
+
+def test_processing_times(spark, tmp_path):
+    src = str(tmp_path / "in")
+    spark.createDataFrame([(START, "NPE")] * 20, "ts timestamp, text string").write.parquet(src)
+    query = bs.write_stream(records_of(spark, src), str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    query.awaitTermination()
+    rows = bs.progress_rows(spark, query).collect()
+    assert sum(r.records for r in rows) == 20 and all(r.batch_ms > 0 and r.rows_dropped == 0 for r in rows)
+    (p,) = bs.processing_time(bs.progress_rows(spark, query)).collect()
+    assert (p.records, p.metric, p.target, p.alert_bound) == (20, "processing_time_ms_p95", 2000.0, 5000.0)
+    progress = spark.createDataFrame([("r", 0, 90, 900), ("r", 1, 10, 90_000), ("r", 2, 0, 5)], "run_id string, batch long, records long, batch_ms long")
+    (p,) = bs.processing_time(progress).collect()
+    assert (p.value, p.on_target, p.alert, p.records) == (9_000.0, False, True, 100)
+    (p,) = bs.processing_time(progress, 0.5).collect()
+    assert (p.value, p.on_target, p.alert) == (10.0, True, False)
+    (none,) = bs.processing_time(progress.limit(0)).collect()
+    assert (none.records, none.value, none.on_target, none.alert) == (0, None, False, False)
+
+
+def test_quantiles_of_windows(spark):
+    rng = random.Random(2)
+    rows = [(START + dt.timedelta(minutes=rng.randint(0, 179)), rng.random()) for _ in range(3_000)]
+    frame = spark.createDataFrame(rows, "ts timestamp, overall_confidence double")
+    for r in bs.windowed_quantiles(frame, "ts").collect():
+        mine = sorted(c for t, c in rows if r.window_start <= t < r.window_end)
+        assert r.records == len(mine)
+        for share, got in ((0.05, r.p5), (0.5, r.p50), (0.95, r.p95)):
+            assert got == mine[max(0, -(-int(share * 100) * len(mine) // 100) - 1)]
