@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import sys
-import tempfile
 import types
 import uuid
 from collections.abc import Callable, Iterator
@@ -16,17 +15,11 @@ from pyspark.sql import types as T
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the shared folder that ``spark.checkpoint.dir`` names.
-
-    Where the setting is missing, as in tests on one machine, a temporary folder takes its place.
-    """
+    """A fresh folder in the shared folder that ``spark.checkpoint.dir`` names or, where that is
+    unset, as in a session on one machine, in the warehouse."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     shared = shared or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="bugsieve-llm-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+    shared = shared or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

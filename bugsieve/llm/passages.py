@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bugsieve.llm.common import columns_of, free_names, per_worker, release_memory
+from bugsieve.llm.common import columns_of, free_names, per_worker, release_memory, saved
 
 #: One word start in so many is a cut; so is every line start, and within long runs without
 #: white space one character in CHAR_RATE.
@@ -26,6 +26,8 @@ LONG_WORD, WORD_BYTES = 32, 6
 #: which overlap.
 ROWS = 500
 PIECE_BYTES = 1_000_000
+#: Bytes of short texts that are cut together, each as by itself.
+LOT_BYTES = 200_000
 
 _WINDOW = 16  # bytes that a 16-bit gear hash remembers
 
@@ -34,6 +36,7 @@ class _Tables:
     def __init__(self) -> None:
         rng = np.random.Generator(np.random.PCG64(20_240_501))
         self.gear = rng.integers(0, 1 << 16, 256, dtype=np.uint16)
+        self.gear[0] = 0  # the byte between texts that are cut together
         self.value = rng.integers(0, 1 << 64, 256, dtype=np.uint64)
         base = 0x9E3779B97F4A7C15 | 1
         n = PIECE_BYTES + 2 * MAX_BYTES + 4 * _WINDOW
@@ -53,25 +56,38 @@ def _tables() -> _Tables:
     return per_worker("passages", _Tables)
 
 
-def _cuts(data: np.ndarray, t: _Tables) -> np.ndarray:
-    """Whether a chunk may start at each byte, seen from the bytes just before and at it."""
+def _cuts(data: np.ndarray, t: _Tables, firsts: np.ndarray | None = None) -> np.ndarray:
+    """Whether a chunk may start at each byte, seen from the bytes just before and at it; ``firsts``
+    are the places of the first bytes of texts that are cut together."""
     h = t.gear[data]
     reach = 1
     while reach < _WINDOW:  # h[i] = sum of gear[data[i - j]] << j over the window
         h[reach:] += h[:-reach] << np.uint16(reach)
         reach *= 2
-    before = np.r_[np.uint16(0), h[:-1]]
+    few = np.zeros(len(data), dtype=bool)  # by the bytes before: one word start in WORD_RATE
+    few[0] = True
+    few[1:] = h[:-1] < 65_536 // WORD_RATE
     space = t.space[data]
-    after_space = np.r_[True, space[:-1]]
-    word = after_space & ~space
-    line = np.r_[False, data[:-1] == 10] & ~space
-    last = np.maximum.accumulate(np.where(space, np.arange(len(data)), -1))
-    far = (np.arange(len(data)) - last > RUN_BYTES) & ((data & 0xC0) != 0x80)
-    return line | (word & (before < 65_536 // WORD_RATE)) | (far & (before < 65_536 // CHAR_RATE))
+    start = ~space
+    start[1:] &= space[:-1]
+    cut = start & few
+    cut[1:] |= (data[:-1] == 10) & ~space[1:]
+    if firsts is not None:
+        space[firsts - 1] = True  # as the start of a text does, the byte before it ends a run
+    edges = np.concatenate(([-1], np.flatnonzero(space), [len(data)]))
+    if (np.diff(edges) > RUN_BYTES + 1).any():  # long runs without white space
+        last = np.maximum.accumulate(np.where(space, np.arange(len(data)), -1))
+        far = (np.arange(len(data)) - last > RUN_BYTES) & ((data & 0xC0) != 0x80)
+        rare = np.zeros(len(data), dtype=bool)
+        rare[0] = True
+        rare[1:] = h[:-1] < 65_536 // CHAR_RATE
+        cut |= far & rare
+    return cut
 
 
 def _digests(piece: np.ndarray, starts: np.ndarray, ends: np.ndarray, t: _Tables) -> np.ndarray:
-    sums = np.r_[np.uint64(0), np.cumsum(t.value[piece] * t.power[: len(piece)], dtype=np.uint64)]
+    sums = np.zeros(len(piece) + 1, dtype=np.uint64)
+    np.cumsum(t.value[piece] * t.power[: len(piece)], dtype=np.uint64, out=sums[1:])
     x = (sums[ends] - sums[starts]) * t.inverse[starts] + (ends - starts).astype(np.uint64)
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
@@ -110,6 +126,51 @@ def chunks_of(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+def chunks_of_many(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``chunks_of`` of each text; short texts are cut together, some LOT_BYTES at a time."""
+    out: list = [None] * len(texts)
+    lot: list[int] = []
+    size = 0
+    for i, text in enumerate(texts):
+        if len(text) > LOT_BYTES // 2:
+            out[i] = chunks_of(text)
+            continue
+        if size + len(text) + _WINDOW > LOT_BYTES:
+            _cut_together(texts, lot, out)
+            lot, size = [], 0
+        lot.append(i)
+        size += len(text) + _WINDOW
+    _cut_together(texts, lot, out)
+    return out
+
+
+def _cut_together(texts: list[bytes], lot: list[int], out: list) -> None:
+    if not lot:
+        return
+    t, gap = _tables(), bytes(_WINDOW)
+    data = np.frombuffer(gap + gap.join([texts[i] for i in lot]) + gap, dtype=np.uint8)
+    sizes = np.array([len(texts[i]) for i in lot])
+    firsts = _WINDOW + np.cumsum(sizes + _WINDOW) - (sizes + _WINDOW)
+    lasts = firsts + sizes
+    cut = _cuts(data, t, firsts)
+    cut[firsts] = True
+    cut = np.flatnonzero(cut)
+    of = np.searchsorted(firsts, cut, "right") - 1
+    inside = (of >= 0) & (cut < lasts[of])
+    starts, of = cut[inside], of[inside]
+    ends = np.append(cut, len(data))[np.searchsorted(cut, starts + MIN_BYTES)]
+    ends = np.minimum(np.minimum(ends, lasts[of]), starts + MAX_BYTES)
+    for _ in range(3):  # back to the start of a character
+        ends -= (ends < lasts[of]) & ((data[ends] & 0xC0) == 0x80)
+    long = ends - starts >= MIN_BYTES
+    starts, ends, of = starts[long], ends[long], of[long]
+    digests = _digests(data, starts, ends, t)
+    edges = np.searchsorted(of, np.arange(len(lot) + 1)).tolist()
+    for k, i in enumerate(lot):
+        a, b = edges[k], edges[k + 1]
+        out[i] = (starts[a:b] - firsts[k], ends[a:b] - firsts[k], digests[a:b])
+
+
 def _chunk_rows(rows: DataFrame) -> DataFrame:
     """(id, digest) of each chunk. Where it stands is found again in the few texts that matter."""
 
@@ -117,7 +178,7 @@ def _chunk_rows(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
-                found = [chunks_of(x.as_py())[2] for x in part.column(1)]
+                found = [x[2] for x in chunks_of_many(part.column(1).to_pylist())]
                 ids = np.repeat(part.column(0).to_numpy(zero_copy_only=False), [len(x) for x in found])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, type=pa.int64()) for x in (ids, np.concatenate(found))], names=["id", "digest"]
@@ -204,72 +265,76 @@ def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _repeated_spans(data: bytes, digests: np.ndarray, fine: np.ndarray) -> list[tuple[int, int]]:
-    """The spans of the chunks with those digests, extended by the fine chunks with those."""
-    starts, ends, own = chunks_of(data)
-    found = _spans(starts, ends, own, digests)
-    spans = [(a, b) for a, b, _, _ in found]
-    if len(fine):
-        for a, b, first, _ in found:
-            left, right, beyond = _beyond(data, starts, ends, first, a, b)
-            again = np.isin(beyond, fine)
-            spans += zip(left[again].tolist(), right[again].tolist(), strict=True)
-    return _joined(spans)
+def _looked_at(joined: DataFrame, text: int, lists: int, fields: list[str]) -> DataFrame:
+    """The rows with what their chunks of the digests in column ``lists`` come to, as ``fields``: the
+    first and last chunk of each span, the spans' starts and ends, and digests, starts and ends of the
+    fine chunks around them."""
+    names = list(joined.columns)
+    longs = pa.list_(pa.int64())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
+            made: list[list] = [[None] * batch.num_rows for _ in fields]
+            digests = batch.column(lists)
+            cut = np.flatnonzero(digests.is_valid().to_numpy(zero_copy_only=False)).tolist()
+            texts = [(batch.column(text)[i].as_py() or "").encode() for i in cut]
+            for i, data, (starts, ends, own) in zip(cut, texts, chunks_of_many(texts), strict=True):
+                found = _spans(starts, ends, own, digests[i].values.to_numpy())
+                around = [_beyond(data, starts, ends, first, a, b) for a, b, first, _ in found]
+                left, right, fine = (np.concatenate([x[k] for x in around]) if around else [] for k in range(3))
+                row = (
+                    np.unique(own[[k for x in found for k in x[2:]]]) if found else [],
+                    [x[0] for x in found], [x[1] for x in found], fine, left, right,
+                )
+                for column, value in zip(made, row, strict=True):
+                    column[i] = value
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *(pa.array(x, type=longs) for x in made)], names=[*names, *fields]
+            )
+        release_memory()
+
+    more = [T.StructField(f, T.ArrayType(T.LongType())) for f in fields]
+    return joined.mapInArrow(run, T.StructType([*joined.schema.fields, *more]))
 
 
-def _extensions(joined: DataFrame, text: int, lists: int, key: int, owner: bool) -> DataFrame:
-    """(id, anchors, fine): for each row with a list of digests, the fine chunks around them, and
-    the first and last chunk of each span. Owners are looked at around each of the chunks."""
+def _around_owners(joined: DataFrame, text: int, lists: int, key: int) -> DataFrame:
+    """(id, fine): the fine chunks around each chunk of the digests in column ``lists``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
-            ids, anchors, fine = [], [], []
-            digests = batch.column(lists)
-            for i in np.flatnonzero(digests.is_valid().to_numpy(zero_copy_only=False)).tolist():
-                data = (batch.column(text)[i].as_py() or "").encode()
-                starts, ends, own = chunks_of(data)
-                wanted = digests[i].values.to_numpy()
-                if owner:
-                    at = np.flatnonzero(np.isin(own, wanted)).tolist()
-                    found = [(int(starts[k]), int(ends[k]), k, k) for k in at]
-                else:
-                    found = _spans(starts, ends, own, wanted)
-                if found:
-                    around = [_beyond(data, starts, ends, first, a, b)[2] for a, b, first, _ in found]
+            ids, fine = [], []
+            texts = [(x or "").encode() for x in batch.column(text).to_pylist()]
+            for i, (data, (starts, ends, own)) in enumerate(zip(texts, chunks_of_many(texts), strict=True)):
+                at = np.flatnonzero(np.isin(own, batch.column(lists)[i].values.to_numpy())).tolist()
+                if at:
                     ids.append(batch.column(key)[i].as_py())
-                    anchors.append([] if owner else np.unique(own[[k for x in found for k in x[2:]]]))
+                    around = [_beyond(data, starts, ends, k, int(starts[k]), int(ends[k]))[2] for k in at]
                     fine.append(np.unique(np.concatenate(around)))
-            longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, type=pa.int64()), pa.array(anchors, type=longs), pa.array(fine, type=longs)],
-                names=["id", "anchors", "fine"],
+                [pa.array(ids, type=pa.int64()), pa.array(fine, type=pa.list_(pa.int64()))], names=["id", "fine"]
             )
         release_memory()
 
-    found = joined.mapInArrow(run, "id long, anchors array<long>, fine array<long>")
-    # An exchange over all columns, which the plan makes once for all who read it.
-    return found.repartition("id", "anchors", "fine")
-
+    return joined.mapInArrow(run, "id long, fine array<long>")
 
-def _digests_in(found: DataFrame, column: str) -> DataFrame:
-    # The outer form has no filter that would be pushed below the exchange and make it another one.
-    return found.select("id", F.explode_outer(column).alias("digest")).where("digest IS NOT NULL")
 
+def _cut_lists(chunks: DataFrame, names: tuple[str, str, str]) -> tuple[DataFrame, DataFrame]:
+    """For each document that must give way, its repeated digests and their owners; and (digest,
+    owner) of the digests that several documents have.
 
-def _owners(chunks: DataFrame) -> DataFrame:
-    """(digest, owner) of the digests that several documents have."""
-    return (
+    The owners are a table, so that the join has exchanges of its own on both sides and Spark can
+    split the partition of a digest that very many documents have.
+    """
+    owners = saved(
         chunks.groupBy("digest").agg(F.min("id").alias("owner"), F.max("id").alias("last"))
-        .where("owner < last").select("digest", "owner")
+        .where("owner < last").select("digest", "owner"),
+        "owners",
     )
-
-
-def _cut_lists(chunks: DataFrame, owners: DataFrame, names: tuple[str, str, str]) -> DataFrame:
-    """For each document that must give way, its repeated digests and their owners."""
-    return (
+    lists = (
         chunks.join(owners, "digest").where("id <> owner").groupBy("id")
         .agg(F.collect_set("digest"), F.collect_set("owner")).toDF(*names)
     )
+    return lists, owners
 
 
 def remove_repeated_passages(
@@ -286,44 +351,64 @@ def remove_repeated_passages(
     word that is repeated too (in long runs without white space, to some ``RUN_BYTES`` bytes): the
     chunks from every word start around the edges, of documents and owners alike, have owners by
     their digests as well. Spans of at least ``min_words`` words are cut out;
-    runs of more than ``LONG_WORD`` bytes without white space count as a word per ``WORD_BYTES`` bytes. Owners are found by partial aggregation, so a passage of very many documents
-    sends one row a task; the rows that are to be cut meet their owner in a join whose hot
-    partitions Spark splits. A row with a null id or text stays as it is; rows with the same id
+    runs of more than ``LONG_WORD`` bytes without white space count as a word per ``WORD_BYTES``
+    bytes. Owners are found by partial aggregation, so a passage of very many documents sends one
+    row a task; the rows that are to be cut meet their owner in a join of tables whose hot
+    partitions Spark splits. Each step that more than one other reads is written once, and only texts
+    that are cut or keep what others lose go through the later ones. A row with a null id or text stays as it is; rows with the same id
     are one document; an empty text has no chunks; an empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    chunks = _chunk_rows(rows)
-    owners = _owners(chunks)
     docs = docs.select(*columns_of(docs, ("removed_chars", "removed_spans", "kept_in")))
-    doc, digests, owned, key, fine, by = free_names(docs, "doc_", "digests_", "owners_", "key_", "fine_", "by_")
+    doc, digests, owned, key, fine, by, owner, other, *look = free_names(
+        docs, "doc_", "digests_", "owners_", "key_", "fine_", "by_", "owner_", "other_",
+        "anchors_", "starts_", "ends_", "around_", "lefts_", "rights_",
+    )
     keyed = docs.withColumn(key, F.col(f"`{id_col}`").cast("long"))
     columns = columns_of(docs)
-    joined = keyed.join(_cut_lists(chunks, owners, (doc, digests, owned)), F.col(key) == F.col(doc), "left")
+    cuts, owners = _cut_lists(_chunk_rows(rows), (doc, digests, owned))
+    cuts = saved(cuts, "cuts")
+    # The texts that are cut or keep what others lose; no other text goes through the steps below.
+    keepers = cuts.select(F.explode(owned).alias(owner)).distinct()
+    texts, n = docs.columns.index(text_col), len(columns)
+    some = (
+        keyed.join(cuts, F.col(key) == F.col(doc), "left").join(keepers, F.col(key) == F.col(owner), "left")
+        .where(F.col(doc).isNotNull() | F.col(owner).isNotNull())
+        .select(*columns, key, digests, owned)
+    )
+    some = saved(_looked_at(some, texts, n + 1, look), "touched")
+    touched = some.where(F.col(digests).isNotNull())
     # Both sides of each span's edges: the fine chunks of the documents and of their owners.
-    texts = docs.columns.index(text_col)
-    around = _extensions(joined.select(*columns, key, digests), texts, len(columns) + 1, len(columns), False)
     anchors = (
-        _digests_in(around, "anchors").select("digest").distinct().join(owners, "digest")
-        .groupBy("owner").agg(F.collect_set("digest")).toDF(doc, digests)
+        touched.select(F.explode(look[0]).alias("digest")).distinct().join(owners, "digest")
+        .groupBy("owner").agg(F.collect_set("digest")).toDF(doc, other)
     )
-    theirs = keyed.join(anchors, F.col(key) == F.col(doc), "left").select(*columns, key, digests)
-    at_owners = _extensions(theirs, texts, len(columns) + 1, len(columns), True)
-    edges = _digests_in(around, "fine").unionByName(_digests_in(at_owners, "fine"))
-    more = _cut_lists(edges, _owners(edges), (f"{doc}2", fine, by))
-    joined = joined.join(more, F.col(key) == F.col(f"{doc}2"), "left").select(*columns, digests, owned, fine, by)
+    theirs = some.join(anchors, F.col(key) == F.col(doc)).select(*columns, key, other)
+    edges = saved(
+        touched.select(F.col(key).alias("id"), F.explode(F.array_distinct(look[3])).alias("digest")).unionByName(
+            _around_owners(theirs, texts, n + 1, n).select("id", F.explode("fine").alias("digest"))
+        ),
+        "edges",
+    )
+    more, _ = _cut_lists(edges, (other, fine, by))
+    joined = touched.join(more, F.col(key) == F.col(other), "left").select(*columns, owned, fine, by, *look[1:])
     n, place = len(docs.columns), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             texts = batch.column(place)
-            lists, owner_lists, fine_lists, by_lists = (batch.column(n + k) for k in range(4))
+            owner_lists, fine_lists, by_lists, *kept_of_look = (batch.column(n + k) for k in range(8))
             touched = {}
-            for i in np.flatnonzero(lists.is_valid().to_numpy(zero_copy_only=False)).tolist():
+            for i in range(batch.num_rows):
                 data = (texts[i].as_py() or "").encode()
+                a, b, own, left, right = (x[i].values.to_numpy() for x in kept_of_look)
+                spans = list(zip(a.tolist(), b.tolist(), strict=True))
                 extended = fine_lists[i].is_valid
-                edges = fine_lists[i].values.to_numpy() if extended else np.zeros(0, np.int64)
-                found = _repeated_spans(data, lists[i].values.to_numpy(), edges)
+                if extended:  # by the fine chunks that others have too
+                    again = np.isin(own, fine_lists[i].values.to_numpy())
+                    spans += zip(left[again].tolist(), right[again].tolist(), strict=True)
+                found = _joined(spans)
                 cut = [(a, b) for a, b in found if words_in(data[a:b]) >= min_words]
                 if cut:
                     ends = [0, *(b for _, b in cut)]
@@ -358,4 +443,10 @@ def remove_repeated_passages(
         *docs.schema.fields, T.StructField("removed_chars", T.LongType()),
         T.StructField("removed_spans", T.ArrayType(span)), T.StructField("kept_in", T.ArrayType(T.LongType())),
     ])
-    return joined.mapInArrow(run, schema)
+    whole = (
+        keyed.join(cuts.select(doc), F.col(key) == F.col(doc), "left_anti").select(*columns)
+        .withColumn("removed_chars", F.lit(0).cast("long"))
+        .withColumn("removed_spans", F.array().cast(T.ArrayType(span)))
+        .withColumn("kept_in", F.array().cast("array<long>"))
+    )
+    return joined.mapInArrow(run, schema).unionByName(whole)

@@ -33,6 +33,20 @@ def test_pieces_make_the_same_chunks(monkeypatch, size):
             data[start:end].decode()
 
 
+def test_texts_cut_together_have_their_own_chunks(monkeypatch):
+    rng = random.Random(6)
+    texts = []
+    for _ in range(400):
+        pieces = ["a", "b ", "word\n", "x" * rng.randrange(1, 200), "漢字" * rng.randrange(1, 40), " ", "\n", "\x00", prose(rng, 8)]
+        texts.append("".join(rng.choice(pieces) for _ in range(rng.randrange(0, 60))).encode())
+    texts.append(prose(rng, 40_000).encode())
+    for size in (200_000, 3_000):
+        monkeypatch.setattr(passages, "LOT_BYTES", size)
+        for text, got in zip(texts, passages.chunks_of_many(texts), strict=True):
+            assert all(np.array_equal(a, b) for a, b in zip(got, passages.chunks_of(text), strict=True))
+    assert passages.chunks_of_many([]) == []
+
+
 def test_equal_digests_are_equal_chunks():
     rng = random.Random(4)
     seen = {}
