@@ -2,7 +2,7 @@
 
 from bugsieve.config import Options
 from bugsieve.functions.rules import Rule, default_rules, registry_counts, rules_df
-from bugsieve.operators.combine import merge_evidence, split_reports
+from bugsieve.operators.combine import merge_evidence, merge_merged, split_reports
 from bugsieve.operators.enrich import enrich, infer_expected, vectorized_enricher
 from bugsieve.operators.extract import (
     best_in_tier, extract_all_fields, extract_field, extract_fields, rule_hits,
@@ -29,6 +29,7 @@ from bugsieve.streaming.normalize_stream import (
     normalize_stream, read_log_stream, windowed_monitoring, windowed_quantiles, write_stream,
 )
 from bugsieve.streaming.late_rows import late_records, monitor_with_late_rows, window_metrics
+from bugsieve.streaming.merge_stream import compact, merge_stream, merged_incidents
 from bugsieve.streaming.progress import processing_time, progress_rows
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -30,6 +30,14 @@ def merge_evidence(bugs: DataFrame, key: str) -> DataFrame:
     several times the sort, or a shuffle of all records a second time. Records without a key belong to no incident: each
     stays a row of its own and is not shuffled.
     """
+    return merge_merged(bugs.withColumn("records", F.lit(1).cast("long")), key)
+
+
+def merge_merged(parts: DataFrame, key: str) -> DataFrame:
+    """Rows of ``merge_evidence`` over parts of the records, merged to those over all of them.
+
+    The best of the parts' best is the best of all, so the parts can be merged in any order.
+    """
     picks = [
         F.max_by(
             F.struct(*[F.col(f"{f}.{part}").alias(part) for part in _PARTS]),
@@ -44,10 +52,9 @@ def merge_evidence(bugs: DataFrame, key: str) -> DataFrame:
         for f in FIELDS
     ]
     named = F.col(key).isNotNull()
-    merged = bugs.where(named).groupBy(key).agg(F.count(F.lit(1)).alias("records"), *picks)
-    alone = bugs.where(~named).select(
-        key, F.lit(1).cast("long").alias("records"),
-        *[F.struct(*[F.col(f"{f}.{part}").alias(part) for part in _PARTS]).alias(f) for f in FIELDS],
+    merged = parts.where(named).groupBy(key).agg(F.sum("records").alias("records"), *picks)
+    alone = parts.where(~named).select(
+        key, "records", *[F.struct(*[F.col(f"{f}.{part}").alias(part) for part in _PARTS]).alias(f) for f in FIELDS],
     )
     return merged.unionByName(alone).withColumn("overall_confidence", scoring.overall_confidence())
 

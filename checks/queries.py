@@ -1349,7 +1349,10 @@ def t3(spark, sf_dir):
     # Some records have no key; they belong together no more than strangers do.
     key = F.when(F.col("user_id") % 7 != 0, F.col("user_id"))
     bugs = bs.normalize(corpus.logs(spark, sf_dir).withColumn("user_id", key), keep=["user_id"])
-    merged = bs.merge_evidence(bugs, "user_id")
+    return _merged_rows(bs.merge_evidence(bugs, "user_id"))
+
+
+def _merged_rows(merged: DataFrame) -> DataFrame:
     cols = []
     for f in FIELDS:
         cols += [
@@ -1359,6 +1362,20 @@ def t3(spark, sf_dir):
     return merged.select("user_id", "records", *cols, r6("overall_confidence").alias("overall_confidence"))
 
 
+@register("t3_merge_stream", o.with_records(o.LOGS, _merged_sql()))
+def t3_stream(spark, sf_dir):
+    """The events in two arrivals: the merged rows are those of all events at once."""
+    out = scratch_dir(spark, "merge")
+    events = corpus.table(spark, sf_dir, "events")
+    for some in ("event_id % 3 = 0", "event_id % 3 <> 0"):
+        events.where(some).write.mode("append").parquet(f"{out}/events")
+        stream = corpus.spread_scan(spark.readStream.schema(events.schema).parquet(f"{out}/events"))
+        logs = corpus.as_logs(stream.withColumn("user_id", F.when(F.col("user_id") % 7 != 0, F.col("user_id"))))
+        bugs = bs.normalize(logs, id_mode="content", keep=["user_id"])
+        bs.merge_stream(bugs, "user_id", out, f"{out}/checkpoint").awaitTermination()
+    return _merged_rows(bs.merged_incidents(spark, out, "user_id"))
+
+
 # The paragraphs of a document as separate reports.
 _SEVERAL = "replace(text, '. ', '.' || chr(10) || repeat('=', 12) || chr(10))"
 
