@@ -268,7 +268,7 @@ def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def _looked_at(joined: DataFrame, text: int, lists: int, fields: list[str]) -> DataFrame:
     """The rows with what their chunks of the digests in column ``lists`` come to, as ``fields``: the
     first and last chunk of each span, the spans' starts and ends, and digests, starts and ends of the
-    fine chunks around them."""
+    fine chunks around them. Lists of digests are left empty."""
     names = list(joined.columns)
     longs = pa.list_(pa.int64())
 
@@ -288,8 +288,11 @@ def _looked_at(joined: DataFrame, text: int, lists: int, fields: list[str]) -> D
                 )
                 for column, value in zip(made, row, strict=True):
                     column[i] = value
+            columns = list(batch.columns)
+            cut_now = set(cut)  # the digests themselves have served: only whether there were any is kept
+            columns[lists] = pa.array([[] if i in cut_now else None for i in range(batch.num_rows)], type=longs)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *(pa.array(x, type=longs) for x in made)], names=[*names, *fields]
+                [*columns, *(pa.array(x, type=longs) for x in made)], names=[*names, *fields]
             )
         release_memory()
 
