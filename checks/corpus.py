@@ -8,7 +8,7 @@ same text and neither groups or collects rows. ``~`` stands for a newline in the
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -174,6 +174,12 @@ def _pool(values: list[str], index: str) -> str:
     return f"CASE ({index}) % {len(values)} {cases} END"
 
 
+def _picked(values: list[str], index: str) -> str:
+    """``_pool`` as Spark runs it: one lookup, where a CASE computes the index for every value."""
+    quoted = ", ".join("'{}'".format(v.replace("'", "''")) for v in values)
+    return f"get(array({quoted}), CAST(({index}) % {len(values)} AS INT))"
+
+
 def _stamp(index: str) -> str:
     joint = f"CASE ({index}) % 5 WHEN 0 THEN ' ' ELSE 'T' END"
     day = f"lpad(CAST(1 + ({index}) % 27 AS STRING), 2, '0')"
@@ -181,10 +187,10 @@ def _stamp(index: str) -> str:
     return f"'[2031-06-' || {day} || {joint} || '21:40:' || {second} || 'Z] '"
 
 
-def _line(level: str, a: int, b: int) -> str:
+def _line(level: str, a: int, b: int, pool: Callable[[list[str], str], str] = _pool) -> str:
     i = f"event_id * {a} + {b}"
-    service = _pool(SERVICES, f"event_id * {a + 2} + {b}")
-    return f"{_stamp(i)} || {level} || ' [' || {service} || '] ' || {_pool(MESSAGES, i)}"
+    service = pool(SERVICES, f"event_id * {a + 2} + {b}")
+    return f"{_stamp(i)} || {level} || ' [' || {service} || '] ' || {pool(MESSAGES, i)}"
 
 
 _LEVEL_OF_TYPE = (
@@ -196,14 +202,19 @@ _LEVELS = ["INFO", "ERROR", "DEBUG", "WARN", "INFO", "CRITICAL", "WARN"]
 # One log line per event.
 LOG_LINE = _line(_LEVEL_OF_TYPE, 7, 3)
 
+
+def _log_text(pool: Callable[[list[str], str], str]) -> str:
+    return (
+        f"replace({_line(_LEVEL_OF_TYPE, 7, 3, pool)}"
+        f" || CASE WHEN event_id % 5 = 0 THEN '' ELSE '~' || {_line(pool(_LEVELS, 'event_id * 5'), 13, 5, pool)} END"
+        f" || CASE WHEN event_id % 3 = 0 THEN '~' || {_line(pool(_LEVELS, 'event_id * 3 + 1'), 29, 11, pool)} ELSE '' END"
+        f" || CASE WHEN event_id % 7 < 4 THEN '~' || {pool(BLOCKS, 'event_id * 17')} ELSE '' END"
+        f", '~', chr(10))"
+    )
+
+
 # One short log per event: its own line, up to two more, and for some a free block.
-LOG_TEXT = (
-    f"replace({LOG_LINE}"
-    f" || CASE WHEN event_id % 5 = 0 THEN '' ELSE '~' || {_line(_pool(_LEVELS, 'event_id * 5'), 13, 5)} END"
-    f" || CASE WHEN event_id % 3 = 0 THEN '~' || {_line(_pool(_LEVELS, 'event_id * 3 + 1'), 29, 11)} ELSE '' END"
-    f" || CASE WHEN event_id % 7 < 4 THEN '~' || {_pool(BLOCKS, 'event_id * 17')} ELSE '' END"
-    f", '~', chr(10))"
-)
+LOG_TEXT = _log_text(_pool)
 
 # A user's text followed by a block, for every turn of every conversation.
 FREE_TEXT = f"replace(text || '~~' || {_pool(BLOCKS, 'conv_id * 7 + turn * 11')}, '~', chr(10))"
@@ -253,7 +264,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_logs(events: DataFrame) -> DataFrame:
     """Staging frame of short logs from event rows, batch or streaming."""
-    texts = events.selectExpr("event_id", "ts", "user_id", f"{LOG_TEXT} AS text")
+    texts = events.selectExpr("event_id", "ts", "user_id", f"{_log_text(_picked)} AS text")
     source_id = F.concat(F.lit("log_"), F.col("event_id").cast("string"))
     return texts.select(
         "text",
@@ -262,12 +273,18 @@ def as_logs(events: DataFrame) -> DataFrame:
     )
 
 
-def spread_scan(scan: DataFrame) -> DataFrame:
-    """The scan over as many partitions as the session asks for; unchanged if it names none.
+def spread_scan(scan: DataFrame, thin: bool = True) -> DataFrame:
+    """The scan over as many partitions as the session asks for.
 
-    The benchmark names its cores, since each table is one file there.
+    The benchmark names its cores, since each table is one file there. Where none are named, the scan
+    of a thin table, whose rows hold a few numbers that long texts are composed from, goes over the
+    session's shuffle partitions, four a core at least: its files are too small for their splits to
+    keep all cores busy. Other scans are left unchanged.
     """
     wanted = scan.sparkSession.conf.get("spark.checks.inputPartitions", None)
+    if wanted is None and thin:
+        cores = scan.sparkSession.sparkContext.defaultParallelism
+        wanted = max(4 * cores, int(scan.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return spread(scan, int(wanted) if wanted else None)
 
 
@@ -278,7 +295,7 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def free_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    return spread_scan(turns).selectExpr("conv_id", "turn", f"{FREE_TEXT} AS text")
+    return spread_scan(turns, thin=False).selectExpr("conv_id", "turn", f"{FREE_TEXT} AS text")
 
 
 def item_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
