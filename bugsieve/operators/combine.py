@@ -20,6 +20,23 @@ def _source_order(source: Column) -> Column:
     return order
 
 
+def _picks() -> list[Column]:
+    """The best of each field, over the rows of a group."""
+    return [
+        F.max_by(
+            F.struct(*[F.col(f"{f}.{part}").alias(part) for part in _PARTS]),
+            F.struct(
+                F.col(f"{f}.value").isNotNull().cast("int").alias("filled"),
+                F.col(f"{f}.confidence").alias("confidence"),
+                _source_order(F.col(f"{f}.source")).alias("source_order"),
+                F.col(f"{f}.value").alias("value"),
+                F.col(f"{f}.raw_evidence").alias("raw_evidence"),
+            ),
+        ).alias(f)
+        for f in FIELDS
+    ]
+
+
 def merge_evidence(bugs: DataFrame, key: str) -> DataFrame:
     """One row per incident: for each field the value with the highest confidence.
 
@@ -38,19 +55,7 @@ def merge_merged(parts: DataFrame, key: str) -> DataFrame:
 
     The best of the parts' best is the best of all, so the parts can be merged in any order.
     """
-    picks = [
-        F.max_by(
-            F.struct(*[F.col(f"{f}.{part}").alias(part) for part in _PARTS]),
-            F.struct(
-                F.col(f"{f}.value").isNotNull().cast("int").alias("filled"),
-                F.col(f"{f}.confidence").alias("confidence"),
-                _source_order(F.col(f"{f}.source")).alias("source_order"),
-                F.col(f"{f}.value").alias("value"),
-                F.col(f"{f}.raw_evidence").alias("raw_evidence"),
-            ),
-        ).alias(f)
-        for f in FIELDS
-    ]
+    picks = _picks()
     named = F.col(key).isNotNull()
     merged = parts.where(named).groupBy(key).agg(F.sum("records").alias("records"), *picks)
     alone = parts.where(~named).select(
@@ -59,6 +64,17 @@ def merge_merged(parts: DataFrame, key: str) -> DataFrame:
     return merged.unionByName(alone).withColumn("overall_confidence", scoring.overall_confidence())
 
 
+def merge_in_one_pass(bugs: DataFrame, key: str) -> DataFrame:
+    """``merge_evidence``, without ``overall_confidence``, for frames that are computed anew by each use.
+
+    A micro-batch is such a frame: no filter reaches below it, so that taking the records without a
+    key apart would extract all records a second time. Here each of them is a group of its own.
+    """
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    rows = bugs.withColumns({"records": F.lit(1).cast("long"), "__alone": alone})
+    return rows.groupBy(key, "__alone").agg(F.sum("records").alias("records"), *_picks()).drop("__alone")
+
+
 def split_reports(staging: DataFrame, separator: str = SEPARATOR) -> DataFrame:
     """One staging row per report of a text that holds several, divided by ``====`` lines.
 

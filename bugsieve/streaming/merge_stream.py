@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from bugsieve.operators.combine import merge_evidence, merge_merged
+from bugsieve.operators.combine import merge_in_one_pass, merge_merged
 
 
 def merge_stream(
@@ -22,7 +22,7 @@ def merge_stream(
     """
 
     def batch(rows: DataFrame, n: int) -> None:
-        merge_evidence(rows, key).drop("overall_confidence").write.mode("overwrite").parquet(f"{out}/parts/batch={n}")
+        merge_in_one_pass(rows, key).write.mode("overwrite").parquet(f"{out}/parts/batch={n}")
 
     writer = bugs.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     if available_now:
