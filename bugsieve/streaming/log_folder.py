@@ -114,11 +114,12 @@ class FolderReader(DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         out: list[InputPartition] = []
-        size = TASK_BYTES
+        size = 0
         for n in range(start["batch"] + 1, end["batch"] + 1):
             for entry in self.ledger.batch(n):
                 cost = entry[1] if entry[1] <= self.limit else 0
-                if size + cost > TASK_BYTES or len(out[-1].entries) >= TASK_FILES:
+                # The first file opens a task of its own accord: it may cost nothing (empty or too large).
+                if not out or size + cost > TASK_BYTES or len(out[-1].entries) >= TASK_FILES:
                     out.append(Files([]))
                     size = 0
                 out[-1].entries.append(entry)
